@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import fst_tokens, pieces
+from weftline.llm import ann, fst_tokens, pieces, simhash, topk
 from weftline.llm.common import read_table
 
 
@@ -16,12 +16,25 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load_model(vocabulary_path("piece_bpe_32k.model"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(pieces.decode(pieces.encode(docs, model).drop("text"), model), ["doc_id"])
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = fst_tokens.load_tokenizer(vocabulary_path("byte_bpe_50k.json"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,7 +43,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_nearest": op3_nearest,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_simhash": op7_simhash,
+    "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_topk": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5""",
+}
