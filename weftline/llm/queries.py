@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, fst_tokens, pieces, simhash, topk
+from weftline.llm import ann, fst_tokens, labels, pieces, quality, simhash, topk, toxicity
 from weftline.llm.common import read_table
 
 
@@ -20,12 +20,31 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def quality_model(docs: DataFrame, marks: DataFrame, rows: int = 2000) -> quality.Model:
+    """Fitted on at most ``rows`` labelled documents outside the held-out fold."""
+    return quality.fit(labels.training_sample(docs, marks, "quality", labels.fold(F.col("doc_id"), 5) != 0, rows))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.decided(quality.score(docs, model), 0.3)
+    return scored.select("doc_id", F.coalesce(labels.fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load_model(vocabulary_path("piece_bpe_32k.model"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(pieces.decode(pieces.encode(docs, model).drop("text"), model), ["doc_id"])
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = labels.training_sample(docs, read_table(spark, sf_dir, "labels"), "toxic", labels.fold(F.col("doc_id"), 4) != 2, 3000)
+    scored = quality.decided(toxicity.score(docs, toxicity.fit(sample)), 0.3)
+    return scored.select("doc_id", F.coalesce(labels.fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,7 +63,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_nearest": op3_nearest,
+    "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
@@ -52,8 +73,8 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op8_topk": """
         WITH usable AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
-            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
             FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
