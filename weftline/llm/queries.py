@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, fst_tokens, labels, pieces, quality, simhash, topk, toxicity
+from weftline.llm import ann, fst_tokens, labels, pieces, quality, repeats, simhash, topk, toxicity
 from weftline.llm.common import read_table
 
 
@@ -16,6 +16,13 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = repeats.remove(repeats.byte_repeats(docs, width=200), "byte", units="n_bytes")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", repeats.removed_units().alias("n_removed"), (F.size("spans") / 2).cast("long").alias("n_spans"), digest)
+
+
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -61,7 +68,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op10_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = repeats.remove(repeats.word_repeats(docs, width=35), "word", units="n_words")
+    return kept.select("doc_id", "n_words", repeats.removed_units().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_byte_repeats": op2_byte_repeats,
     "op3_nearest": op3_nearest,
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
@@ -69,8 +83,19 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
+    "op10_word_repeats": op10_word_repeats,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op10_word_repeats": r"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words),
+        windows AS (SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 34), ' ')) AS h FROM starts),
+        twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+        hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (h)),
+        gone AS (SELECT doc_id, list(p) AS p, count(*) AS n FROM hit GROUP BY doc_id)
+        SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(array_to_string(list_filter(w, lambda x, k: p IS NULL OR NOT list_contains(p, k)), ' '), '')) AS kept_sha256
+        FROM words LEFT JOIN gone USING (doc_id)""",
     "op8_topk": """
         WITH usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
