@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, fst_tokens, labels, pieces, quality, repeats, simhash, topk, toxicity
-from weftline.llm.common import read_table
+from weftline.llm import ann, fst_tokens, labels, mixing, pieces, quality, repeats, simhash, topk, toxicity
+from weftline.llm.common import cut_lineage, read_table
 
 
 def vocabulary_path(name: str) -> str:
@@ -16,6 +16,23 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.default_plan()
+    docs = mixing.described(read_table(spark, sf_dir, "documents"))
+    rows = cut_lineage(docs.select("doc_id", "__source", "__language", "__topic", "__mass"))
+    found = mixing.attach(rows, mixing.weighed(rows, plan, "__mass"), plan)
+    return found.select(
+        "doc_id",
+        F.col("__source").alias("source"),
+        F.col("__language").alias("lang"),
+        F.col("__topic").alias("topic"),
+        F.col("__mass").alias("n_tokens"),
+        F.round("rate", 9).alias("rate"),
+        F.round("probability", 9).alias("probability"),
+        (mixing.chance(F.col("doc_id"), plan.seed) < F.col("probability")).alias("sampled"),
+    )
+
+
 def op2_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = repeats.remove(repeats.byte_repeats(docs, width=200), "byte", units="n_bytes")
@@ -75,6 +92,7 @@ def op10_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_byte_repeats": op2_byte_repeats,
     "op3_nearest": op3_nearest,
     "op4_quality": op4_quality,
@@ -86,6 +104,7 @@ QUERIES = {
     "op10_word_repeats": op10_word_repeats,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": mixing.oracle_sql(mixing.default_plan()),
     "op10_word_repeats": r"""
         WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words),
