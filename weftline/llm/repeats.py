@@ -169,7 +169,7 @@ def marked_by_index(kind: str, unit: str, width: int, payloads: list[bytes], cou
     return found
 
 
-def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str = "text", id_col: str = "doc_id", out: str = "spans", shard_units: int = 1_000_000, crowded: int = 4000, step_bytes: int = 2_000_000) -> DataFrame:
+def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str = "text", id_col: str = "doc_id", out: str = "spans", shard_units: int = 300_000, crowded: int = 4000, step_bytes: int = 600_000) -> DataFrame:
     """Add ``out`` (array<int>): first and after-last unit of each maximal run of units that a repeated window covers, flat.
 
     ``kind``: "runs" (run-length index) or "wavelet" (FM-index). Null texts count as empty. Rows equal in id and text
@@ -200,7 +200,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
         for part in cut(batches):
             parts.append(part)
             rows += len(part[0])
-            if rows > 600_000:
+            if rows > 250_000:
                 yield summed(parts)
                 parts, rows = [], 0
         if rows:
