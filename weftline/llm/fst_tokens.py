@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from weftline.llm.common import slices, texts, with_arrays, without
 from weftline.llm.merges import MergeTable, Remembered
+from weftline.llm.repeats import powers, scramble
 
 #: Character classes. The pattern's contractions are 's 't 'm 'd 're 've 'll (fixed values, lower case only).
 LETTER, ENDS, R, V, L, E, NUMBER, BLANK, SPACE, APOSTROPHE, OTHER, RESET = range(12)
@@ -174,12 +175,16 @@ class Counter:
         first = np.r_[0, ends[:-1] + 1]
         here[first] = True
         cuts = np.flatnonzero(here)
-        spans = list(zip(cuts.tolist(), np.r_[cuts[1:], len(classes)].tolist(), strict=True))
-        bounds = np.searchsorted(cuts, np.r_[first, len(classes)]).tolist()
-        arcs = self.arcs
-        for k, owner in enumerate(owners):
-            # The last stretch is the RESET itself.
-            counts[owner] += sum([arcs[joined[a:b]] for a, b in spans[bounds[k] : bounds[k + 1] - 1]])
+        after = np.r_[cuts[1:], len(classes)]
+        # Equal stretches of a batch (by 64-bit hash and length) are one arc, read once.
+        up, down = powers(len(points) + 1)
+        total = np.r_[np.uint64(0), np.cumsum(scramble(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * up[:-1])]
+        hashed = scramble((total[after] - total[cuts]) * down[cuts] + (after - cuts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        at, which = np.unique(hashed, return_index=True, return_inverse=True)[1:]
+        emitted = np.array([self.arcs[joined[a:b]] for a, b in zip(cuts[at].tolist(), after[at].tolist(), strict=True)])[which]
+        emitted[np.searchsorted(cuts, ends)] = 0  # a RESET itself
+        for owner, n in zip(owners, np.add.reduceat(emitted, np.searchsorted(cuts, first)).tolist(), strict=True):
+            counts[owner] += n
         return counts
 
 

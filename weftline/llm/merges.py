@@ -8,6 +8,7 @@ runs left to right as a transducer whose transitions carry the change in the num
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 
 import ahocorasick
@@ -56,7 +57,7 @@ class MergeTable:
                         self.shorter[way] = on_way
                     on_way = way
                 self.longest.setdefault(way, on_way)
-        self.pairs: dict[str, dict[str, bool]] = {}
+        self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)
         self.n_pairs = 0
 
     def merge(self, text: str) -> list[str]:
@@ -79,7 +80,7 @@ class MergeTable:
             self.pairs.clear()
             self.n_pairs = 0
         self.n_pairs += 1
-        known = self.pairs.setdefault(left, {})[right] = self.merge(left + right) == [left, right]
+        known = self.pairs[left][right] = self.merge(left + right) == [left, right]
         return known
 
     def backtrack(self, text: str) -> list[str]:
@@ -91,7 +92,7 @@ class MergeTable:
                 ahead = text[start : start + widest]
                 token = longest.get(ahead[: reach(ahead)]) or ahead[0]
             if last:
-                known = pairs.get(last, {})
+                known = pairs[last]
                 while token:
                     if not failed or not failed >> start + len(token) & 1:
                         ok = known.get(token)
@@ -128,7 +129,7 @@ class MergeTable:
                 raise ValueError("a symbol is not in the vocabulary")
             before, token = last[end + 1 - n], text[end + 1 - n : end + 1]
             if before:
-                ok = pairs.get(before, {}).get(token)
+                ok = pairs[before].get(token)
                 if not (self.compatible(before, token) if ok is None else ok):
                     continue
             elif end + 1 != n:
