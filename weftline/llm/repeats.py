@@ -325,11 +325,11 @@ def removed_units(spans: str = "spans"):
     return F.aggregate(F.transform(s, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def byte_repeats(df: DataFrame, width: int = 200, anchor: int = 48, **how) -> DataFrame:
+def byte_repeats(df: DataFrame, width: int = 200, anchor: int = 32, **how) -> DataFrame:
     """Spans of bytes under repeated ``width``-byte strings, by run-length indexes."""
     return mark(df, "runs", "byte", width, anchor, **how)
 
 
-def word_repeats(df: DataFrame, width: int = 35, anchor: int = 10, **how) -> DataFrame:
+def word_repeats(df: DataFrame, width: int = 35, anchor: int = 8, **how) -> DataFrame:
     """Spans of words under repeated runs of ``width`` words, by FM-indexes with wavelet trees."""
     return mark(df, "wavelet", "word", width, anchor, **how)

@@ -13,28 +13,28 @@ class Suffixes:
     """Suffix array by prefix doubling, and longest common prefixes of chosen neighbours."""
 
     def __init__(self, symbols: np.ndarray):
-        self.symbols = symbols = np.asarray(symbols, np.int64)
-        n, bits = len(symbols), max(1, int(symbols.max(initial=1)).bit_length())
-        self.per = per = max(1, 62 // bits)
-        key, open_ = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(per):
-            ahead = np.zeros(n, np.int64)
-            ahead[: max(0, n - j)] = symbols[j:]
-            ahead[~open_] = 0
-            key = key << bits | ahead
-            open_ &= ahead != 0
-        self.key, self.ended = key, ~open_
-        order = np.argsort(key)
+        codes = np.bincount(symbols) > 0  # only symbols in use need bits
+        codes[0] = True
+        self.symbols = symbols = (np.cumsum(codes) - 1)[symbols]
+        n, bits, per = len(symbols), max(1, (int(codes.sum()) - 1).bit_length()), 1
+        key, ended = symbols.copy(), symbols == 0
+        while 2 * per * bits <= 62:  # keys of 1, 2, 4, ... symbols; nothing counts behind a terminator
+            ahead, after = np.zeros(n, np.int64), np.ones(n, bool)
+            ahead[: max(0, n - per)], after[: max(0, n - per)] = key[per:], ended[per:]
+            ahead[ended] = 0
+            key, ended, per = key << per * bits | ahead, ended | after, 2 * per
+        self.key, self.ended, self.per = key, ended, per
+        order = np.argsort(key).astype(np.int32)
         slots = np.flatnonzero(self.ended[order])
         held = order[slots]
         order[slots] = held[np.lexsort((held, key[held]))]
         sorted_key = key[order]
         new = np.ones(n, bool)
         new[1:] = (sorted_key[1:] != sorted_key[:-1]) | self.ended[order[1:]]
-        rank = np.empty(n, np.int64)
-        head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        rank = np.empty(n, np.int32)
+        head = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))
         rank[order] = head
-        slots, width = np.arange(n), per
+        slots, width = np.arange(n, dtype=np.int32), per
         while True:
             last = np.ones(len(slots), bool)
             last[:-1] = new[1:]
@@ -43,13 +43,13 @@ class Suffixes:
             if not len(slots):
                 break
             held = order[slots]
-            pair = rank[held] << 32 | rank[held + width]
+            pair = rank[held].astype(np.int64) << 32 | rank[held + width]
             turn = np.argsort(pair)
             pair, held = pair[turn], held[turn]
             order[slots] = held
             new = np.ones(len(slots), bool)
             new[1:] = pair[1:] != pair[:-1]
-            rank[held] = np.maximum.accumulate(np.where(new, slots, 0))
+            rank[held] = np.maximum.accumulate(np.where(new, slots, np.int32(0)))
             width *= 2
         self.order = order
 
@@ -94,12 +94,12 @@ class RunLengthIndex:
         self.match_before, self.match_after = before, np.r_[before[1:], 0]
 
     def matching(self, places: np.ndarray, matches: np.ndarray) -> np.ndarray:
-        at = np.full(self.n, -1, np.int64)
-        at[places] = np.arange(len(places))
-        at = np.maximum.accumulate(np.where(at >= 0, np.arange(self.n), -1))
-        sampled = np.zeros(self.n, np.int64)
-        sampled[places] = matches
-        return np.where(at >= 0, sampled[at] - (np.arange(self.n) - at), 0)
+        # The end of the match that the last sample before each position began.
+        end = np.zeros(self.n, np.int64)
+        at = np.zeros(self.n, np.int32)
+        at[places] = places
+        end[places] = places + matches
+        return end[np.maximum.accumulate(at)] - np.arange(self.n)
 
     def statistics(self) -> np.ndarray:
         """For each position of the collection the longest match that starts there and also at another position."""
@@ -110,7 +110,7 @@ class WaveletIndex:
     """FM-index: the transform in a wavelet tree (levels as one bit vector each, with block counts), searched backward."""
 
     def __init__(self, symbols: np.ndarray):
-        row = Suffixes(symbols).bwt()
+        row = np.asarray(symbols)[Suffixes(symbols).order - 1]
         self.n, self.levels = len(row), max(1, int(row.max(initial=1)).bit_length())
         counts = np.bincount(row)
         self.before = np.r_[0, np.cumsum(counts)]
