@@ -41,6 +41,17 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
 
 
+#: Bytes of a batch that goes to or from a Python worker; Spark's own default is eight times that.
+BATCH_BYTES, SPARK_DEFAULT_BYTES = 8 << 20, 64 << 20
+
+
+def bound_batches(df: DataFrame) -> None:
+    """Keep Arrow batches of texts small, on both sides of the pipe; a setting of the user's own stays as it is."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, "").rstrip("b") == str(SPARK_DEFAULT_BYTES):
+        conf.set(name, str(BATCH_BYTES))
+
+
 def row_key(id_col: Column, text_col: Column) -> Column:
     """64-bit key of a row from its id and whole text. Rows equal in both share a key, and every result of theirs."""
     return F.xxhash64(F.lit(7), F.coalesce(id_col.cast("string"), F.lit("\u0000null")), F.coalesce(text_col, F.lit("")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftline.llm.common import slices, texts, with_arrays, without
+from weftline.llm.common import bound_batches, slices, texts, with_arrays, without
 from weftline.llm.merges import MergeTable, Remembered
 from weftline.llm.repeats import powers, scramble
 
@@ -191,12 +191,13 @@ class Counter:
 _counters: dict[int, Counter] = {}
 
 
-def count_tokens(df: DataFrame, spec: dict, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens", step_bytes: int = 4_000_000) -> DataFrame:
+def count_tokens(df: DataFrame, spec: dict, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens", step_bytes: int = 2_000_000) -> DataFrame:
     """Add ``n_bytes`` (UTF-8) and ``n_tokens`` of each whole text; null counts as empty, which has no tokens.
 
     Columns of these names are replaced, others pass through. No shuffle; memory follows ``step_bytes`` or the longest text.
     """
     base = without(df, [n_bytes, n_tokens])
+    bound_batches(df)
     shared = df.sparkSession.sparkContext.broadcast((hash((len(spec["merges"]), *spec["merges"][-50:], *spec["added"])), spec))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

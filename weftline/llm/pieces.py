@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import slices, texts, with_arrays, without
+from weftline.llm.common import bound_batches, slices, texts, with_arrays, without
 from weftline.llm.merges import MergeTable, Remembered
 
 MARK = "▁"
@@ -103,10 +103,11 @@ def _shared_codec(broadcast) -> Codec:
 
 
 def _ship(df: DataFrame, model: tuple):
+    bound_batches(df)
     return df.sparkSession.sparkContext.broadcast((hash(model), model))  # the vocabulary file bounds its size
 
 
-def encode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", step_bytes: int = 4_000_000) -> DataFrame:
+def encode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", step_bytes: int = 1_000_000) -> DataFrame:
     """Add ``ids`` (array<int>): all ids of the whole text, without begin or end ids. Null and empty texts give [].
 
     A column of the same name is replaced; other columns pass through. No shuffle, no limit on a text's length.
@@ -134,8 +135,8 @@ def decode(df: DataFrame, model: tuple, ids: str = "ids", decoded: str = "decode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _shared_codec(shared)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
                 column = batch.column(ids)
                 flat, out = column.flatten().to_numpy(zero_copy_only=False), []
                 ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))

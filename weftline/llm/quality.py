@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, slices, text_bytes, with_arrays, without
 
 ORDERS = (2, 3)
 BACK = (1, 2, 3, 4)
@@ -107,7 +107,7 @@ def bags(df: DataFrame, bits: int, text: str = "text", label: str = "label") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, text, 1_000_000):
+            for batch in slices(whole, text, 600_000):
                 data, offsets = text_bytes(batch.column(text))
                 kinds = list(features(data, offsets, bits))
                 buckets, shares = [], []
@@ -128,12 +128,13 @@ def fit(sample: DataFrame, bits: int = 14, **how) -> Model:
     return train(rows, bits, **how)
 
 
-def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", step_bytes: int = 2_000_000) -> DataFrame:
+def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", step_bytes: int = 600_000) -> DataFrame:
     """Add ``out`` (double, 0 to 1) for each whole text; null and empty texts get what the intercept gives.
 
     A clashing column is replaced, others pass through; no shuffle, nothing is read but the text.
     """
     base = without(df, [out])
+    bound_batches(df)
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2^bits numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import row_key, slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, row_key, slices, text_bytes, with_arrays, without
 from weftline.llm.suffixes import RunLengthIndex, WaveletIndex
 
 _MIX = np.random.default_rng(31).integers(1, 2**63 - 1, (256,), np.int64).astype(np.uint64)
@@ -176,6 +176,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
     repeat each other like any two texts do. Columns pass through; a clashing ``out`` is replaced.
     """
     as_units = UNITS[unit]
+    bound_batches(df)
     base = without(df, [out, "__key"]).withColumn("__key", row_key(F.col(id_col), F.col(text)))
     keyed = base.select("__key", F.col(text).alias("text"))
 
@@ -303,10 +304,11 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
 def remove(marked: DataFrame, unit: str, text: str = "text", spans: str = "spans", kept: str = "kept", units: str = "n_units") -> DataFrame:
     """Add ``kept`` (binary: remaining bytes, or remaining words joined by one space) and ``n_units`` of the whole text."""
     base = without(marked, [kept, units])
+    bound_batches(marked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, text, 4_000_000):
+            for batch in slices(whole, text, 1_000_000):
                 out, sizes = [], []
                 for t, s in zip(batch.column(text).cast(pa.large_binary()).to_pylist(), batch.column(spans).to_pylist(), strict=True):
                     parts = (t or b"") if unit == "byte" else (t or b"").split()

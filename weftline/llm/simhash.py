@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import cut_lineage, slices, with_arrays, without
+from weftline.llm.common import bound_batches, cut_lineage, slices, with_arrays, without
 from weftline.llm.graph import components
 
 SEGMENTS, WIDTH = 16, 4
@@ -41,13 +41,14 @@ def shingle_hashes(text: bytes, words_each: int, seed: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, n)
 
 
-def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", words_each: int = 3, seed: int = 42, step_bytes: int = 2_000_000) -> DataFrame:
+def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", words_each: int = 3, seed: int = 42, step_bytes: int = 1_000_000) -> DataFrame:
     """Add ``fp`` (long, the 64 bits as signed): bit i is 1 if it is set in over half of the shingles' hashes.
 
     A-Z are lower-cased, words are runs without ASCII white space, repeats count; fewer words than a shingle has make
     one shingle; none (null or blank text) give 0. ``text`` leaves the result; a clashing ``fp`` is replaced.
     """
     base = without(df, [out])
+    bound_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftline.llm.common import slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, slices, text_bytes, with_arrays, without
 
 LENGTH, STRIDE, HIDDEN, WORD, CHAR, CHAR_BITS = 24, 12, 8, 6, 6, 12
 f32 = np.float32
@@ -284,12 +284,13 @@ def fit(sample: DataFrame, **how) -> Network:
     return train(texts, np.array([rows["label"][i].as_py() for i in order], np.int64), **how)
 
 
-def score(df: DataFrame, net: Network, text: str = "text", out: str = "score", step_bytes: int = 2_000_000) -> DataFrame:
+def score(df: DataFrame, net: Network, text: str = "text", out: str = "score", step_bytes: int = 1_000_000) -> DataFrame:
     """Add ``out`` (double, 0 to 1): the worst of all windows of the whole text; null and empty texts get the least.
 
     A clashing column is replaced, others pass through; no shuffle, nothing is read but the text.
     """
     base = without(df, [out])
+    bound_batches(df)
     shared = df.sparkSession.sparkContext.broadcast(net)  # bounded by the words of the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
