@@ -48,7 +48,7 @@ BATCH_BYTES, SPARK_DEFAULT_BYTES = 8 << 20, 64 << 20
 def bound_batches(df: DataFrame) -> None:
     """Keep Arrow batches of texts small, on both sides of the pipe; a setting of the user's own stays as it is."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(name, "").rstrip("b") == str(SPARK_DEFAULT_BYTES):
+    if conf.get(name).rstrip("b") == str(SPARK_DEFAULT_BYTES):
         conf.set(name, str(BATCH_BYTES))
 
 
