@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by learned partitions.
 
 On a bounded sample a graph of nearest neighbours is cut into balanced parts (recursive halving along the main axis,
-then exchanges that lower the cut). A small classifier learns to name a vector's part. Every row is indexed under its
-most probable part; a query goes to several most probable parts and is reranked exactly against all that are there.
-Crowded parts are cut into blocks, so no task holds more than a block.
+then exchanges that lower the cut). A small classifier learns in which parts a vector's neighbours are. Every row is
+indexed under its most probable part; a query goes to several most probable parts and is reranked exactly against all
+that are there. How many parts it visits is measured on sample rows that were kept out of the fit.
+Crowded parts are cut into blocks of rows, and their visitors into layers, so no task holds more than a block and a layer.
 """
 
 from __future__ import annotations
@@ -63,7 +64,29 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 1
     return label
 
 
-def fit_router(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = 96, epochs: int = 40, seed: int = 5) -> tuple[np.ndarray, ...]:
+def neighbour_shares(label: np.ndarray, graph: np.ndarray, parts: int) -> np.ndarray:
+    """Per row the shares of its neighbours' parts; its own counts twice."""
+    shares = np.zeros((len(label), parts))
+    np.add.at(shares, (np.repeat(np.arange(len(label)), graph.shape[1]), label[graph].ravel()), 1.0)
+    shares[np.arange(len(label)), label] += 2
+    return shares / shares.sum(axis=1, keepdims=True)
+
+
+def part_scores(w: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    return np.tanh(x @ w[0] + w[1]) @ w[2] + w[3]
+
+
+def visits_for(w: tuple[np.ndarray, ...], indexed: np.ndarray, asked: np.ndarray, recall: float, k: int = 5) -> int:
+    """The least number of parts in which ``asked`` rows meet that share of their k nearest ``indexed`` rows."""
+    parts = len(w[3])
+    near = np.argpartition(-(asked @ indexed.T), min(k, len(indexed)) - 1, axis=1)[:, :k]
+    rank = np.argsort(np.argsort(-part_scores(w, asked), axis=1, kind="stable"), axis=1)
+    place = np.take_along_axis(rank, part_scores(w, indexed).argmax(axis=1)[near], axis=1)
+    met = np.cumsum(np.bincount(place.ravel(), minlength=parts)) / place.size
+    return int(np.argmax(met >= recall)) + 1
+
+
+def fit_router(x: np.ndarray, shares: np.ndarray, parts: int, hidden: int = 96, epochs: int = 40, seed: int = 5) -> tuple[np.ndarray, ...]:
     """One hidden layer and softmax, by Adam."""
     rng = np.random.default_rng(seed)
     w = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], hidden)) * 3, np.zeros(hidden), rng.normal(0, 1 / np.sqrt(hidden), (hidden, parts)), np.zeros(parts)]
@@ -76,8 +99,7 @@ def fit_router(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = 96, e
             z = h @ w[2] + w[3]
             z = np.exp(z - z.max(axis=1, keepdims=True))
             z /= z.sum(axis=1, keepdims=True)
-            z[np.arange(len(i)), label[i]] -= 1
-            z /= len(i)
+            z = (z - shares[i]) / len(i)
             back = (z @ w[2].T) * (1 - h * h)
             t += 1
             for j, g in enumerate((x[i].T @ back, back.sum(0), h.T @ z, z.sum(0))):
@@ -99,11 +121,11 @@ def cosines(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((candidates * candidates).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
-def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", sample_rows: int = 8192, rows_per_part: int = 1500, most_parts: int = 256, probes: float = 0.35, block_rows: int = 4096) -> DataFrame:
+def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", sample_rows: int = 8192, rows_per_part: int = 600, most_parts: int = 256, recall: float = 0.96, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest found by cosine, nearest first, ties to smaller ids.
 
     Every usable row is indexed; only partitioner and router are fitted on ``sample_rows`` rows (of least hash) at most.
-    ``probes``: the share of parts that a query visits (4 at least). Candidates are rows of other ids. Vectors that are
+    ``recall``: what the number of visited parts is chosen for, on an eighth of the sample. Candidates are rows of other ids. Vectors that are
     null, empty, zero or have a null or non-finite component take no part, nor do those of another length than the most
     of the sample; repeated rows are candidates each; an empty table gives no rows.
     """
@@ -118,8 +140,13 @@ def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector:
     x = np.unique(_unit(np.array([v for v in sample if len(v) == dim])), axis=0)
     total = rows.count()
     parts = 1 << max(0, min(most_parts, len(x) // 24, total // rows_per_part).bit_length() - 1)
-    visits = min(parts, max(4, round(probes * parts)))
-    weights = fit_router(x, balanced_parts(x, neighbour_graph(x, 10), parts), parts) if parts > 1 else None
+    visits, weights = 1, None
+    if parts > 1:
+        x = x[np.random.default_rng(7).permutation(len(x))]
+        fitted, kept_out = x[len(x) // 8 :], x[: len(x) // 8]
+        graph = neighbour_graph(fitted, 10)
+        weights = fit_router(fitted, neighbour_shares(balanced_parts(fitted, graph, parts), graph, parts), parts)
+        visits = visits_for(weights, fitted, kept_out, recall)
     shared = df.sparkSession.sparkContext.broadcast(weights)  # (dim + parts) * hidden numbers
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,16 +158,21 @@ def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector:
                 probable = np.zeros((batch.num_rows, 1), np.int32)
             else:
                 u = _unit(matrix(batch.column("v")))
-                probable = np.argsort(-(np.tanh(u @ w[0] + w[1]) @ w[2] + w[3]), axis=1, kind="stable")[:, :visits].astype(np.int32)
+                probable = np.argsort(-part_scores(w, u), axis=1, kind="stable")[:, :visits].astype(np.int32)
             yield with_arrays(batch, **{"part": pa.array(probable[:, 0]), "visits": pa.array(list(probable), pa.list_(pa.int32()))})
 
     schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
     routed = rows.mapInArrow(route, schema).withColumn("key", key)
     sizes = dict(routed.groupBy("part").count().collect())  # a number for each of at most most_parts parts
     blocks = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // block_rows))) for p in range(parts)])
-    candidates = routed.select("id", "v", "part", F.pmod("key", F.element_at(blocks, F.col("part") + 1)).cast("int").alias("block"))
     asked = routed.where("is_query").select("key", "id", "v", "visits").dropDuplicates(["key"]).select("key", "id", "v", F.explode("visits").alias("part"))
-    queries = asked.select("key", "id", "v", "part", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part") + 1) - 1)).alias("block"))
+    visitors = dict(asked.groupBy("part").count().collect())
+    layers = F.array(*[F.lit(max(1, -(-visitors.get(p, 0) // block_queries))) for p in range(parts)])
+    of = lambda counts: F.element_at(counts, F.col("part") + 1)
+    dealt = lambda counts: F.pmod("key", of(counts)).cast("int")
+    every = lambda counts: F.explode(F.sequence(F.lit(0), of(counts) - 1))
+    candidates = routed.select("id", "v", "part", dealt(blocks).alias("block"), every(layers).alias("layer"))
+    queries = asked.select("key", "id", "v", "part", dealt(layers).alias("layer"), every(blocks).alias("block"))
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -162,6 +194,6 @@ def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("query_key", "query_id", "vec_id", "score"), columns, kinds, strict=True)})
 
-    met = tiles(queries, candidates, ["part", "block"], search, SCHEMA)
+    met = tiles(queries, candidates, ["part", "block", "layer"], search, SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
