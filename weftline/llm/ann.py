@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import with_arrays
+from weftline.llm.common import in_worker, with_arrays
 from weftline.llm.vectors import matrix, tiles, usable
 
 SCHEMA = "query_key long, query_id long, vec_id long, score double"
@@ -162,7 +162,7 @@ def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector:
             yield with_arrays(batch, **{"part": pa.array(probable[:, 0]), "visits": pa.array(list(probable), pa.list_(pa.int32()))})
 
     schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
-    routed = rows.mapInArrow(route, schema).withColumn("key", key)
+    routed = rows.mapInArrow(in_worker("ann", route), schema).withColumn("key", key)
     sizes = dict(routed.groupBy("part").count().collect())  # a number for each of at most most_parts parts
     blocks = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // block_rows))) for p in range(parts)])
     asked = routed.where("is_query").select("key", "id", "v", "visits").dropDuplicates(["key"]).select("key", "id", "v", F.explode("visits").alias("part"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,40 @@ def bound_batches(df: DataFrame) -> None:
         conf.set(name, str(BATCH_BYTES))
 
 
+#: What the operator that last ran in this Python worker keeps over tasks, and which operator that was.
+kept_by_worker: dict[str, object] = {}
+_ran_last: list[str] = [""]
+
+
+def settle(operator: str) -> None:
+    """A worker serves one operator after another: what the one before kept goes when the next begins."""
+    if _ran_last[0] != operator:
+        kept_by_worker.clear()
+        _ran_last[0] = operator
+        hand_back()
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_worker(operator: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A batch function that settles first and hands memory back when it is done."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from weftline.llm import common  # the worker's own module, not a pickled copy of its state
+
+        common.settle(operator)
+        yield from run(batches)
+        common.hand_back()
+
+    return wrapped
+
+
 def row_key(id_col: Column, text_col: Column) -> Column:
     """64-bit key of a row from its id and whole text. Rows equal in both share a key, and every result of theirs."""
     return F.xxhash64(F.lit(7), F.coalesce(id_col.cast("string"), F.lit("\u0000null")), F.coalesce(text_col, F.lit("")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, slices, texts, with_arrays, without
+from weftline.llm.common import bound_batches, in_worker, kept_by_worker, slices, texts, with_arrays, without
 from weftline.llm.merges import MergeTable, Remembered
 from weftline.llm.repeats import powers, scramble
 
@@ -188,7 +188,11 @@ class Counter:
         return counts
 
 
-_counters: dict[int, Counter] = {}
+def _shared_counter(key: int, spec: dict) -> Counter:
+    """One counter for a worker and vocabulary, kept over tasks."""
+    if kept_by_worker.get("counter of") != key:
+        kept_by_worker["counter of"], kept_by_worker["counter"] = key, Counter(spec)
+    return kept_by_worker["counter"]
 
 
 def count_tokens(df: DataFrame, spec: dict, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens", step_bytes: int = 2_000_000) -> DataFrame:
@@ -201,13 +205,10 @@ def count_tokens(df: DataFrame, spec: dict, text: str = "text", n_bytes: str = "
     shared = df.sparkSession.sparkContext.broadcast((hash((len(spec["merges"]), *spec["merges"][-50:], *spec["added"])), spec))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, value = shared.value
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = Counter(value)
+        counter = _shared_counter(*shared.value)
         for whole in batches:
             for batch in slices(whole, text, step_bytes):
                 size = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).cast(pa.int64())
-                yield with_arrays(batch, **{n_bytes: size, n_tokens: pa.array(_counters[key].count(texts(batch.column(text))), pa.int64())})
+                yield with_arrays(batch, **{n_bytes: size, n_tokens: pa.array(counter.count(texts(batch.column(text))), pa.int64())})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(n_bytes, T.LongType()), T.StructField(n_tokens, T.LongType())]))
+    return base.mapInArrow(in_worker("fst_tokens", run), T.StructType([*base.schema.fields, T.StructField(n_bytes, T.LongType()), T.StructField(n_tokens, T.LongType())]))

@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, slices, texts, with_arrays, without
+from weftline.llm.common import bound_batches, in_worker, kept_by_worker, slices, texts, with_arrays, without
 from weftline.llm.merges import MergeTable, Remembered
 
 MARK = "▁"
@@ -85,21 +84,12 @@ class Codec:
         return text[1:] if text.startswith(" ") and len(ids) and int(ids[0]) not in self.byte_of else text
 
 
-@lru_cache(maxsize=2)
-def codec(model: tuple) -> Codec:
-    return Codec(model)
-
-
-_codecs: dict[int, Codec] = {}
-
-
 def _shared_codec(broadcast) -> Codec:
     """One codec for a worker and model, kept over tasks."""
     key = broadcast.value[0]
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(broadcast.value[1])
-    return _codecs[key]
+    if kept_by_worker.get("codec of") != key:
+        kept_by_worker["codec of"], kept_by_worker["codec"] = key, Codec(broadcast.value[1])
+    return kept_by_worker["codec"]
 
 
 def _ship(df: DataFrame, model: tuple):
@@ -124,7 +114,7 @@ def encode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", st
                 np.cumsum([len(g) // 4 for g in got], out=offsets[1:])
                 yield with_arrays(batch, **{ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return base.mapInArrow(in_worker("pieces", run), T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(df: DataFrame, model: tuple, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -146,7 +136,7 @@ def decode(df: DataFrame, model: tuple, ids: str = "ids", decoded: str = "decode
                     start = end
                 yield with_arrays(batch, **{decoded: pa.array(out, pa.string())})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(decoded, T.StringType())]))
+    return base.mapInArrow(in_worker("pieces", run), T.StructType([*base.schema.fields, T.StructField(decoded, T.StringType())]))
 
 
 def digests(encoded: DataFrame, keep: list[str]) -> DataFrame:

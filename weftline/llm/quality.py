@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, in_worker, slices, text_bytes, with_arrays, without
 
 ORDERS = (2, 3)
 BACK = (1, 2, 3, 4)
@@ -118,7 +118,7 @@ def bags(df: DataFrame, bits: int, text: str = "text", label: str = "label") ->
                     shares.append((n / max(1, n.sum())).astype(np.float32).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.binary()), pa.array(shares, pa.binary()), batch.column(label).cast(pa.int32())], names=["buckets", "shares", "label"])
 
-    return df.select(text, label).mapInArrow(run, "buckets binary, shares binary, label int")
+    return df.select(text, label).mapInArrow(in_worker("quality", run), "buckets binary, shares binary, label int")
 
 
 def fit(sample: DataFrame, bits: int = 14, **how) -> Model:
@@ -142,7 +142,7 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", s
             for batch in slices(whole, text, step_bytes):
                 yield with_arrays(batch, **{out: pa.array(shared.value.score(*text_bytes(batch.column(text))))})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.DoubleType())]))
+    return base.mapInArrow(in_worker("quality", run), T.StructType([*base.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def decided(scored: DataFrame, at_least: float = 0.3, out: str = "predicted") -> DataFrame:

@@ -25,25 +25,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, row_key, slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, in_worker, kept_by_worker, row_key, slices, text_bytes, with_arrays, without
 from weftline.llm.suffixes import RunLengthIndex, WaveletIndex
 
 _MIX = np.random.default_rng(31).integers(1, 2**63 - 1, (256,), np.int64).astype(np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BLANK = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
-_powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """1, B, B^2, ... and their inverses, modulo 2^64."""
-    if len(_powers.get("up", ())) < n:
+    if len(kept_by_worker.get("up", ())) < n:
         size = max(n, 1 << 20)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             p = np.full(size, base, np.uint64)
             p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"][:n], _powers["down"][:n]
+            kept_by_worker[name] = np.multiply.accumulate(p)
+    return kept_by_worker["up"][:n], kept_by_worker["down"][:n]
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -212,7 +211,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
             yield pa.RecordBatch.from_arrays([_signed(a), _signed(c), pa.array(key), pa.array(first)], names=["a", "c", "key", "first"])
 
     # 1. Contents and how often they occur; the anchor's shard counts its contents and their occurrences.
-    sent = keyed.mapInArrow(counted, "a long, c long, n long, key long, first int, windows int").repartition("a")
+    sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c long, n long, key long, first int, windows int").repartition("a")
     contents = sent.groupBy("a", "c").agg(F.sum("n").alias("n"), *[F.first(x).alias(x) for x in ("key", "first", "windows")])
     by_anchor = Window.partitionBy("a")
     shared = contents.withColumn("different", F.count("*").over(by_anchor)).withColumn("all", F.sum("n").over(by_anchor)).where(F.col("all") > 1)
@@ -243,7 +242,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(m, x[i])) for x in (a, c, n)] + [pa.nulls(m, pa.binary()), _signed(w), pa.array(np.arange(m, dtype=np.int32))], names=["a", "c", "n", "payload", "w", "at"])
 
     met = base.join(wanted, F.col("__key") == F.col("key")).drop("key")
-    cut_out = met.mapInArrow(examples, "a long, c long, n long, payload binary, w long, at int")
+    cut_out = met.mapInArrow(in_worker("repeats", examples), "a long, c long, n long, payload binary, w long, at int")
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors, until there are about ``shard_units``; a content met twice (from repeated rows) counts once."""
@@ -270,13 +269,13 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
             yield emit(rows)
 
     dealt = cut_out.where("payload is not null").select("a", "c", "n", "payload").repartition("a").sortWithinPartitions("a")
-    by_index = dealt.mapInArrow(indexed, "a long, c long, runs array<int>")
+    by_index = dealt.mapInArrow(in_worker("repeats", indexed), "a long, c long, runs array<int>")
     single = cut_out.where("payload is null").select("a", "c", "n", "w", "at").distinct()
     equal = single.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
     by_window = single.join(equal, "w").groupBy("a", "c").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("runs"))
     marks = by_index.unionByName(by_window)
     # 3. Back to all stretches of such contents, and to their texts.
-    places = keyed.mapInArrow(placed, "a long, c long, key long, first int")
+    places = keyed.mapInArrow(in_worker("repeats", placed), "a long, c long, key long, first int")
     covered = places.join(marks, ["a", "c"]).groupBy("key").agg(F.collect_list(F.struct("first", "runs")).alias("covered"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +297,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
 
     joined = base.join(covered, F.col("__key") == F.col("key"), "left").drop("key")
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return joined.mapInArrow(spans, schema).drop("__key")
+    return joined.mapInArrow(in_worker("repeats", spans), schema).drop("__key")
 
 
 def remove(marked: DataFrame, unit: str, text: str = "text", spans: str = "spans", kept: str = "kept", units: str = "n_units") -> DataFrame:
@@ -318,7 +317,7 @@ def remove(marked: DataFrame, unit: str, text: str = "text", spans: str = "spans
                     out.append(b"".join(left) if unit == "byte" else b" ".join([w for ws in left for w in ws]))
                 yield with_arrays(batch, **{kept: pa.array(out, pa.binary()), units: pa.array(sizes, pa.int64())})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(kept, T.BinaryType()), T.StructField(units, T.LongType())]))
+    return base.mapInArrow(in_worker("repeats", run), T.StructType([*base.schema.fields, T.StructField(kept, T.BinaryType()), T.StructField(units, T.LongType())]))
 
 
 def removed_units(spans: str = "spans"):

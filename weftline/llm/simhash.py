@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, cut_lineage, slices, with_arrays, without
+from weftline.llm.common import bound_batches, cut_lineage, in_worker, slices, with_arrays, without
 from weftline.llm.graph import components
 
 SEGMENTS, WIDTH = 16, 4
@@ -63,7 +63,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", words_each:
                 yield with_arrays(batch.drop_columns([text]), **{out: pa.array(prints.view(np.int64))})
 
     schema = T.StructType([f for f in base.schema.fields if f.name != text] + [T.StructField(out, T.LongType())])
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(in_worker("simhash", run), schema)
 
 
 def _segment(fp: Column, i: int) -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, slices, text_bytes, with_arrays, without
+from weftline.llm.common import bound_batches, in_worker, slices, text_bytes, with_arrays, without
 
 LENGTH, STRIDE, HIDDEN, WORD, CHAR, CHAR_BITS = 24, 12, 8, 6, 6, 12
 f32 = np.float32
@@ -298,4 +298,4 @@ def score(df: DataFrame, net: Network, text: str = "text", out: str = "score", s
             for batch in slices(whole, text, step_bytes):
                 yield with_arrays(batch, **{out: pa.array(shared.value.score(*text_bytes(batch.column(text))).astype(np.float64))})
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(out, T.DoubleType())]))
+    return base.mapInArrow(in_worker("toxicity", run), T.StructType([*base.schema.fields, T.StructField(out, T.DoubleType())]))
