@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import mixing, pieces, quality, repeats, simhash
+from weftline.llm import mixing, pieces, quality, repeats, similar, simhash
 from weftline.llm.common import ensure_checkpoint_dir, read_table
 from weftline.llm.queries import quality_model, vocabulary_path
 
@@ -20,10 +20,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked fingerprints: the one with the least id."""
+    """One document of each component of linked fingerprints, by the rule of op7 (not a stage: it finds few near copies)."""
     return simhash.keep_one(docs)
 
 
+def similar_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of texts whose five-word shingles are alike to 0.8 or more: the one with the least id."""
+    return similar.keep_one(docs)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words under repeated runs of 35 words; a text of which none is left goes, unless it had none.
 
@@ -53,7 +58,7 @@ def sentencepiece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", quality_classifier),
-    ("simhash_near_dedup", simhash_near_dedup),
+    ("simhash_near_dedup", similar_dedup),
     ("substring_dedup", substring_dedup),
     ("mix_sources", mix_sources),
     ("sentencepiece_codec", sentencepiece_codec),
