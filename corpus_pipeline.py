@@ -44,7 +44,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that source, language and topic have their target shares of tokens; half of the tokens stay."""
+    """Documents drawn so that source, language and topic have their target shares of tokens, as far as half of the tokens
+    allow: a level that is smaller than its target stays whole (``mixing.goals``)."""
     return mixing.sample(docs, mixing.default_plan())
 
 

@@ -4,6 +4,10 @@ Documents fall into cells of source, language and topic. The cells' token masses
 scaled to its target shares, round after round. A cell's rate is its raked mass over its own; a document is sampled
 with probability min(1, scale * rate), where the scale is calibrated so that the expected tokens meet the budget
 although no probability passes 1. A hash of the id decides, so the same documents are drawn again by any retry.
+
+That scale leaves the margins where many cells are capped (``calibrate``, as the SQL of op1_mixing has it). ``sample``
+rakes under the cap instead: no cell is given more than its own mass, and the probabilities have the margins that the
+budget allows (``goals``); ``margins`` reports how far these are from the targets.
 """
 
 from __future__ import annotations
@@ -111,6 +115,76 @@ def weighed(rows: DataFrame, plan: Plan, mass: str = "mass") -> DataFrame:
     return cut_lineage(calibrate(rake(cells, plan), plan))
 
 
+def goals(cells: DataFrame, plan: Plan) -> dict[str, DataFrame]:
+    """Per column (level, own, target, goal): the tokens to keep of each level. A level that has fewer than its target is
+    kept whole, and the others share what is left of the budget in the proportions of their targets."""
+    total = float(cells.agg(F.sum("mass")).first()[0] or 0.0)
+    out = {}
+    for column, target in _targets(cells, plan).items():
+        own = cells.groupBy(column).agg(F.sum("mass").cast("double").alias("own"))
+        levels, scale = cut_lineage(own.join(target, column)), plan.kept_share * total
+        while True:
+            whole = F.col("target") * F.lit(scale) >= F.col("own")
+            kept, free = levels.agg(F.sum(F.when(whole, F.col("own")).otherwise(0.0)), F.sum(F.when(whole, 0.0).otherwise(F.col("target")))).first()
+            raised = max(scale, (plan.kept_share * total - kept) / free) if free else scale
+            if raised <= scale * (1 + 1e-12):
+                break
+            scale = raised
+        out[column] = levels.withColumn("goal", F.least("own", F.col("target") * F.lit(scale)))
+    return out
+
+
+def rake_within(cells: DataFrame, plan: Plan, goal: Mapping[str, DataFrame]) -> DataFrame:
+    """Add ``weight`` and ``kept`` to cells (plan.columns, mass): kept is the lesser of mass and weight, and its margins are
+    the goals. In each step a level's weights are scaled by the one factor at which its cells, full ones held at their
+    mass, add up to the level's goal."""
+    raked = cells.withColumn("weight", F.col("mass").cast("double"))
+    for column, levels in goal.items():
+        raked = raked.join(levels.select(column, F.col("goal").alias(f"goal{column}")), column)
+    raked = cut_lineage(raked)
+    for k in range(1, plan.rounds + 1):
+        for column in goal:
+            level = Window.partitionBy(column)
+            by_room = level.orderBy("room")
+            at = F.struct(F.col("place"), F.col("factor"))
+            raked = (
+                raked.withColumn("room", F.when(F.col("weight") > 0, F.col("mass") / F.col("weight")).otherwise(float("inf")))
+                .withColumn("place", F.row_number().over(by_room))
+                .withColumn("full", F.coalesce(F.sum("mass").over(by_room.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("rest", F.sum("weight").over(by_room.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+                .withColumn("factor", F.when(F.col("rest") > 0, (F.col(f"goal{column}") - F.col("full")) / F.col("rest")))
+                .withColumn("found", F.min(F.when(F.col("factor") <= F.col("room"), at)).over(level)["factor"])
+                .withColumn("most", F.max(F.when(F.col("weight") > 0, F.col("room"))).over(level))
+                .withColumn("weight", F.col("weight") * F.coalesce("found", "most", F.lit(0.0)))
+                .drop("room", "place", "full", "rest", "factor", "found", "most")
+            )
+        if k % 2 == 0 or k == plan.rounds:
+            raked = cut_lineage(raked)
+    return raked.select(*plan.columns, "mass", "weight", F.least(F.col("mass").cast("double"), "weight").alias("kept"))
+
+
+def weighed_within(rows: DataFrame, plan: Plan, mass: str = "mass") -> DataFrame:
+    """(plan.columns, mass, weight, kept, rate, probability) of each cell: mass * probability has the goals as margins."""
+    cells = cut_lineage(rows.groupBy(*plan.columns).agg(F.sum(mass).alias("mass")))
+    raked = rake_within(cells, plan, goals(cells, plan))
+    part = lambda c: F.when(F.col("mass") > 0, F.col(c) / F.col("mass")).otherwise(0.0)
+    return cut_lineage(raked.withColumn("rate", part("weight")).withColumn("probability", part("kept")))
+
+
+def margins(cells: DataFrame, plan: Plan) -> DataFrame:
+    """(margin, level, own, target, goal, kept) as shares: where target and goal differ, the level is too small for its
+    target or takes what such levels leave; kept is what the probabilities of ``cells`` are expected to keep."""
+    total = float(cells.agg(F.sum("mass")).first()[0] or 0.0) or 1.0
+    got = float(cells.agg(F.sum(F.col("mass") * F.col("probability"))).first()[0] or 0.0) or 1.0
+    out = None
+    for column, levels in goals(cells, plan).items():
+        kept = cells.groupBy(column).agg((F.sum(F.col("mass") * F.col("probability")) / F.lit(got)).alias("kept"))
+        shares = levels.select(column, (F.col("own") / F.lit(total)).alias("own"), "target", (F.col("goal") / F.lit(plan.kept_share * total)).alias("goal"))
+        one = shares.join(kept, column).select(F.lit(column).alias("margin"), F.col(column).alias("level"), "own", "target", "goal", "kept")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def attach(rows: DataFrame, cells: DataFrame, plan: Plan) -> DataFrame:
     """Add ``rate`` and ``probability`` of its cell to each row. Cells go to all tasks only where they are counted few;
     else a shuffle joins them, in which Spark splits a crowded cell's rows."""
@@ -140,7 +214,7 @@ def sample(docs: DataFrame, plan: Plan, id_col: str = "doc_id", **names: str) ->
     An empty table gives no rows; repeated rows are drawn or left together.
     """
     rows = described(docs, **names)
-    cells = weighed(rows, plan, "__mass")
+    cells = weighed_within(rows, plan, "__mass")
     drawn = attach(rows, cells, plan).where(chance(F.col(id_col), plan.seed) < F.col("probability"))
     return drawn.select(*docs.columns)
 

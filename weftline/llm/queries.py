@@ -16,11 +16,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op1_mixing(spark: SparkSession, sf_dir: str, weigh=mixing.weighed) -> DataFrame:
     plan = mixing.default_plan()
     docs = mixing.described(read_table(spark, sf_dir, "documents"))
     rows = cut_lineage(docs.select("doc_id", "__source", "__language", "__topic", "__mass"))
-    found = mixing.attach(rows, mixing.weighed(rows, plan, "__mass"), plan)
+    found = mixing.attach(rows, weigh(rows, plan, "__mass"), plan)
     return found.select(
         "doc_id",
         F.col("__source").alias("source"),
@@ -33,6 +33,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_mixing_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op1_mixing, but raked under the cap, so that the probabilities have the margins."""
+    return op1_mixing(spark, sf_dir, mixing.weighed_within)
+
+
 def op2_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = repeats.remove(repeats.byte_repeats(docs, width=200), "byte", units="n_bytes")
@@ -102,6 +107,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_word_repeats": op10_word_repeats,
+    "op1_mixing_margins": op1_mixing_margins,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.oracle_sql(mixing.default_plan()),
