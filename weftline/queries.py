@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.fixtures import fixture, with_views
@@ -368,12 +368,23 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("pos", first["user"].alias("user"), first["meta"].alias("meta"), F.col("p.error").isNotNull().alias("failed"))
 
 
+#: What the recorded validator does with a sample's first variant; any other kind is valid.
+REFUSED, OUT_OF_RANGE, UNREADABLE = 0, 1, 2
+
+
+def recorded_kind(sample_id: Column) -> Column:
+    return F.crc32(sample_id) % 6
+
+
 @query("generate_round_replay")
 def generate_round_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two rounds over recorded responses: a duplicate in the first, what is still missing in the second."""
+    """Three rounds over recorded responses and verdicts: a duplicate in the first, what is still missing in the others.
+
+    The validator refuses some samples' first variant, and stops others by a faulty or an unreadable verdict.
+    """
     from weftline.plans.rounds import Rounds, run_rounds
 
-    rows = fixture(spark, sf_dir, "fx1").where("logical_index < 40")
+    rows = fixture(spark, sf_dir, "fx1")
     sampled = rows.select(F.concat_ws("_", "task_id", "sample_index").alias("sample_id"), F.col("context").alias("source_user"), F.lit("{}").alias("source_meta"), F.lit(None).cast("string").alias("ref_answer"))
     missing = resume.expected_tasks(sampled, 2).select("sample_id", "variant_index")
     item = lambda user: F.concat(F.lit('{"user":"'), user, F.lit('","answer":"A"}'))
@@ -381,7 +392,14 @@ def generate_round_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, two = F.concat(F.lit("first "), "sample_id"), F.concat(F.lit("second "), "sample_id")
     content = F.concat(F.lit('{"items":['), F.when(again, item(two)).otherwise(F.concat(item(one), F.lit(","), item(one))), F.lit("]}"))
     answer = lambda requests: requests.withColumn("content", content).withColumn("error", F.lit(None).cast("string"))
-    tasks, _ = run_rounds(sampled, missing, missing.limit(0).withColumn("user", F.lit("")), Rounds(_PROFILE, answer, None, 3))
+    first, kind = F.contains("prompt", one), recorded_kind(F.col("sample_id"))
+    valid = F.when(first & (kind == REFUSED), "false").otherwise("true")
+    offset = F.when(first & (kind == OUT_OF_RANGE), F.col("n")).otherwise(0)
+    verdict = lambda i: F.concat(F.lit('{"index":'), (i + offset).cast("string"), F.lit(',"valid":'), valid, F.lit(',"reason":"too close"}'))
+    verdicts = F.concat(F.lit('{"items":['), F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), verdict), ","), F.lit("]}"))
+    judged = F.when(first & (kind == UNREADABLE), "no verdict").otherwise(verdicts)
+    validate = lambda requests: requests.withColumn("content", judged).withColumn("error", F.lit(None).cast("string"))
+    tasks, _ = run_rounds(sampled, missing, missing.limit(0).withColumn("user", F.lit("")), Rounds(_PROFILE, answer, validate, 3))
     return tasks.select("sample_id", "task_id", "user", "expected_answer")
 
 
