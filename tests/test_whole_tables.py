@@ -25,3 +25,11 @@ def test_rounds_over_all_samples(spark, folder):
     assert {own.REFUSED, own.OUT_OF_RANGE, own.UNREADABLE} < kinds
     got = own.QUERIES["generate_round_replay"](spark, at).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+@pytest.mark.parametrize(("name", "column"), [("feedback_message_all", "rejected"), ("validator_permutation_check_all", "n")])
+def test_every_row_of_fx2_counts(spark, sf, name, column):
+    rows = fixture(spark, sf, "fx2")
+    sizes = {r.sample_id: r["count"] for r in rows.groupBy("sample_id").count().collect()}
+    assert {r.sample_id: r[column] for r in own.QUERIES[name](spark, sf).collect()} == sizes
+    assert "pos % 10 = 0" not in own.ORACLE_SQL[name] and "pos % 4 = 1" not in own.ORACLE_SQL[name]

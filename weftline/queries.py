@@ -264,22 +264,34 @@ def allocate_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("feedback_message", f""", reasons AS (SELECT sample_id, pos % 3 AS stage, pos, '#' || pos || ' rejected' AS reason FROM fx2 WHERE pos % 4 = 1),
     r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY stage, pos) AS k FROM reasons)
     SELECT sample_id, '{candidates.FEEDBACK_LEAD}' || string_agg(reason, '{candidates.FEEDBACK_JOIN}' ORDER BY k) FILTER (WHERE k <= 8) AS feedback, count(*) AS rejected FROM r GROUP BY sample_id""", "fx2")
-def feedback_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reasons = fixture(spark, sf_dir, "fx2").where("pos % 4 = 1").select("sample_id", (F.col("pos") % 3).alias("stage"), "pos", F.concat(F.lit("#"), F.col("pos").cast("string"), F.lit(" rejected")).alias("reason"))
+def feedback_message(spark: SparkSession, sf_dir: str, rows: str = "pos % 4 = 1") -> DataFrame:
+    reasons = fixture(spark, sf_dir, "fx2").where(rows).select("sample_id", (F.col("pos") % 3).alias("stage"), "pos", F.concat(F.lit("#"), F.col("pos").cast("string"), F.lit(" rejected")).alias("reason"))
     return candidates.feedback(reasons, "sample_id")
 
 
+@query("feedback_message_all", ORACLE_SQL["feedback_message"].replace(" WHERE pos % 4 = 1", ""))
+def feedback_message_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As feedback_message, with a reason for every row of fx2."""
+    return feedback_message(spark, sf_dir, "true")
+
+
 @query("validator_permutation_check", """, v AS (SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY pos) - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n FROM fx2 WHERE pos % 10 = 0),
     w AS (SELECT sample_id, n, CASE WHEN substr(sample_id, 4) IN ('1', '5') AND i = 0 THEN n WHEN substr(sample_id, 4) IN ('2', '7') AND i = 0 AND n > 1 THEN 1 ELSE i END AS i FROM v)
     SELECT sample_id, any_value(n) AS n, CASE WHEN max(i) >= any_value(n) THEN 'validator returned out-of-range item index' WHEN count(DISTINCT i) < count(*) THEN 'validator returned duplicate item index' END AS fault FROM w GROUP BY sample_id""", "fx2")
-def validator_permutation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = candidates.ranked(fixture(spark, sf_dir, "fx2").where("pos % 10 = 0"), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
+def validator_permutation_check(spark: SparkSession, sf_dir: str, rows: str = "pos % 10 = 0") -> DataFrame:
+    at = candidates.ranked(fixture(spark, sf_dir, "fx2").where(rows), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
     sizes = at.groupBy("sample_id").agg(F.count("*").alias("n"))
     key = F.substring("sample_id", 4, 10)
     wrong = F.when(key.isin("1", "5") & (F.col("i") == 0), F.col("n")).when(key.isin("2", "7") & (F.col("i") == 0) & (F.col("n") > 1), 1).otherwise(F.col("i"))
     return candidates.verdict_faults(at.join(sizes, "sample_id").select("sample_id", wrong.alias("index")), sizes, "sample_id")
 
 
+@query("validator_permutation_check_all", ORACLE_SQL["validator_permutation_check"].replace(" WHERE pos % 10 = 0", ""))
+def validator_permutation_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As validator_permutation_check, with a verdict for every row of fx2."""
+    return validator_permutation_check(spark, sf_dir, "true")
+
+
 @query("run_summary", f"SELECT count(*) FILTER (WHERE NOT s AND c) AS success, count(*) FILTER (WHERE NOT s AND NOT c) AS failed, count(*) FILTER (WHERE s) AS skipped FROM (SELECT {sql_correct('expected', 'assistant')} AS c, l_partkey % 10 = 0 AS s FROM fx5) t", "fx5")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grading.answer_stats(grading.grade(fixture(spark, sf_dir, "fx5")), F.col("l_partkey") % 10 == 0)
