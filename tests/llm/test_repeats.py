@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.llm import repeats
 from weftline.llm.suffixes import RunLengthIndex, Suffixes, WaveletIndex
@@ -41,10 +42,20 @@ def test_indexes_on_random_collections():
         symbols, width = np.concatenate([np.r_[np.array(s, np.int64), 0] for s in strings]), int(rng.integers(1, 12))
         end = np.cumsum([len(s) + 1 for s in strings]) - 1
         start = end - np.array([len(s) for s in strings])
-        own, tree = RunLengthIndex(symbols).statistics() >= width, WaveletIndex(symbols).repeated(symbols, start, end, width)
-        for b, s, flags in zip(start, strings, repeated(strings, width), strict=True):
-            assert own[b : b + len(flags)].tolist() == flags and tree[b : b + len(flags)].tolist() == flags
-            assert all(not s[i:] or own[b + i] in (True, False) for i in range(len(s)))
+        twice = (rng.random(len(strings)) < 0.3).astype(np.int64)  # given once, there twice
+        all_of_them = strings + [s for s, t in zip(strings, twice, strict=True) if t]
+        times = Counter(tuple(s[i:j]) for s in all_of_them for i in range(len(s)) for j in range(i + 1, len(s) + 1))
+        own = RunLengthIndex(symbols, twice).statistics()
+        for b, s in zip(start, strings, strict=True):  # lengths of the longest matches
+            want = [max((j - i for j in range(i + 1, len(s) + 1) if times[tuple(s[i:j])] > 1), default=0) for i in range(len(s))]
+            assert own[b : b + len(s)].tolist() == want
+        covered = np.zeros(len(symbols), bool)
+        for first, after, rows in zip(*WaveletIndex(symbols, twice).matches(symbols, start, end, width), strict=True):
+            assert after - first >= width and times[tuple(symbols[first:after].tolist())] == rows
+            covered[first : after - width + 1] = True
+        for b, s in zip(start, strings, strict=True):
+            n = len(s) - width + 1
+            assert covered[b : b + max(n, 0)].tolist() == [times[tuple(s[i : i + width])] > 1 for i in range(n)]
 
 
 def test_suffix_order():
@@ -79,7 +90,39 @@ def test_production_widths(odd_documents):
         assert Counter(tuple(r.spans) for r in marked.collect()) == want
 
 
-def test_long_words_differ_beyond_their_start():
-    data = b"a" * 100 + b"bc " + b"a" * 100 + b"cb"
-    units = repeats.words_as_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-    assert len(set(units.value.tolist())) == 2
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_of_equal_hashes_differ(spark):
+    """A word and its mirror image whose polynomial hashes modulo 2^64 agree for every odd base."""
+    one, other = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    lead = " ".join(f"w{i}" for i in range(34))
+    frame = lambda *texts: spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    marked = repeats.word_repeats(frame(f"{lead} {one}", f"{lead} {other}", "short")).orderBy("doc_id").collect()
+    assert [r.spans for r in marked] == [[], [], []]
+    marked = repeats.word_repeats(frame(f"{lead} {one}", f"{lead} {one} {other}")).orderBy("doc_id").collect()
+    assert [r.spans for r in marked] == [[0, 35], [0, 35]]
+    marked = repeats.byte_repeats(frame(one, other, one[:500])).orderBy("doc_id").collect()
+    assert [tuple(r.spans) for r in marked] == brute_spans([one, other, one[:500]], "byte", 200)
+
+
+@pytest.mark.parametrize(("unit", "kind", "width", "anchor"), [("byte", "runs", 30, 9), ("word", "wavelet", 7, 3)])
+def test_a_crowded_anchor_is_spread(spark, unit, kind, width, anchor):
+    """A line in many different texts, some of which agree beyond it: as brute force has it, in shards of any size."""
+    rng = np.random.default_rng(2)
+    line = "the very common line that stands there"
+    texts = [" ".join([*map(str, rng.integers(0, 40, 12)), line, *map(str, rng.integers(0, 40, 12))]) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = dict(enumerate(brute_spans(texts, unit, width)))
+    for crowded in (8, 100_000):
+        got = {r.doc_id: tuple(r.spans) for r in repeats.mark(df, kind, unit, width, anchor, crowded=crowded).collect()}
+        assert got == want
+
+
+def test_rows_repeated_many_times(spark):
+    """20,000 copies of a row: each has the row's places once."""
+    text = " ".join(f"w{i}" for i in range(120))
+    df = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(text).alias("text")).unionByName(spark.createDataFrame([(2, text[:300])], "doc_id long, text string"))
+    got = repeats.word_repeats(df).groupBy("doc_id", "spans").count().collect()
+    assert sorted((r.doc_id, tuple(r.spans), r["count"]) for r in got) == [(1, (0, 120), 20_000), (2, (0, len(text[:300].split()) - (0 if text[300] == " " else 1)), 1)]

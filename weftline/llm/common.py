@@ -89,9 +89,11 @@ def in_worker(operator: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return wrapped
 
 
-def row_key(id_col: Column, text_col: Column) -> Column:
-    """64-bit key of a row from its id and whole text. Rows equal in both share a key, and every result of theirs."""
-    return F.xxhash64(F.lit(7), F.coalesce(id_col.cast("string"), F.lit("\u0000null")), F.coalesce(text_col, F.lit("")))
+def row_keys(id_col: Column, text_col: Column) -> tuple[Column, Column]:
+    """96 bits (a long and an int) that stand for a row by its id and whole text. Rows equal in both share them, and every
+    result of theirs."""
+    known, text = F.coalesce(id_col.cast("string"), F.lit("\u0000null")), F.coalesce(text_col, F.lit(""))
+    return F.xxhash64(F.lit(7), known, text), F.shiftright(F.xxhash64(F.lit(11), text, known), 32).cast("int")
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

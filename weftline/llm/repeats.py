@@ -5,28 +5,33 @@ window the one with the least hash is chosen, the leftmost of equals, so equal w
 a text that choose the same place make one stretch. Stretches go to the shard of their anchor, which thus holds
 every window that can equal theirs:
 
-1. stretches are counted by (anchor, content) before they are sent, so copies of any number are one row with a count;
-2. of each content whose anchor occurs at least twice, one example is cut out of its text, and the shard's
-   index over these marks windows that occur elsewhere;
+1. stretches are counted by content before they are sent, so copies of any number are one row with a count;
+2. of each content whose anchor occurs at least twice, one example is cut out of its text and put into the shard's
+   index as often as it occurs (twice at most: a third copy changes nothing); the index, in which each of its texts is
+   streamed, tells which windows occur elsewhere, by the units themselves;
 3. what was marked goes back to all stretches of that content, and from there to the texts.
 
-An anchor that very many different contents share (a common line) is not gathered in one task: there each window is
-its own anchor, and counting equal ones says which are repeated.
+An anchor that very many different contents share (a common line) would make one large shard. Such anchors are found
+beforehand in a sample of the texts; windows that choose one of them are stretches of their own whose anchor is the whole
+window, so that they are spread over all shards. Hashes of units and anchors only decide where something is sent;
+contents are told apart by 96 bits of their bytes' hash, rows by 96 bits of id and text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, in_worker, kept_by_worker, row_key, slices, text_bytes, with_arrays, without
-from weftline.llm.suffixes import RunLengthIndex, WaveletIndex
+from weftline.llm.common import bound_batches, in_worker, kept_by_worker, row_keys, slices, text_bytes, with_arrays, without
+from weftline.llm.suffixes import RunLengthIndex, WaveletIndex, string_ends
 
 _MIX = np.random.default_rng(31).integers(1, 2**63 - 1, (256,), np.int64).astype(np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -68,38 +73,57 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 @dataclass
 class Units:
-    """Units of some texts: a 64-bit value each, where each text's units begin, and each unit's bytes."""
+    """Units of some texts: a value each (for anchors only; different units may share it), where each text's units begin,
+    and where each unit's bytes are in ``data``, in which there is one byte at most between a text's units."""
 
     value: np.ndarray
     offsets: np.ndarray
+    data: np.ndarray
     first: np.ndarray
     after: np.ndarray
 
 
 def bytes_as_units(data: np.ndarray, offsets: np.ndarray) -> Units:
     place = np.arange(len(data))
-    return Units(_MIX[data], offsets, place, place + 1)
+    return Units(_MIX[data], offsets, data, place, place + 1)
 
 
 def words_as_units(data: np.ndarray, offsets: np.ndarray) -> Units:
     first, after, text = word_bounds(data, offsets)
     counts = np.bincount(text, minlength=len(offsets) - 1) if len(first) else np.zeros(len(offsets) - 1, np.int64)
+    bounds = np.r_[0, np.cumsum(counts)]
     if not len(first):
-        return Units(np.zeros(0, np.uint64), np.r_[0, np.cumsum(counts)], first, after)
+        return Units(np.zeros(0, np.uint64), bounds, data, first, after)
     up, down = powers(len(data) + 1)
     total = np.r_[np.uint64(0), np.cumsum(_MIX[data] * up[:-1])]
     value = scramble((total[after] - total[first]) * down[first] + (after - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-    return Units(value, np.r_[0, np.cumsum(counts)], first, after)
+    # Words one space apart, whatever stood between them.
+    size = after - first + 1
+    begin = np.cumsum(size) - size
+    single = data[np.minimum(np.repeat(first - begin, size) + np.arange(size.sum()), len(data) - 1)]
+    single[begin + size - 1] = 32
+    return Units(value, bounds, single, begin, begin + size - 1)
 
 
 UNITS: dict[str, Callable[[np.ndarray, np.ndarray], Units]] = {"byte": bytes_as_units, "word": words_as_units}
 
+#: A stretch's content, as it is told apart: 96 bits of a 128-bit hash of its bytes, its windows and its anchor's place.
+CONTENT = np.dtype([("c1", "<i8"), ("c2", "<i4"), ("rest", "<i4")])
 
-def stretches(units: Units, width: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(text, first unit within it, windows, anchor hash, content hash) of each stretch."""
+
+def contents(units: Units, begin: np.ndarray, after: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """``CONTENT`` of units begin..after-1, each with a seed of its own."""
+    view = memoryview(np.ascontiguousarray(units.data))
+    parts = [view[x:y] for x, y in zip(units.first[begin].tolist(), units.after[after - 1].tolist(), strict=True)]
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts, seed.tolist())), CONTENT)
+
+
+def stretches(units: Units, width: int, anchor: int, crowded: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, first unit within it, windows, anchor hash, content) of each stretch; ``crowded``: sorted hashes of anchors
+    whose windows are stretches of their own."""
     value, offsets = units.value, units.offsets
     n = len(value)
-    nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, CONTENT))
     if n < width:
         return nothing
     up, down = powers(n + 1)
@@ -122,20 +146,16 @@ def stretches(units: Units, width: int, anchor: int) -> tuple[np.ndarray, ...]:
     place = (least[start] & np.uint64((1 << places) - 1)).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    single = np.zeros(len(start), bool)
+    if len(crowded):
+        single = crowded[np.minimum(np.searchsorted(crowded, anchors[place]), len(crowded) - 1)] == anchors[place]
+        new |= single
     head = np.flatnonzero(new)
     windows = np.diff(np.r_[head, len(start)])
     first, place = start[head], place[head]
-    content = (total[first + windows - 1 + width] - total[first]) * down[first]
-    content = scramble(content + windows.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB) + (place - first).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
-    return text[head], first - offsets[text[head]], windows, anchors[place], content
-
-
-def window_hashes(units: Units, width: int) -> np.ndarray:
-    """A hash of the window at each unit of one text."""
-    n = len(units.value)
-    up, down = powers(n + 1)
-    total = np.r_[np.uint64(0), np.cumsum(units.value * up[:n])]
-    return scramble((total[width:] - total[: n - width + 1]) * down[: n - width + 1] + np.uint64(0x589965CC75374CC3))
+    content = contents(units, first, first + windows - 1 + width, windows << 32 | place - first)
+    chosen = np.where(single[head], content["c1"].view(np.uint64), anchors[place])
+    return text[head], first - offsets[text[head]], windows, chosen, content
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -150,133 +170,174 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 def marked_by_index(kind: str, unit: str, width: int, payloads: list[bytes], counts: np.ndarray) -> list[np.ndarray]:
     """For each content the windows that occur elsewhere, as runs. ``counts``: how often each content occurs as a whole."""
-    data = np.frombuffer(b"".join(payloads), np.uint8)
-    offsets = np.r_[0, np.cumsum([len(p) for p in payloads])].astype(np.int64)
-    units = UNITS[unit](data, offsets)
-    size = np.diff(units.offsets)
-    symbols = np.zeros(len(units.value) + len(size), np.int64)
-    inner = np.arange(len(units.value)) + np.repeat(np.arange(len(size)), size)
-    symbols[inner] = data.astype(np.int64) + 1 if unit == "byte" else np.unique(units.value, return_inverse=True)[1] + 1
-    start = units.offsets[:-1] + np.arange(len(size))
+    if unit == "byte":
+        symbols = np.frombuffer(b"\x00".join(payloads) + b"\x00", np.uint8).astype(np.int64) + 1
+        symbols[np.cumsum([len(p) + 1 for p in payloads]) - 1] = 0
+    else:  # a number for each different word of the shard, by its bytes
+        number: dict[bytes, int] = {}
+        listed: list[int] = []
+        for p in payloads:
+            listed += [number.setdefault(w, len(number) + 1) for w in p.split(b" ")]
+            listed.append(0)
+        symbols = np.array(listed, np.int64)
+    start, end = string_ends(symbols)
+    twice = (counts > 1).astype(np.int64)
     if kind == "runs":
-        repeated = RunLengthIndex(symbols).statistics() >= width
+        repeated = RunLengthIndex(symbols, twice).statistics() >= width
     else:
-        repeated = WaveletIndex(symbols).repeated(symbols, start, start + size, width)
-    found = []
-    for s, n, times in zip(start.tolist(), (size - width + 1).tolist(), counts.tolist(), strict=True):
-        found.append(np.array([0, n], np.int32) if times > 1 else _runs(repeated[s : s + n]))
-    return found
+        edges = np.zeros(len(symbols) + 1, np.int32)
+        first, after, _ = WaveletIndex(symbols, twice).matches(symbols, start, end, width)
+        np.add.at(edges, first, 1)
+        np.add.at(edges, after - width + 1, -1)
+        repeated = np.cumsum(edges[:-1]) > 0
+    return [_runs(repeated[s:e]) for s, e in zip(start.tolist(), (end - width + 1).tolist(), strict=True)]
+
+
+#: Which share of the rows is looked at for crowded anchors, and how many of these are sent to all tasks at most (8 bytes
+#: each; were there more, the most crowded ones: any other then has less than a millionth of all contents).
+LOOKED_AT, MOST_CROWDED = 16, 1_000_000
+
+_MORE = np.dtype([("k1", "<i8"), ("k2", "<i4"), ("first", "<i4")])
+
+
+def _grouped(content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by content, where in it each different content begins)."""
+    order = np.lexsort((content["c2"], content["c1"]))
+    got = content[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (got["c1"][1:] != got["c1"][:-1]) | (got["c2"][1:] != got["c2"][:-1])
+    return order, np.flatnonzero(new)
 
 
 def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str = "text", id_col: str = "doc_id", out: str = "spans", shard_units: int = 300_000, crowded: int = 4000, step_bytes: int = 600_000) -> DataFrame:
     """Add ``out`` (array<int>): first and after-last unit of each maximal run of units that a repeated window covers, flat.
 
     ``kind``: "runs" (run-length index) or "wavelet" (FM-index). Null texts count as empty. Rows equal in id and text
-    repeat each other like any two texts do. Columns pass through; a clashing ``out`` is replaced.
+    repeat each other like any two texts do. Columns pass through; a clashing ``out`` is replaced; an empty table gives no
+    rows. ``crowded``: about how many different contents an anchor may have before its windows are sent one by one.
     """
     as_units = UNITS[unit]
     bound_batches(df)
-    base = without(df, [out, "__key"]).withColumn("__key", row_key(F.col(id_col), F.col(text)))
-    keyed = base.select("__key", F.col(text).alias("text"))
+    k1, k2 = row_keys(F.col(id_col), F.col(text))
+    base = without(df, [out, "__k1", "__k2"]).withColumns({"__k1": k1, "__k2": k2})
+    keyed = base.select("__k1", "__k2", F.col(text).alias("text"))
+    context = df.sparkSession.sparkContext
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    def cut(batches: Iterator[pa.RecordBatch], known: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         for whole in batches:
             for batch in slices(whole, "text", step_bytes):
-                key = batch.column("__key").to_numpy(zero_copy_only=False)
-                of, first, windows, a, c = stretches(as_units(*text_bytes(batch.column("text"))), width, anchor)
-                yield a, c, key[of], first.astype(np.int32), windows.astype(np.int32)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def summed(parts: list) -> pa.RecordBatch:
-            a, c, key, first, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((c, a))
-            new = np.r_[True, (a[order][1:] != a[order][:-1]) | (c[order][1:] != c[order][:-1])] if len(order) else np.zeros(0, bool)
-            head = np.flatnonzero(new)
-            one = order[head]
-            columns = [_signed(a[one]), _signed(c[one]), pa.array(np.diff(np.r_[head, len(order)]).astype(np.int64)), pa.array(key[one]), pa.array(first[one]), pa.array(windows[one])]
-            return pa.RecordBatch.from_arrays(columns, names=["a", "c", "n", "key", "first", "windows"])
+                keys = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("__k1", "__k2")]
+                of, first, windows, a, c = stretches(as_units(*text_bytes(batch.column("text"))), width, anchor, known)
+                yield a, c, keys[0][of], keys[1][of], first.astype(np.int32), windows.astype(np.int32)
 
+    def gathered(batches: Iterator[pa.RecordBatch], known: np.ndarray, most: int = 250_000) -> Iterator[tuple[np.ndarray, ...]]:
         parts, rows = [], 0
-        for part in cut(batches):
+        for part in cut(batches, known):
             parts.append(part)
             rows += len(part[0])
-            if rows > 250_000:
-                yield summed(parts)
+            if rows > most:
+                yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
                 parts, rows = [], 0
         if rows:
-            yield summed(parts)
+            yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    # 0. Anchors with very many different contents, from a sample of the texts.
+    def looked_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, c, *_ in gathered(batches, np.zeros(0, np.uint64)):
+            order, head = _grouped(c)
+            one = order[head]
+            yield pa.RecordBatch.from_arrays([_signed(a[one]), pa.array(c["c1"][one])], names=["a", "c1"])
+
+    sample = keyed.where(F.pmod("__k1", F.lit(LOOKED_AT)) == 0)
+    kinds = sample.mapInArrow(in_worker("repeats", looked_at), "a long, c1 long").distinct().groupBy("a").count()
+    full = kinds.where(F.col("count") > crowded / LOOKED_AT).orderBy(F.desc("count")).limit(MOST_CROWDED).select("a")
+    shared = context.broadcast(np.sort(full.toArrow()["a"].to_numpy().astype(np.int64).view(np.uint64)))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, c, k1, k2, first, windows in gathered(batches, shared.value):
+            order, head = _grouped(c)
+            one = order[head]
+            columns = [_signed(a[one]), pa.array(c["c1"][one]), pa.array(c["c2"][one]), pa.array(np.diff(np.r_[head, len(order)]).astype(np.int64)), *[pa.array(x[one]) for x in (k1, k2, first, windows)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "c1", "c2", "n", "k1", "k2", "first", "windows"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, c, key, first, windows in cut(batches):
-            yield pa.RecordBatch.from_arrays([_signed(a), _signed(c), pa.array(key), pa.array(first)], names=["a", "c", "key", "first"])
-
-    # 1. Contents and how often they occur; the anchor's shard counts its contents and their occurrences.
-    sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c long, n long, key long, first int, windows int").repartition("a")
-    contents = sent.groupBy("a", "c").agg(F.sum("n").alias("n"), *[F.first(x).alias(x) for x in ("key", "first", "windows")])
-    by_anchor = Window.partitionBy("a")
-    shared = contents.withColumn("different", F.count("*").over(by_anchor)).withColumn("all", F.sum("n").over(by_anchor)).where(F.col("all") > 1)
+        """A row for each content of some texts: its first place, and the others packed in ``more``."""
+        for _, c, k1, k2, first, _ in gathered(batches, shared.value):
+            order, head = _grouped(c)
+            one, last = order[head], np.r_[head[1:], len(order)]
+            all_places = np.empty(len(order), _MORE)
+            all_places["k1"], all_places["k2"], all_places["first"] = k1[order], k2[order], first[order]
+            more = [None if y == x + 1 else all_places[x + 1 : y].tobytes() for x, y in zip(head.tolist(), last.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c["c1"][one]), pa.array(c["c2"][one]), *[pa.array(x[one]) for x in (k1, k2, first)], pa.array(more, pa.binary())], names=["c1", "c2", "k1", "k2", "first", "more"])
+
+    # 1. Contents and how often they occur; those whose anchor occurs once only match nothing.
+    sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c1 long, c2 int, n long, k1 long, k2 int, first int, windows int").repartition("a")
+    counts = sent.groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "first", "windows")).alias("at"))
+    met = counts.withColumn("all", F.sum("n").over(Window.partitionBy("a"))).where(F.col("all") > 1)
     # 2. One example of each.
-    wanted = shared.groupBy("key").agg(F.collect_list(F.struct("a", "c", "n", "first", "windows", (F.col("different") > crowded).alias("crowd"))).alias("wanted"))
+    wanted = met.select(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2"), F.struct("a", "c1", "c2", "n", "at.first", "at.windows").alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
         for whole in batches:
             for batch in slices(whole, text, step_bytes):
-                data, offsets = text_bytes(batch.column(text))
-                units = as_units(data, offsets)
+                keys = list(zip(batch.column("__k1").to_pylist(), batch.column("__k2").to_pylist(), strict=True))
+                fresh = [i for i, k in enumerate(keys) if k not in done and not done.add(k)]  # repeated rows have one example
+                batch = batch.take(pa.array(fresh, pa.int64()))
+                units = as_units(*text_bytes(batch.column(text)))
                 lists = batch.column("wanted")
                 flat = lists.flatten()
-                of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-                a, c, n, first, windows = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("a", "c", "n", "first", "windows"))
-                crowd = flat.field("crowd").to_numpy(zero_copy_only=False)
+                of = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
+                first, windows = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("first", "windows"))
                 begin = units.offsets[of] + first
-                payload = [data[x:y].tobytes() for x, y in zip(units.first[begin], units.after[begin + windows + width - 2], strict=True)]
-                for sub, single in ((np.flatnonzero(~crowd), False), (np.flatnonzero(crowd), True)):
-                    if not len(sub):
-                        continue
-                    if not single:
-                        yield pa.RecordBatch.from_arrays([pa.array(a[sub]), pa.array(c[sub]), pa.array(n[sub]), pa.array([payload[i] for i in sub], pa.binary()), pa.nulls(len(sub), pa.int64()), pa.nulls(len(sub), pa.int32())], names=["a", "c", "n", "payload", "w", "at"])
-                        continue
-                    for i in sub.tolist():
-                        w = window_hashes(as_units(np.frombuffer(payload[i], np.uint8), np.array([0, len(payload[i])])), width)
-                        m = len(w)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, x[i])) for x in (a, c, n)] + [pa.nulls(m, pa.binary()), _signed(w), pa.array(np.arange(m, dtype=np.int32))], names=["a", "c", "n", "payload", "w", "at"])
-
-    met = base.join(wanted, F.col("__key") == F.col("key")).drop("key")
-    cut_out = met.mapInArrow(in_worker("repeats", examples), "a long, c long, n long, payload binary, w long, at int")
+                payload = [units.data[x:y].tobytes() for x, y in zip(units.first[begin].tolist(), units.after[begin + windows + width - 2].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[flat.field(x) for x in ("a", "c1", "c2", "n")], pa.array(payload, pa.binary())], names=["a", "c1", "c2", "n", "payload"])
+
+    same = lambda other: (F.col("__k1") == other["k1"]) & (F.col("__k2") == other["k2"])
+    cut_out = base.select("__k1", "__k2", text).join(wanted, same(wanted)).drop("k1", "k2").mapInArrow(in_worker("repeats", examples), "a long, c1 long, c2 int, n long, payload binary")
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors, until there are about ``shard_units``; a content met twice (from repeated rows) counts once."""
 
         def emit(rows: list) -> pa.RecordBatch:
-            counts = np.array([r[2] for r in rows])
-            got = marked_by_index(kind, unit, width, [r[3] for r in rows], counts)
+            got = marked_by_index(kind, unit, width, [r[3] for r in rows], np.array([r[2] for r in rows]))
             some = [i for i, g in enumerate(got) if len(g)]
-            return pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in some], pa.int64()), pa.array([rows[i][1] for i in some], pa.int64()), pa.array([got[i] for i in some], pa.list_(pa.int32()))], names=["a", "c", "runs"])
+            columns = [pa.array([rows[i][0] for i in some], pa.int64()), pa.array([rows[i][1] for i in some], pa.int32())]
+            bounds = list(accumulate((len(got[i]) for i in some), initial=0))
+            runs = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([got[i] for i in some]) if some else np.zeros(0, np.int32)))
+            return pa.RecordBatch.from_arrays([*columns, runs], names=["c1", "c2", "runs"])
 
         rows, volume, last, seen = [], 0, None, set()
         for batch in batches:
-            for a, c, n, payload in zip(*[batch.column(x).to_pylist() for x in ("a", "c", "n", "payload")], strict=True):
+            for a, c1, c2, n, payload in zip(*[batch.column(x).to_pylist() for x in ("a", "c1", "c2", "n", "payload")], strict=True):
                 if a != last:
                     if volume > shard_units * (1 if unit == "byte" else 6):
                         yield emit(rows)
                         rows, volume = [], 0
                     last, seen = a, set()
-                if c not in seen:
-                    seen.add(c)
-                    rows.append((a, c, n, payload))
+                if (c1, c2) not in seen:
+                    seen.add((c1, c2))
+                    rows.append((c1, c2, n, payload))
                     volume += len(payload)
         if rows:
             yield emit(rows)
 
-    dealt = cut_out.where("payload is not null").select("a", "c", "n", "payload").repartition("a").sortWithinPartitions("a")
-    by_index = dealt.mapInArrow(in_worker("repeats", indexed), "a long, c long, runs array<int>")
-    single = cut_out.where("payload is null").select("a", "c", "n", "w", "at").distinct()
-    equal = single.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
-    by_window = single.join(equal, "w").groupBy("a", "c").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("runs"))
-    marks = by_index.unionByName(by_window)
+    marks = cut_out.repartition("a").sortWithinPartitions("a").mapInArrow(in_worker("repeats", indexed), "c1 long, c2 int, runs array<int>")
     # 3. Back to all stretches of such contents, and to their texts.
-    places = keyed.mapInArrow(in_worker("repeats", placed), "a long, c long, key long, first int")
-    covered = places.join(marks, ["a", "c"]).groupBy("key").agg(F.collect_list(F.struct("first", "runs")).alias("covered"))
+    places = keyed.mapInArrow(in_worker("repeats", placed), "c1 long, c2 int, k1 long, k2 int, first int, more binary")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            more = batch.column("more")
+            others = np.frombuffer(b"".join(m for m in more.to_pylist() if m), _MORE)
+            of = np.repeat(np.arange(batch.num_rows), pa.compute.fill_null(pa.compute.binary_length(more), 0).to_numpy() // _MORE.itemsize)
+            yield pa.RecordBatch.from_arrays([batch.column(x) for x in ("k1", "k2", "first", "runs")], names=["k1", "k2", "first", "runs"])
+            for at in range(0, len(of), 20_000):
+                part = others[at : at + 20_000]
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(part[x])) for x in ("k1", "k2", "first")], batch.column("runs").take(pa.array(of[at : at + 20_000]))], names=["k1", "k2", "first", "runs"])
+
+    marked = places.join(marks, ["c1", "c2"]).select("k1", "k2", "first", "more", "runs").mapInArrow(in_worker("repeats", spread), "k1 long, k2 int, first int, runs array<int>")
+    covered = marked.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "runs")).alias("covered"))  # a set: repeated rows have the same places
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,9 +356,9 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
                 column.append(np.stack([lo[new], hi[np.r_[np.flatnonzero(new)[1:], len(lo)] - 1]], axis=1).ravel().astype(np.int32))
             yield with_arrays(batch.drop_columns(["covered"]), **{out: pa.array(column, pa.list_(pa.int32()))})
 
-    joined = base.join(covered, F.col("__key") == F.col("key"), "left").drop("key")
+    joined = base.join(covered, same(covered), "left").drop("k1", "k2")
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return joined.mapInArrow(in_worker("repeats", spans), schema).drop("__key")
+    return joined.mapInArrow(in_worker("repeats", spans), schema).drop("__k1", "__k2")
 
 
 def remove(marked: DataFrame, unit: str, text: str = "text", spans: str = "spans", kept: str = "kept", units: str = "n_units") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, cut_lineage, in_worker, row_key, slices
+from weftline.llm.common import bound_batches, cut_lineage, in_worker, row_keys, slices
 from weftline.llm.graph import components
 from weftline.llm.simhash import shingle_hashes
 
@@ -143,7 +143,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     Letters A-Z count as lower case, words are runs without ASCII white space; texts without words are alike. A
     component without any id keeps one row; repeated rows count once.
     """
-    row = row_key(F.col(id_col), F.col(text))
+    row = F.struct(*[k.alias(n) for k, n in zip(row_keys(F.col(id_col), F.col(text)), ("a", "b"), strict=True)])
     drawn = cut_lineage(sketches(df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.first("cells").alias("cells")))

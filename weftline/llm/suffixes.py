@@ -1,7 +1,9 @@
 """Suffix order of string collections, and two compressed indexes over it: run-length and wavelet-tree.
 
 Collections are integer symbols in which each string ends with 0; terminators count as different from each other, in
-the order of the strings. Everything works on whole arrays; nothing loops over symbols in Python.
+the order of the strings. A string may be given as occurring twice: its copy stands in the transform (next to it, in each
+row), though it is sorted only once. Texts are streamed through an index in lockstep, so that one step of all of them is a
+few operations on whole arrays.
 """
 
 from __future__ import annotations
@@ -68,49 +70,105 @@ class Suffixes:
             length[live] += 1
         return length
 
-    def bwt(self) -> np.ndarray:
-        return self.symbols[self.order - 1]
+    def rows(self, twice: np.ndarray | None) -> np.ndarray:
+        """The position at which each row's suffix starts; rows of strings that occur twice stand there twice."""
+        if twice is None or not twice.any():
+            return self.order
+        ends = self.symbols == 0
+        text = np.cumsum(ends) - ends
+        return np.repeat(self.order, 1 + twice[text[self.order]])
+
+
+def string_ends(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first position, position of the terminator) of each string."""
+    end = np.flatnonzero(np.asarray(symbols) == 0)
+    return np.r_[0, end[:-1] + 1].astype(np.int64), end
+
+
+ALL_BITS = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def counted_bits(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of 64 bits, the first the lowest, and how many are set before each word."""
+    packed = np.zeros(((len(bits) >> 6) + 1) * 64, np.uint8)
+    packed[: len(bits)] = bits
+    words = np.packbits(packed, bitorder="little").view(np.uint64)
+    return words, (np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)).astype(np.int32)
 
 
 class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform with samples at run ends.
+    """Run-compressed Burrows-Wheeler transform with match lengths sampled at run ends; the suffix array is not kept.
 
-    Kept are the runs' symbols and lengths, the text positions at both ends of each run, and the common prefix with the
-    row before each run. Where a suffix's row lies inside a run, the row before it has the same preceding symbol, so
-    the match with that neighbour is one shorter than the match one position earlier; matching statistics of a
-    document follow from the samples by streaming over its positions.
+    Of each run there are its first row (in a bit vector with counts, which tells the run of a row), the row to which the
+    last-to-first mapping takes that row, and the common prefixes of its first row with the row above and of its last row
+    with the row below.
     """
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, twice: np.ndarray | None = None):
         s = Suffixes(symbols)
-        bwt, n = s.bwt(), len(s.symbols)
+        symbols, rows = s.symbols, s.rows(twice)
+        start, end = string_ends(symbols)
+        n, bwt = len(rows), symbols[rows - 1]
         first = np.ones(n, bool)
         first[1:] = (bwt[1:] != bwt[:-1]) | (bwt[1:] == 0)
         heads = np.flatnonzero(first)
-        self.n, self.symbol, self.length = n, bwt[heads], np.diff(np.r_[heads, n])
-        before = np.zeros(len(heads), np.int64)
-        before[1:] = s.common(s.order[heads[1:] - 1], s.order[heads[1:]])
-        self.head, self.tail = s.order[heads], s.order[np.r_[heads[1:], n] - 1]
-        self.match_before, self.match_after = before, np.r_[before[1:], 0]
-
-    def matching(self, places: np.ndarray, matches: np.ndarray) -> np.ndarray:
-        # The end of the match that the last sample before each position began.
-        end = np.zeros(self.n, np.int64)
-        at = np.zeros(self.n, np.int32)
-        at[places] = places
-        end[places] = places + matches
-        return end[np.maximum.accumulate(at)] - np.arange(self.n)
+        self.marks, self.before = counted_bits(first)
+        length, symbol = np.diff(np.r_[heads, n]), bwt[heads]
+        # Runs by symbol and then by place: what stands before a run in this order is where its first row is mapped to.
+        order = np.argsort(symbol, kind="stable")
+        mapped = np.empty(len(heads), np.int64)
+        mapped[order] = np.cumsum(length[order]) - length[order]
+        self.shift = (mapped - heads).astype(np.int32)
+        self.first_row = np.r_[heads, n].astype(np.int32)
+        above, below = rows[heads[1:] - 1], rows[heads[1:]]
+        match = np.zeros(len(heads) + 1, np.int32)
+        other = np.flatnonzero(above != below)
+        match[1 + other] = s.common(above[other], below[other])
+        copy = np.flatnonzero(above == below)  # the copy of a string: it matches to the end
+        match[1 + copy] = end[np.searchsorted(end, below[copy])] - below[copy]
+        self.match = match  # of each run's first row with the row above; one place on, of its last row with the row below
+        weight = np.ones(len(end), np.int64) if twice is None else 1 + twice
+        self.start, self.end, self.end_row = start, end, (np.cumsum(weight) - weight).astype(np.int32)
+
+    def run_of(self, row: np.ndarray) -> np.ndarray:
+        block = row >> 6
+        return self.before[block] + np.bitwise_count(self.marks[block] & (ALL_BITS >> (63 - (row & 63)).astype(np.uint64))) - 1
 
     def statistics(self) -> np.ndarray:
-        """For each position of the collection the longest match that starts there and also at another position."""
-        return np.maximum(self.matching(self.head, self.match_before), self.matching(self.tail, self.match_after))
+        """For each position of each string the length of the longest match that starts there and at another place too.
+
+        All strings are streamed from their ends to their starts by last-to-first steps over the runs. A suffix whose row is
+        the first (last) of its run has its match with the row above (below) among the samples; any other row has the same
+        symbol before it as its neighbour, so that its match is one shorter than the match one position earlier.
+        """
+        n = int(self.end[-1]) + 1 if len(self.end) else 0
+        above, below = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+        lanes = np.argsort(self.start - self.end, kind="stable")  # longest first: those still under way are a prefix
+        row, place, length = self.end_row[lanes], self.end[lanes], (self.end - self.start)[lanes]
+        under_way = np.searchsorted(-length, -np.arange(int(length[0]) + 1), "right").tolist() if len(lanes) else []
+        for live in under_way:
+            row, place = row[:live], place[:live]
+            run = self.run_of(row)
+            above[place] = np.where(row == self.first_row[run], self.match[run], -1)
+            run += 1
+            below[place] = np.where(row + 1 == self.first_row[run], self.match[run], -1)
+            run -= 1
+            row = row + self.shift[run]
+            place = place - 1
+        at = np.arange(n)
+        # The end of the match that the last sample before each position began.
+        best = np.zeros(n, np.int64)
+        for known in (above, below):
+            last = np.maximum.accumulate(np.where(known >= 0, at, 0))
+            np.maximum(best, last + known[last] - at, out=best)
+        return best
 
 
 class WaveletIndex:
     """FM-index: the transform in a wavelet tree (levels as one bit vector each, with block counts), searched backward."""
 
-    def __init__(self, symbols: np.ndarray):
-        row = np.asarray(symbols)[Suffixes(symbols).order - 1]
+    def __init__(self, symbols: np.ndarray, twice: np.ndarray | None = None):
+        row = np.asarray(symbols)[Suffixes(symbols).rows(twice) - 1]
         self.n, self.levels = len(row), max(1, int(row.max(initial=1)).bit_length())
         counts = np.bincount(row)
         self.before = np.r_[0, np.cumsum(counts)]
@@ -118,11 +176,9 @@ class WaveletIndex:
         origin = np.zeros(len(counts), np.int64)
         for level in range(self.levels - 1, -1, -1):
             bit = row >> level & 1
-            packed = np.zeros(((self.n >> 6) + 1) * 64, np.uint8)
-            packed[: self.n] = bit
-            words = np.packbits(packed, bitorder="little").view(np.uint64)
+            words, blocks = counted_bits(bit)
             self.words.append(words)
-            self.blocks.append(np.r_[0, np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]].astype(np.int32))
+            self.blocks.append(blocks)
             self.zeros.append(int(self.n - bit.sum()))
             row = np.concatenate([row[bit == 0], row[bit == 1]])
         self.origin = self._down(np.arange(len(counts)), origin)
@@ -140,29 +196,31 @@ class WaveletIndex:
         both = self._down(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
         return base + both[: len(symbol)], base + both[len(symbol) :]
 
-    def repeated(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
-        """Whether the ``width`` symbols from each position are elsewhere too; looked up for documents start..end-1.
+    def matches(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+        """(first, after, rows) of the matches of at least ``width`` symbols that have two rows or more.
 
-        A document's window ends at ``right``; it is extended to the left while its rows are at least two. All windows
-        inside the extension are repeated; the next window to look at is the first one beyond them.
+        Documents start..end-1 are streamed backward. Of each end that is looked at the longest match is found (its
+        matching statistic): the interval of rows is narrowed symbol by symbol as long as it has two. Ends within a reported
+        match that leave no window beyond it are passed over.
         """
-        marks = np.zeros(len(symbols) + 1, np.int64)
+        found: list[tuple[np.ndarray, ...]] = []
         right = end - 1
         lane = np.flatnonzero(right - width + 1 >= start)
         at, low, high = right.copy(), np.zeros(len(start), np.int64), np.full(len(start), self.n, np.int64)
         while len(lane):
             a, b = self.extend(symbols[at[lane]], low[lane], high[lane])
             on = b - a >= 2
-            low[lane], high[lane] = a, b
-            at[lane[on]] -= 1
-            # An extension ends where it meets a second symbol that is not repeated, or the document's start.
+            longer = lane[on]
+            low[longer], high[longer] = a[on], b[on]
+            at[longer] -= 1
+            # A match ends where one more symbol is met once only, or at the document's start.
             over = lane[~on | (at[lane] < start[lane])]
             if len(over):
-                window = right[over] - width + 1
-                found = over[at[over] < window]
-                np.add.at(marks, at[found] + 1, 1)
-                np.add.at(marks, right[found] - width + 2, -1)
+                enough = over[right[over] - at[over] >= width]
+                found.append((at[enough] + 1, right[enough] + 1, (high - low)[enough]))
                 right[over] = np.minimum(right[over] - 1, at[over] + width - 1)
                 at[over], low[over], high[over] = right[over], 0, self.n
                 lane = lane[right[lane] - width + 1 >= start[lane]]
-        return np.cumsum(marks[:-1]) > 0
+        if not found:
+            return tuple(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
