@@ -69,3 +69,27 @@ def test_frames(spark, odd_documents, no_documents):
     assert fst_tokens.count_tokens(no_documents, spec).count() == 0
     with pytest.raises(ValueError):
         fst_tokens.load_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_words_of_equal_hashes_are_told_apart(spark):
+    """Two words whose polynomial hashes modulo 2^64 agree for every odd base, in one batch."""
+    library = tokenizers.Tokenizer.from_file(TABLE)
+    words = ["".join((a, b)[i.bit_count() & 1] for i in range(1024)) for a, b in ("ab", "ba")]
+    want = [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    assert want[0] != want[1]
+    counted = fst_tokens.count_tokens(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(1), fst_tokens.load_tokenizer(TABLE))
+    assert [r.n_tokens for r in counted.orderBy("doc_id").collect()] == want
+
+
+def test_transitions_carry_the_counts(strings):
+    """The transducer's running sum is the number of tokens of each prefix; compiling anew changes nothing."""
+    counter = fst_tokens.Counter(fst_tokens.load_tokenizer(TABLE))
+    own = counter.transducer
+    small = type(own)(own.table, most=50)
+    for word in ("abstraction", "'ll", "xxxxxxxxyz", "antidisestablishmentarianism", "ÀéßñΣ"):
+        symbols = word.encode().decode("latin-1").translate(counter.letters)
+        state, total = 0, 0
+        for n, symbol in enumerate(symbols, 1):
+            state, emitted = own.next.get((state, symbol)) or own.compile(state, symbol)
+            total += emitted
+            assert total == len(own.table.merge(symbols[:n])) == small.count(symbols[:n])

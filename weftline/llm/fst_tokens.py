@@ -4,12 +4,13 @@ The splitting pattern of the tokenizer is compiled to a deterministic transducer
 ``MARKS``). A batch of texts is cut into equal chunks; each chunk's state map (state in -> state out) is computed for
 all chunks at once, the maps are composed by a parallel prefix scan, and a second sweep from the now known states marks
 where tokens of the pattern start, so nothing depends on where chunks are cut. Each such stretch is read by the merge
-transducer (``MergeTable.prefix_counts``), whose transitions carry the emitted-token counts; stretches already read
-are one composed arc with its count.
+transducer (``CountTransducer``), whose transitions carry the emitted-token counts; a stretch that was read before is one
+composed arc with its count, known by the stretch itself. A text's count is the sum of its arcs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import sys
 import unicodedata
@@ -22,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from weftline.llm.common import bound_batches, in_worker, kept_by_worker, slices, texts, with_arrays, without
-from weftline.llm.merges import MergeTable, Remembered
-from weftline.llm.repeats import powers, scramble
+from weftline.llm.merges import CountTransducer, MergeTable, Remembered
 
 #: Character classes. The pattern's contractions are 's 't 'm 'd 're 've 'll (fixed values, lower case only).
 LETTER, ENDS, R, V, L, E, NUMBER, BLANK, SPACE, APOSTROPHE, OTHER, RESET = range(12)
@@ -140,7 +140,7 @@ def byte_letters() -> list[str]:
 class Counter:
     def __init__(self, spec: dict):
         order = {tuple(m.split(" ")): i for i, m in enumerate(spec["merges"])}
-        self.table = MergeTable({p: 0 for p in spec["vocabulary"]}, lambda a, b: order.get((a, b)))
+        self.transducer = CountTransducer(MergeTable({p: 0 for p in spec["vocabulary"]}, lambda a, b: order.get((a, b))))
         self.letters = dict(enumerate(byte_letters()))
         self.added = spec["added"]
         self.arcs = Remembered(self.arc)
@@ -148,7 +148,7 @@ class Counter:
 
     def arc(self, stretch: str) -> int:
         symbols = stretch.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return self.table.prefix_counts(symbols)[-1]
+        return self.transducer.count(symbols)
 
     def count(self, documents: list[str]) -> list[int]:
         """Tokens of each text. Added tokens' strings count one each and part the text, as the library has it by default."""
@@ -176,19 +176,15 @@ class Counter:
         here[first] = True
         cuts = np.flatnonzero(here)
         after = np.r_[cuts[1:], len(classes)]
-        # Equal stretches of a batch (by 64-bit hash and length) are one arc, read once.
-        up, down = powers(len(points) + 1)
-        total = np.r_[np.uint64(0), np.cumsum(scramble(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * up[:-1])]
-        hashed = scramble((total[after] - total[cuts]) * down[cuts] + (after - cuts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-        at, which = np.unique(hashed, return_index=True, return_inverse=True)[1:]
-        emitted = np.array([self.arcs[joined[a:b]] for a, b in zip(cuts[at].tolist(), after[at].tolist(), strict=True)])[which]
+        stretches = [joined[a:b] for a, b in zip(cuts.tolist(), after.tolist(), strict=True)]
+        emitted = np.fromiter(map(self.arcs.__getitem__, stretches), np.int64, len(stretches))
         emitted[np.searchsorted(cuts, ends)] = 0  # a RESET itself
         for owner, n in zip(owners, np.add.reduceat(emitted, np.searchsorted(cuts, first)).tolist(), strict=True):
             counts[owner] += n
         return counts
 
 
-def _shared_counter(key: int, spec: dict) -> Counter:
+def _shared_counter(key: str, spec: dict) -> Counter:
     """One counter for a worker and vocabulary, kept over tasks."""
     if kept_by_worker.get("counter of") != key:
         kept_by_worker["counter of"], kept_by_worker["counter"] = key, Counter(spec)
@@ -202,7 +198,7 @@ def count_tokens(df: DataFrame, spec: dict, text: str = "text", n_bytes: str = "
     """
     base = without(df, [n_bytes, n_tokens])
     bound_batches(df)
-    shared = df.sparkSession.sparkContext.broadcast((hash((len(spec["merges"]), *spec["merges"][-50:], *spec["added"])), spec))
+    shared = df.sparkSession.sparkContext.broadcast((hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest(), spec))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _shared_counter(*shared.value)

@@ -2,8 +2,8 @@
 
 A token sequence is the one that merging would give exactly when each two neighbours stay apart if just the two of
 them are merged again. ``MergeTable.compatible`` answers that by re-merging a pair once and remembering it. Two
-encoders build on it: ``backtrack`` walks forward over longest matches and steps back at dead ends, ``prefix_counts``
-runs left to right as a transducer whose transitions carry the change in the number of tokens.
+encoders build on it: ``MergeTable.backtrack`` walks forward over longest matches and steps back at dead ends,
+``CountTransducer`` reads left to right, and its transitions carry the change in the number of tokens.
 """
 
 from __future__ import annotations
@@ -42,9 +42,8 @@ class MergeTable:
         self.vocabulary, self.rank = vocabulary, rank
         self.automaton = ahocorasick.Automaton()
         for piece in vocabulary:
-            self.automaton.add_word(piece, len(piece))
+            self.automaton.add_word(piece[::-1], len(piece))
         self.automaton.make_automaton()
-        self.widest = max(map(len, vocabulary))
         #: For each way in the automaton the longest entry on it, and for each entry the next shorter one ('': none).
         self.longest: dict[str, str] = {}
         self.shorter: dict[str, str] = {}
@@ -74,6 +73,10 @@ class MergeTable:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def agree(self, left: str, right: str) -> bool:
+        known = self.pairs[left].get(right)
+        return self.compatible(left, right) if known is None else known
+
     def compatible(self, left: str, right: str) -> bool:
         """Whether merging the two tokens' characters again gives just these two tokens."""
         if self.n_pairs >= 4 * MEMORY:
@@ -83,25 +86,31 @@ class MergeTable:
         known = self.pairs[left][right] = self.merge(left + right) == [left, right]
         return known
 
+    def longest_matches(self, text: str) -> list[int]:
+        """Length of the longest entry that starts at each place (0: none), by one run of the automaton over the mirrored text."""
+        out, n = [0] * len(text), len(text)
+        for end, size in self.automaton.iter(text[::-1]):
+            if size > out[n - 1 - end]:
+                out[n - 1 - end] = size
+        return out
+
     def backtrack(self, text: str) -> list[str]:
-        """Longest matches first; a position from which no way leads on is marked in a field of bits and never met again."""
-        n, pairs, widest, longest, shorter, reach = len(text), self.pairs, self.widest, self.longest, self.shorter, self.automaton.longest_prefix
-        failed, tokens, last, start, token = 0, [], "", 0, None
+        """Longest matches first; a position from which no way leads on is marked in a bit field and never met again."""
+        n, pairs, shorter, longest = len(text), self.pairs, self.shorter, self.longest_matches(text)
+        failed, tokens, last, start, token = bytearray((n >> 3) + 1), [], "", 0, None
         while start < n:
-            if token is None:  # the automaton's longest way from here has the candidates, longest first
-                ahead = text[start : start + widest]
-                token = longest.get(ahead[: reach(ahead)]) or ahead[0]
-            if last:
-                known = pairs[last]
-                while token:
-                    if not failed or not failed >> start + len(token) & 1:
-                        ok = known.get(token)
-                        if self.compatible(last, token) if ok is None else ok:
-                            break
-                    token = shorter.get(token, "")
-            else:
-                while token and failed and failed >> len(token) & 1:
-                    token = shorter.get(token, "")
+            if token is None:
+                token = text[start : start + (longest[start] or 1)]  # what no entry starts with stands for itself
+            known = pairs[last] if last else None
+            while token:
+                end = start + len(token)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if not last:
+                        break
+                    ok = known.get(token)
+                    if self.compatible(last, token) if ok is None else ok:
+                        break
+                token = shorter.get(token, "")
             if token:
                 tokens.append(token)
                 start += len(token)
@@ -109,34 +118,57 @@ class MergeTable:
             elif not last:
                 raise ValueError("the text has no encoding")
             else:
-                failed |= 1 << start
+                failed[start >> 3] |= 1 << (start & 7)
                 start -= len(last)
                 token = shorter.get(tokens.pop(), "")
                 last = tokens[-1] if tokens else ""
         return tokens
 
-    def prefix_counts(self, text: str) -> list[int]:
-        """Numbers of tokens that each prefix encodes to: output of the transducer, whose state is the window of last tokens.
-
-        Reading one more symbol moves to the only token that ends there and agrees with the last token before it; the
-        transition emits the difference to the count so far (which may be negative, when merges swallow tokens).
-        """
-        last, counts, done, pairs = [""], [0], 0, self.pairs
-        for end, n in self.automaton.iter(text):  # longest first at each end
-            if end < done:
-                continue
-            if end > done:
-                raise ValueError("a symbol is not in the vocabulary")
-            before, token = last[end + 1 - n], text[end + 1 - n : end + 1]
-            if before:
-                ok = pairs[before].get(token)
-                if not (self.compatible(before, token) if ok is None else ok):
-                    continue
-            elif end + 1 != n:
-                continue
-            last.append(token)
-            counts.append(counts[end + 1 - n] + 1)
-            done += 1
-        if done < len(text):
-            raise ValueError("the text has no encoding")
-        return counts
+
+class CountTransducer:
+    """Deterministic transducer from symbols to numbers of tokens, compiled as its transitions are first taken.
+
+    A state is what the past can still do: the longest end of the text that an entry of the vocabulary begins with, the last
+    token of the encoding up to each place in it, and how many tokens fewer there are up to there. Reading a symbol moves
+    to the only token that ends there and agrees with the last token before it; the transition emits the difference to
+    the count so far (negative, where merges swallow tokens). There are finitely many states; ``most`` of their transitions
+    are kept, then compiling starts anew.
+    """
+
+    def __init__(self, table: MergeTable, most: int = 2_000_000):
+        self.table, self.most = table, most
+        self.reset()
+
+    def reset(self) -> None:
+        self.states: list[tuple] = [("", ("",), (0,))]
+        self.number: dict[tuple, int] = {self.states[0]: 0}
+        self.next: dict[tuple[int, str], tuple[int, int]] = {}
+
+    def compile(self, state: int, symbol: str) -> tuple[int, int]:
+        """(state, emitted count) behind one symbol."""
+        way, last, fewer = self.states[state]
+        table, text = self.table, way + symbol
+        for k in range(len(text)):
+            token = text[k:]
+            if token in table.vocabulary and (not last[k] or table.agree(last[k], token)):
+                break
+        else:
+            raise ValueError("a symbol is not in the vocabulary, or the text has no encoding")
+        emitted = fewer[k] + 1
+        last, fewer = (*last, token), (*fewer, emitted)
+        k = next((k for k in range(len(text)) if text[k:] in table.longest), len(text))
+        to = (text[k:], last[k:], tuple(n - emitted for n in fewer[k:]))
+        number = self.number.setdefault(to, len(self.states))
+        if number == len(self.states):
+            self.states.append(to)
+        self.next[state, symbol] = number, emitted
+        return number, emitted
+
+    def count(self, text: str) -> int:
+        if len(self.next) > self.most:
+            self.reset()
+        state, total, known = 0, 0, self.next
+        for symbol in text:
+            state, emitted = known.get((state, symbol)) or self.compile(state, symbol)
+            total += emitted
+        return total
