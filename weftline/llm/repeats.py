@@ -107,15 +107,15 @@ def words_as_units(data: np.ndarray, offsets: np.ndarray) -> Units:
 
 UNITS: dict[str, Callable[[np.ndarray, np.ndarray], Units]] = {"byte": bytes_as_units, "word": words_as_units}
 
-#: A stretch's content, as it is told apart: 96 bits of a 128-bit hash of its bytes, its windows and its anchor's place.
+#: A stretch's content, as it is told apart: 96 bits of a 128-bit hash of its bytes.
 CONTENT = np.dtype([("c1", "<i8"), ("c2", "<i4"), ("rest", "<i4")])
 
 
-def contents(units: Units, begin: np.ndarray, after: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """``CONTENT`` of units begin..after-1, each with a seed of its own."""
+def contents(units: Units, begin: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """``CONTENT`` of units begin..after-1."""
     view = memoryview(np.ascontiguousarray(units.data))
     parts = [view[x:y] for x, y in zip(units.first[begin].tolist(), units.after[after - 1].tolist(), strict=True)]
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts, seed.tolist())), CONTENT)
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), CONTENT)
 
 
 def stretches(units: Units, width: int, anchor: int, crowded: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -153,7 +153,7 @@ def stretches(units: Units, width: int, anchor: int, crowded: np.ndarray) -> tup
     head = np.flatnonzero(new)
     windows = np.diff(np.r_[head, len(start)])
     first, place = start[head], place[head]
-    content = contents(units, first, first + windows - 1 + width, windows << 32 | place - first)
+    content = contents(units, first, first + windows - 1 + width)
     chosen = np.where(single[head], content["c1"].view(np.uint64), anchors[place])
     return text[head], first - offsets[text[head]], windows, chosen, content
 
@@ -254,11 +254,11 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
     shared = context.broadcast(np.sort(full.toArrow()["a"].to_numpy().astype(np.int64).view(np.uint64)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, c, k1, k2, first, windows in gathered(batches, shared.value):
+        for a, c, k1, _, first, windows in gathered(batches, shared.value):
             order, head = _grouped(c)
             one = order[head]
-            columns = [_signed(a[one]), pa.array(c["c1"][one]), pa.array(c["c2"][one]), pa.array(np.diff(np.r_[head, len(order)]).astype(np.int64)), *[pa.array(x[one]) for x in (k1, k2, first, windows)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "c1", "c2", "n", "k1", "k2", "first", "windows"])
+            columns = [_signed(a[one]), pa.array(c["c1"][one]), pa.array(c["c2"][one]), pa.array(np.diff(np.r_[head, len(order)]).astype(np.int64)), *[pa.array(x[one]) for x in (k1, first, windows)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "c1", "c2", "n", "k1", "first", "windows"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each content of some texts: its first place, and the others packed in ``more``."""
@@ -271,11 +271,11 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
             yield pa.RecordBatch.from_arrays([pa.array(c["c1"][one]), pa.array(c["c2"][one]), *[pa.array(x[one]) for x in (k1, k2, first)], pa.array(more, pa.binary())], names=["c1", "c2", "k1", "k2", "first", "more"])
 
     # 1. Contents and how often they occur; those whose anchor occurs once only match nothing.
-    sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c1 long, c2 int, n long, k1 long, k2 int, first int, windows int").repartition("a")
-    counts = sent.groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "first", "windows")).alias("at"))
+    sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c1 long, c2 int, n long, k1 long, first int, windows int").repartition("a")
+    counts = sent.groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), *[F.first(x).alias(x) for x in ("k1", "first", "windows")])
     met = counts.withColumn("all", F.sum("n").over(Window.partitionBy("a"))).where(F.col("all") > 1)
-    # 2. One example of each.
-    wanted = met.select(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2"), F.struct("a", "c1", "c2", "n", "at.first", "at.windows").alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
+    # 2. One example of each: any text with that key in which the content stands at that place.
+    wanted = met.groupBy("k1").agg(F.collect_list(F.struct("a", "c1", "c2", "n", "first", "windows")).alias("wanted"))
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
@@ -290,11 +290,15 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
                 of = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
                 first, windows = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("first", "windows"))
                 begin = units.offsets[of] + first
-                payload = [units.data[x:y].tobytes() for x, y in zip(units.first[begin].tolist(), units.after[begin + windows + width - 2].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*[flat.field(x) for x in ("a", "c1", "c2", "n")], pa.array(payload, pa.binary())], names=["a", "c1", "c2", "n", "payload"])
+                there = np.flatnonzero(begin + windows + width - 1 <= units.offsets[of + 1])
+                begin, after = begin[there], (begin + windows + width - 1)[there]
+                own, c1, c2 = contents(units, begin, after), flat.field("c1").to_numpy()[there], flat.field("c2").to_numpy()[there]
+                right = (own["c1"] == c1) & (own["c2"] == c2)  # not so only where rows share a key by chance
+                begin, after, there = begin[right], after[right], there[right]
+                payload = [units.data[x:y].tobytes() for x, y in zip(units.first[begin].tolist(), units.after[after - 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[flat.field(x).take(pa.array(there)) for x in ("a", "c1", "c2", "n")], pa.array(payload, pa.binary())], names=["a", "c1", "c2", "n", "payload"])
 
-    same = lambda other: (F.col("__k1") == other["k1"]) & (F.col("__k2") == other["k2"])
-    cut_out = base.select("__k1", "__k2", text).join(wanted, same(wanted)).drop("k1", "k2").mapInArrow(in_worker("repeats", examples), "a long, c1 long, c2 int, n long, payload binary")
+    cut_out = base.join(wanted, F.col("__k1") == F.col("k1")).drop("k1").mapInArrow(in_worker("repeats", examples), "a long, c1 long, c2 int, n long, payload binary")
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors, until there are about ``shard_units``; a content met twice (from repeated rows) counts once."""
@@ -337,16 +341,17 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
                 yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(part[x])) for x in ("k1", "k2", "first")], batch.column("runs").take(pa.array(of[at : at + 20_000]))], names=["k1", "k2", "first", "runs"])
 
     marked = places.join(marks, ["c1", "c2"]).select("k1", "k2", "first", "more", "runs").mapInArrow(in_worker("repeats", spread), "k1 long, k2 int, first int, runs array<int>")
-    covered = marked.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "runs")).alias("covered"))  # a set: repeated rows have the same places
+    covered = marked.groupBy("k1").agg(F.collect_set(F.struct("k2", "first", "runs")).alias("covered"))  # a set: repeated rows have the same places
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = []
-            for row in batch.column("covered"):
-                if not row.is_valid:
+            for row, k2 in zip(batch.column("covered"), batch.column("__k2").to_pylist(), strict=True):
+                own = row.values.filter(pa.compute.equal(row.values.field("k2"), k2)) if row.is_valid else ()
+                if not len(own):
                     column.append([])
                     continue
-                first, runs = (row.values.field(x) for x in ("first", "runs"))
+                first, runs = (own.field(x) for x in ("first", "runs"))
                 begin = np.repeat(first.to_numpy(), pa.compute.list_value_length(runs).to_numpy() // 2)
                 flat = runs.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
                 lo, hi = begin + flat[:, 0], begin + flat[:, 1] + width - 1
@@ -356,7 +361,7 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
                 column.append(np.stack([lo[new], hi[np.r_[np.flatnonzero(new)[1:], len(lo)] - 1]], axis=1).ravel().astype(np.int32))
             yield with_arrays(batch.drop_columns(["covered"]), **{out: pa.array(column, pa.list_(pa.int32()))})
 
-    joined = base.join(covered, same(covered), "left").drop("k1", "k2")
+    joined = base.join(covered, F.col("__k1") == F.col("k1"), "left").drop("k1")
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return joined.mapInArrow(in_worker("repeats", spans), schema).drop("__k1", "__k2")
 
