@@ -1,8 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
-Hashed words, character n-grams and back references (a word that equals the one 1, 2, 3 or 4 words before) have learned vectors; a document is the average of its vectors, a softmax layer
-scores it. Trained by minibatch stochastic gradient descent in numpy on a bounded sample. The output layer is linear
-in the average, so for scoring each vector is reduced to what it adds to the difference of the two logits.
+Hashed words, pairs of neighbouring words and character n-grams (over bytes, word bounds included) have learned vectors; a
+document is the average of its vectors, a softmax layer scores it. A pair is hashed by the difference of its words' hashes,
+so all pairs of equal words have one vector. Trained by stochastic gradient descent in numpy, a
+document at a time with a falling rate, on a bounded sample; a step changes the vectors of that document's buckets only.
+The output layer is linear in the average, so for scoring each vector is reduced to what it adds to the difference of
+the two logits.
 """
 
 from __future__ import annotations
@@ -17,16 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.llm.common import bound_batches, in_worker, slices, text_bytes, with_arrays, without
+from weftline.llm.repeats import powers
 
-ORDERS = (2, 3)
-BACK = (1, 2, 3, 4)
+ORDERS = (1, 2, 3, 4)
 _MIX = np.random.default_rng(11).integers(1, 2**62, (256,), np.int64).astype(np.uint64)
-_PLACE = np.random.default_rng(12).integers(1, 2**62, (64,), np.int64).astype(np.uint64) | np.uint64(1)
 _BLANK = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
 
 
 def features(data: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For words and each n-gram order: (position of the text each feature is of, bucket). Kinds share the table."""
+    """For words, pairs of words and each n-gram order: (text of each feature, its bucket). All share one table."""
     n = len(data)
     if not n:
         return
@@ -39,17 +41,18 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[tuple
     mixed = _MIX[data]
     if len(first):
         place = np.arange(n) - np.repeat(np.r_[0, first], np.diff(np.r_[0, first, n]))
-        summed = np.add.reduceat(np.where(blank, np.uint64(0), mixed * _PLACE[np.minimum(place, 63)]), first)
+        word = np.add.reduceat(np.where(blank, np.uint64(0), mixed * powers(int(place.max()) + 1)[0][place]), first)
         of = owner[first]
-        yield of, ((summed * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int32)
-        for back in BACK:
-            same = np.flatnonzero((summed[back:] == summed[:-back]) & (of[back:] == of[:-back])) + back
-            yield of[same], np.full(len(same), back, np.int32)
+        yield of, ((word * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int32)
+        together = np.flatnonzero(of[1:] == of[:-1])
+        pair = (word[together] - word[together + 1]) * np.uint64(0xE7037ED1A0B428DB)
+        yield of[together], (pair >> shift).astype(np.int32)
     rolled = mixed.copy()
-    for order in range(2, max(ORDERS) + 1):
+    for order in range(1, max(ORDERS) + 1):
         if n < order:
             return
-        rolled = rolled[:-1] * np.uint64(0x100000001B3) + mixed[order - 1 :]
+        if order > 1:
+            rolled = rolled[:-1] * np.uint64(0x100000001B3) + mixed[order - 1 :]
         if order in ORDERS:
             inside = owner[: n - order + 1] == owner[order - 1 :]
             hashed = ((rolled + np.uint64(order)) * np.uint64(0xD6E8FEB86659FD93)) >> shift
@@ -72,34 +75,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + self.intercept, -60, 60)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, width: int = 8, epochs: int = 12, batch: int = 32, rate: float = 0.02, seed: int = 3) -> Model:
-    """``rows``: (buckets, shares that add up to 1, label). Softmax cross-entropy by minibatch gradient descent (Adam)."""
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, width: int = 16, epochs: int = 10, rate: float = 60.0, seed: int = 3) -> Model:
+    """``rows``: (buckets, shares that add up to 1, label). Softmax cross-entropy by stochastic gradient descent: one document
+    a step, the rate falling to nothing in a line. Shares are small, so the vectors' rate is large; the output layer's is
+    a thousandth of it. Buckets that no document has stay at the origin and say nothing."""
     rng = np.random.default_rng(seed)
-    scale = np.float32(8)  # averages are short; this keeps their gradients of use
-    vectors, out = rng.normal(0, 0.1, (1 << bits, width)).astype(np.float32), rng.normal(0, 0.5, (width, 2)).astype(np.float32)
+    vectors, out = np.zeros((1 << bits, width), np.float32), rng.normal(0, 1 / np.sqrt(width), (width, 2)).astype(np.float32)
     prior = np.log(np.maximum(np.bincount([r[2] for r in rows], minlength=2), 0.5))
-    bias = (prior - prior.mean()).astype(np.float32)
-    parameters = (vectors, out, bias)
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
-    for epoch in range(epochs if rows else 0):
-        order = rng.permutation(len(rows))
-        for s in range(0, len(rows), batch):
-            picked = [rows[i] for i in order[s : s + batch]]
-            x = np.zeros((len(picked), 1 << bits), np.float32)
-            for i, (bucket, share, _) in enumerate(picked):
-                x[i, bucket] = share
-            x *= scale
-            mean = x @ vectors
+    bias, steps, done = (prior - prior.mean()).astype(np.float32), max(1, epochs * len(rows)), 0
+    for _ in range(epochs):
+        for i in rng.permutation(len(rows)):
+            bucket, share, label = rows[i]
+            now = np.float32(rate * (1 - done / steps))
+            done += 1
+            mean = share @ vectors[bucket]
             z = mean @ out + bias
-            z = np.exp(z - z.max(axis=1, keepdims=True))
-            z /= z.sum(axis=1, keepdims=True)
-            z[np.arange(len(picked)), [r[2] for r in picked]] -= 1
-            z /= len(picked)
-            for p, (m, v), g in zip(parameters, moments, (x.T @ (z @ out.T), mean.T @ z, z.sum(0)), strict=True):
-                m += np.float32(0.1) * (g - m)
-                v += np.float32(0.01) * (g * g - v)
-                p -= np.float32(rate * (1 - epoch / epochs)) * m / (np.sqrt(v) + np.float32(1e-7))
-    return Model((vectors @ (out[:, 1] - out[:, 0]) * scale).astype(np.float64), float(bias[1] - bias[0]), bits)
+            g = np.exp(z - z.max())
+            g /= g.sum()
+            g[label] -= 1
+            back = out @ g
+            out -= np.float32(1e-3) * now * np.outer(mean, g)
+            bias -= np.float32(1e-3) * now * g
+            vectors[bucket] -= now * np.outer(share, back)
+    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0]), bits)
 
 
 def bags(df: DataFrame, bits: int, text: str = "text", label: str = "label") -> DataFrame:
@@ -121,7 +119,7 @@ def bags(df: DataFrame, bits: int, text: str = "text", label: str = "label") ->
     return df.select(text, label).mapInArrow(in_worker("quality", run), "buckets binary, shares binary, label int")
 
 
-def fit(sample: DataFrame, bits: int = 14, **how) -> Model:
+def fit(sample: DataFrame, bits: int = 18, **how) -> Model:
     """Fit on a sample whose size the caller bounds (its bags come to the driver). No rows: every score is a half."""
     rows = [(np.frombuffer(r[0], np.int32), np.frombuffer(r[1], np.float32), r[2]) for r in bags(sample, bits).collect()]
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes()))  # whatever order tasks end in
