@@ -1,10 +1,11 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-Words are runs without ASCII white space; of a word its letters count, lower-cased. A word enters by a learned vector
-(words of the training sample; others share a zero vector) and by the average of learned vectors of its character
-trigrams. All overlapping windows of ``LENGTH`` words, ``STRIDE`` apart and one at the end, are scored; a text's score
-is that of its worst window. Only texts are labelled, so training picks the worst windows of each text anew in every
-epoch (multiple-instance learning) and starts from each word's smoothed log-odds.
+Words are runs without ASCII white space; of a word its letters count, lower-cased (digits and signs are left out, and a
+word of these alone has no letters). A word enters by a learned vector (words of the training sample; others share a zero
+vector) and by the average of learned vectors of its character trigrams. All overlapping windows of ``LENGTH`` words,
+``STRIDE`` apart and one at the end, are scored; a text's score is that of its worst window. Only texts are labelled: the
+first epochs take windows of each text at random, the later ones the windows that are worst by then (multiple-instance
+learning). All weights start at random.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from weftline.llm.common import bound_batches, in_worker, slices, text_bytes, with_arrays, without
+from weftline.llm.repeats import powers
 
-LENGTH, STRIDE, HIDDEN, WORD, CHAR, CHAR_BITS = 24, 12, 8, 6, 6, 12
+LENGTH, STRIDE, HIDDEN, WORD, CHAR, CHAR_BITS = 24, 12, 12, 8, 8, 12
+#: Of a training text at most so many windows come to the driver, evenly spread over the whole text.
+MOST_WINDOWS = 128
 f32 = np.float32
 _MIX = np.random.default_rng(21).integers(1, 2**62, (256,), np.int64).astype(np.uint64)
-_PLACE = np.random.default_rng(22).integers(1, 2**62, (64,), np.int64).astype(np.uint64) | np.uint64(1)
 _BLANK = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
 _FOLD = np.zeros(256, np.uint8)  # letters, and bytes of letters beyond ASCII; 0 for what a word's spelling leaves out
 _FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
@@ -47,7 +50,7 @@ def spell(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     place = np.cumsum(letters > 0, dtype=np.int32)
     base = place[first] - (letters[first] > 0)
     place -= np.repeat(np.r_[np.int32(0), base], np.diff(np.r_[0, first, n])) + 1
-    values = _MIX[letters] * _PLACE[np.clip(place, 0, 63)]
+    values = _MIX[letters] * powers(max(1, int(place.max()) + 1))[0][np.maximum(place, 0)]
     values[letters == 0] = 0
     keys = np.add.reduceat(values, first)
     distinct, where, which = np.unique(keys, return_index=True, return_inverse=True)
@@ -205,7 +208,7 @@ def _gradients(net: Network, vectors: np.ndarray, row: np.ndarray, trigrams: lis
     return grads | {"word": word, "char": np.stack([np.bincount(flat, share[:, j], 1 << CHAR_BITS) for j in range(CHAR)], axis=1)}
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 18, batch: int = 256, rate: float = 0.01, seed: int = 9) -> Network:
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, at_random: int = 4, batch: int = 256, rate: float = 0.01, seed: int = 9) -> Network:
     """Fit on texts and 0/1 labels. Without both labels every score is the share of label 1."""
     rng = np.random.default_rng(seed)
     offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
@@ -213,16 +216,11 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 18, batch: int =
     labels = np.asarray(labels, np.int64)
     text_of = np.repeat(np.arange(len(texts)), count)
     pairs = np.unique(text_of * max(1, len(keys)) + which)
-    in_text = np.bincount(pairs % max(1, len(keys)), minlength=len(keys))
-    toxic = np.bincount(pairs % max(1, len(keys)), labels[pairs // max(1, len(keys))] if len(pairs) else None, len(keys))
-    kept = np.flatnonzero(in_text >= 2)
-    positive = max(1, int(labels.sum()))
-    odds = np.log((toxic + 0.5) / (positive + 1)) - np.log((in_text - toxic + 0.5) / (len(labels) - positive + 1))
-    odds = np.clip(odds * toxic / (toxic + 3.0), 0, 6)
+    kept = np.flatnonzero(np.bincount(pairs % max(1, len(keys)), minlength=len(keys)) >= 2)  # words of two texts or more
     n = rng.normal
-    word = np.zeros((len(kept) + 1, WORD), f32)
-    word[1:, 0] = odds[kept]
-    net = Network(keys[kept], word, n(0, 0.05, (1 << CHAR_BITS, CHAR)).astype(f32))
+    word = n(0, 0.1, (len(kept) + 1, WORD)).astype(f32)
+    word[0] = 0
+    net = Network(keys[kept], word, n(0, 0.1, (1 << CHAR_BITS, CHAR)).astype(f32))
     for _ in (0, 1):
         net.inputs.append(n(0, 0.3, (WORD + CHAR, 3 * HIDDEN)).astype(f32))
         net.offset.append(np.zeros(3 * HIDDEN, f32))
@@ -236,17 +234,14 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 18, batch: int =
     parameters |= {f"{name}{d}": getattr(net, name)[d] for name in ("inputs", "offset", "recur") for d in (0, 1)}
     moments = {k: (np.zeros(p.shape, f32), np.zeros(p.shape, f32)) for k, p in parameters.items()}
     text, start, length = windows(count)
-    hint = np.zeros(len(start))
-    for k in range(LENGTH):
-        at = np.minimum(start + k, len(which) - 1)
-        hint = np.maximum(hint, np.where(k < length, odds[which[at]], 0))
     step = 0
     for epoch in range(epochs):
-        logits = hint if epoch < 2 else net.window_logits(which, net.gates(net.embed(keys, trigrams)[0]), start, length)
-        order = np.lexsort((rng.random(len(text)), -logits, text))
-        worst = order[np.r_[True, text[order][1:] != text[order][:-1]]]
+        logits = rng.random(len(start)) if epoch < at_random else net.window_logits(which, net.gates(net.embed(keys, trigrams)[0]), start, length)
+        order = np.lexsort((-logits, text))
+        place = np.arange(len(order)) - np.searchsorted(text[order], text[order])
+        picked = order[place < (2 if epoch < at_random else 1)]
         others = np.flatnonzero(labels[text] == 0)
-        chosen = rng.permutation(np.r_[worst, rng.choice(others, min(len(others), len(worst)), replace=False)])
+        chosen = rng.permutation(np.r_[picked, rng.choice(others, min(len(others), len(picked)), replace=False)])
         weight = np.where(labels[text] == 1, min(3.0, 0.5 / share), 1.0)
         for s in range(0, len(chosen), batch):
             i = chosen[s : s + batch]
@@ -262,7 +257,7 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 18, batch: int =
                 m, v = moments[k]
                 m += f32(0.1) * (grads[k].astype(f32) - m)
                 v += f32(0.01) * (grads[k].astype(f32) ** 2 - v)
-                p -= f32(rate * (1 - 0.8 * epoch / epochs)) * (m / f32(1 - 0.9**step)) / (np.sqrt(v / f32(1 - 0.99**step)) + f32(1e-6))
+                p -= f32(rate * (1 - 0.9 * epoch / epochs)) * (m / f32(1 - 0.9**step)) / (np.sqrt(v / f32(1 - 0.99**step)) + f32(1e-6))
     # Slope and intercept of the texts' worst windows.
     logits = net.window_logits(which, net.gates(net.embed(keys, trigrams)[0]), start, length)
     worst = np.full(len(count), -30.0)
@@ -276,12 +271,29 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 18, batch: int =
     return net
 
 
+def windows_of(sample: DataFrame) -> DataFrame:
+    """The sample (text, label) with each text cut to ``MOST_WINDOWS`` windows, evenly spread over the whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", 600_000):
+                out = []
+                for t in batch.column("text").cast(pa.large_binary()).to_pylist():
+                    words = (t or b"").split()
+                    if len(words) > MOST_WINDOWS * LENGTH:
+                        starts = np.linspace(0, len(words) - LENGTH, MOST_WINDOWS).astype(np.int64)
+                        words = [w for s in starts.tolist() for w in words[s : s + LENGTH]]
+                    out.append(b" ".join(words))
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column("label").cast(pa.int32())], names=["words", "label"])
+
+    bound_batches(sample)
+    return sample.select("text", "label").mapInArrow(in_worker("toxicity", run), "words binary, label int")
+
+
 def fit(sample: DataFrame, **how) -> Network:
-    """Fit on a sample (text, label) whose rows the caller bounds; its texts' whole words come to the driver."""
-    rows = sample.toArrow()
-    order = sorted(range(rows.num_rows), key=lambda i: (rows["label"][i].as_py(), rows["text"][i].as_py() or ""))
-    texts = [(rows["text"][i].as_py() or "").encode("utf-8", "surrogatepass") for i in order]
-    return train(texts, np.array([rows["label"][i].as_py() for i in order], np.int64), **how)
+    """Fit on a sample (text, label) whose rows the caller bounds; of each at most ``MOST_WINDOWS`` windows come to the driver."""
+    rows = sorted(((r[1], bytes(r[0])) for r in windows_of(sample).collect()), key=lambda r: r)  # whatever order tasks end in
+    return train([t for _, t in rows], np.array([y for y, _ in rows], np.int64), **how)
 
 
 def score(df: DataFrame, net: Network, text: str = "text", out: str = "score", step_bytes: int = 1_000_000) -> DataFrame:
