@@ -58,7 +58,7 @@ def test_threshold_stops_early():
 
 def test_recall_and_scores(spark, clustered):
     got: dict = {}
-    for r in ann.nearest(table(spark, clustered), F.expr(QUERY), sample_rows=600, rows_per_part=100, block_rows=300).collect():
+    for r in ann.nearest(table(spark, clustered), F.expr(QUERY), sample_rows=600, rows_per_part=40, block_rows=300).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     ids, x, hits = np.arange(len(clustered)), clustered.astype(np.float64), 0
     for q in range(0, len(x), 50):
@@ -86,3 +86,68 @@ def test_odd_vectors(spark):
     assert top[:5] == [(0, 1, 50, 131072), (0, 2, 8, 65536), (0, 3, 8, 65536), (0, 4, 7, 32768), (0, 5, 6, 0)]
     assert ann.nearest(df.limit(0), F.expr(QUERY)).count() == 0 and topk.top_k(df.limit(0), F.expr(QUERY)).count() == 0
     assert ann.nearest(df.where("vec_id = 0"), F.expr(QUERY)).count() == 0
+
+
+def test_lengths_have_answers_of_their_own(spark):
+    """Vectors of several lengths in one table: each query is answered among those of its length."""
+    rng = np.random.default_rng(4)
+    vectors = [rng.normal(size=3 if i % 7 == 1 else 6).astype(np.float32).tolist() for i in range(1200)]
+    df = table(spark, vectors)
+    near: dict = {}
+    for r in ann.nearest(df, F.expr(QUERY), rows_per_part=30).collect():
+        near.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q in range(0, 1200, 50):
+        own = np.array([i for i in range(1200) if len(vectors[i]) == len(vectors[q])])
+        scores = ann.cosines(np.array(vectors[q]), np.array([vectors[i] for i in own]))
+        assert all(len(vectors[i]) == len(vectors[q]) for i in near[q]) and len(near[q]) == 5
+        hits += len(set(near[q]) & {int(own[i]) for i in brute(scores, own, q)})
+    assert hits >= 0.9 * 5 * 24
+
+
+@pytest.mark.parametrize(("folder", "most_visits", "most_rows"), [("/root/testdata/sf0.1", 0.5, 0.75), ("/root/testdata/check_l", 0.34, 0.55)])
+def test_recall_and_visits_with_production_parameters(spark, folder, most_visits, most_rows):
+    """Recall of 0.9 or more against brute force, by visits to a share of the parts that hold a share of the rows (the
+    vectors there are drawn in all directions alike, without structure that parts could follow)."""
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(np.float64)
+    u = ann._unit(x)
+    found = ann.fit_partition(u[np.random.default_rng(0).permutation(len(u))[:8192]], len(u), 2, 60, 256, 0.93)
+    assert found.visits <= found.parts * most_visits and found.parts >= 16
+    own = np.argsort(-ann.part_scores(found.weights, u), axis=1)[:, :2]
+    hits = rows_read = 0
+    queries = np.flatnonzero(ids % 50 == 0)[:200]
+    for q in queries:
+        visited = np.argsort(-ann.part_scores(found.weights, u[q : q + 1]))[0, : found.visits]
+        scores = u @ u[q]
+        scores[q] = -2
+        near = np.argpartition(-scores, 5)[:5]
+        met = np.isin(own, visited).any(axis=1)
+        hits, rows_read = hits + met[near].sum(), rows_read + met.sum()
+    print(folder, "parts", found.parts, "visits", found.visits, "recall", hits / 5 / len(queries), "share of rows read", rows_read / len(queries) / len(u))
+    assert hits >= 0.9 * 5 * len(queries) and rows_read <= most_rows * len(queries) * len(u)
+
+
+def test_huge_components(spark):
+    """Products beyond 64 bits are compared exactly and given as the nearest long."""
+    vectors = [[1e17, 1.0], [1e17, 2.0], [-1e17, 0.0], [1.0, 1.0], [1e308, 1.0]]
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>"), F.expr(QUERY)).orderBy("rank").collect()]
+    assert got == [(n + 1, i, (1 << 63) - 1) for n, i in enumerate((1, 3, 4))] + [(4, 2, -(1 << 63))]
+    assert topk.whole(np.array([[1e308, 0.5]]), 256)[0].tolist() == [int(1e308) * 256, 128]
+
+
+def test_tiles_below_the_floor_are_not_met(spark):
+    """Rows of very different sizes: most tiles' bounds are below what the first tile gives; the answers are brute force's."""
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(3000, 4)) * np.exp(rng.normal(size=(3000, 1)) * 2)).astype(np.float32)
+    check_topk(spark, x, tile_rows=100, tile_queries=20)
+    rows = table(spark, x).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.lit(4).alias("dim"))
+    tiled = rows.withColumn("tile", F.floor(F.log1p(F.aggregate("v", F.lit(0.0), lambda a, c: a + F.abs(c)))).cast("int"))
+    known = topk.heads(tiled)
+    asked = tiled.where("id % 50 = 0").drop("tile").withColumn("floor", F.lit(1e6))
+    reached = topk.bounded(asked, known, 256).select("id", "reached").collect()
+    whole = np.floor(256 * x.astype(np.float64))
+    tile = np.floor(np.log1p(np.abs(x.astype(np.float64)).sum(axis=1))).astype(int)
+    for r in reached:
+        assert set(tile[whole @ whole[r.id] >= 1e6].tolist()) <= set(r.reached)
+    assert sum(len(r.reached) for r in reached) < 0.7 * len(reached) * len(known[4][0])

@@ -2,14 +2,16 @@
 
 On a bounded sample a graph of nearest neighbours is cut into balanced parts (recursive halving along the main axis,
 then exchanges that lower the cut). A small classifier learns in which parts a vector's neighbours are. Every row is
-indexed under its most probable part; a query goes to several most probable parts and is reranked exactly against all
-that are there. How many parts it visits is measured on sample rows that were kept out of the fit.
-Crowded parts are cut into blocks of rows, and their visitors into layers, so no task holds more than a block and a layer.
+indexed under its few most probable parts; a query goes to several most probable parts and is reranked exactly against all
+that are there. How many parts it visits is measured on sample rows that were kept out of the fit. Vectors of each length
+have parts of their own; a length with few sample rows has one. Crowded parts are cut into blocks of rows, and their
+visitors into layers, so no task holds more than a block and a layer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import in_worker, with_arrays
+from weftline.llm.common import cut_lineage, in_worker, with_arrays
 from weftline.llm.vectors import matrix, tiles, usable
 
 SCHEMA = "query_key long, query_id long, vec_id long, score double"
@@ -76,17 +78,18 @@ def part_scores(w: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
     return np.tanh(x @ w[0] + w[1]) @ w[2] + w[3]
 
 
-def visits_for(w: tuple[np.ndarray, ...], indexed: np.ndarray, asked: np.ndarray, recall: float, k: int = 5) -> int:
+def visits_for(w: tuple[np.ndarray, ...], indexed: np.ndarray, asked: np.ndarray, recall: float, copies: int, k: int = 5) -> int:
     """The least number of parts in which ``asked`` rows meet that share of their k nearest ``indexed`` rows."""
     parts = len(w[3])
     near = np.argpartition(-(asked @ indexed.T), min(k, len(indexed)) - 1, axis=1)[:, :k]
     rank = np.argsort(np.argsort(-part_scores(w, asked), axis=1, kind="stable"), axis=1)
-    place = np.take_along_axis(rank, part_scores(w, indexed).argmax(axis=1)[near], axis=1)
+    own = np.argsort(-part_scores(w, indexed), axis=1, kind="stable")[:, :copies]
+    place = np.min([np.take_along_axis(rank, own[:, c][near], axis=1) for c in range(own.shape[1])], axis=0)
     met = np.cumsum(np.bincount(place.ravel(), minlength=parts)) / place.size
     return int(np.argmax(met >= recall)) + 1
 
 
-def fit_router(x: np.ndarray, shares: np.ndarray, parts: int, hidden: int = 96, epochs: int = 40, seed: int = 5) -> tuple[np.ndarray, ...]:
+def fit_router(x: np.ndarray, shares: np.ndarray, parts: int, hidden: int = 96, epochs: int = 30, seed: int = 5) -> tuple[np.ndarray, ...]:
     """One hidden layer and softmax, by Adam."""
     rng = np.random.default_rng(seed)
     w = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], hidden)) * 3, np.zeros(hidden), rng.normal(0, 1 / np.sqrt(hidden), (hidden, parts)), np.zeros(parts)]
@@ -121,79 +124,107 @@ def cosines(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((candidates * candidates).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
-def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", sample_rows: int = 8192, rows_per_part: int = 600, most_parts: int = 256, recall: float = 0.96, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
-    """(query_id, rank, vec_id, score) of each query's k nearest found by cosine, nearest first, ties to smaller ids.
+@dataclass(frozen=True)
+class Partition:
+    """A router's weights, its number of parts, and how many of them a query visits."""
 
-    Every usable row is indexed; only partitioner and router are fitted on ``sample_rows`` rows (of least hash) at most.
-    ``recall``: what the number of visited parts is chosen for, on an eighth of the sample. Candidates are rows of other ids. Vectors that are
-    null, empty, zero or have a null or non-finite component take no part, nor do those of another length than the most
-    of the sample; repeated rows are candidates each; an empty table gives no rows.
-    """
-    rows = df.where(usable(F.col(vector), nonzero=True) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    key = F.xxhash64("id", "v")
-    sample = [r["v"] for r in rows.select("v", key.alias("key")).orderBy("key").limit(sample_rows).select("v").collect()]
-    if not sample:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lengths, times = np.unique([len(v) for v in sample], return_counts=True)
-    dim = int(lengths[times.argmax()])
-    rows = rows.where(F.size("v") == dim)
-    x = np.unique(_unit(np.array([v for v in sample if len(v) == dim])), axis=0)
-    total = rows.count()
-    parts = 1 << max(0, min(most_parts, len(x) // 24, total // rows_per_part).bit_length() - 1)
-    visits, weights = 1, None
-    if parts > 1:
-        x = x[np.random.default_rng(7).permutation(len(x))]
-        fitted, kept_out = x[len(x) // 8 :], x[: len(x) // 8]
-        graph = neighbour_graph(fitted, 10)
-        weights = fit_router(fitted, neighbour_shares(balanced_parts(fitted, graph, parts), graph, parts), parts)
-        visits = visits_for(weights, fitted, kept_out, recall)
-    shared = df.sparkSession.sparkContext.broadcast(weights)  # (dim + parts) * hidden numbers
+    weights: tuple[np.ndarray, ...]
+    parts: int
+    visits: int
+
+
+def fit_partition(x: np.ndarray, rows: int, copies: int, rows_per_part: int, most_parts: int, recall: float) -> Partition | None:
+    """From unit vectors of one length, for a table of so many rows; None where that makes a single part."""
+    x = np.unique(x, axis=0)
+    parts = 1 << max(0, min(most_parts, len(x) // 24, rows // rows_per_part).bit_length() - 1)
+    if parts <= copies:
+        return None
+    x = x[np.random.default_rng(7).permutation(len(x))]
+    fitted, kept_out = x[len(x) // 8 :], x[: len(x) // 8]
+    graph = neighbour_graph(fitted, 10)
+    weights = fit_router(fitted, neighbour_shares(balanced_parts(fitted, graph, parts), graph, parts), parts)
+    return Partition(weights, parts, visits_for(weights, fitted, kept_out, recall, copies))
+
+
+def routed(rows: DataFrame, partitions: dict[int, Partition], copies: int) -> DataFrame:
+    """Add ``own`` (a row's most probable parts) and ``visits`` (what a query's vector visits), array<int> both."""
+    shared = rows.sparkSession.sparkContext.broadcast(partitions)  # for each length (dim + parts) * hidden numbers
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if w is None:
-                probable = np.zeros((batch.num_rows, 1), np.int32)
-            else:
-                u = _unit(matrix(batch.column("v")))
-                probable = np.argsort(-part_scores(w, u), axis=1, kind="stable")[:, :visits].astype(np.int32)
-            yield with_arrays(batch, **{"part": pa.array(probable[:, 0]), "visits": pa.array(list(probable), pa.list_(pa.int32()))})
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))])
-    routed = rows.mapInArrow(in_worker("ann", route), schema).withColumn("key", key)
-    sizes = dict(routed.groupBy("part").count().collect())  # a number for each of at most most_parts parts
-    blocks = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // block_rows))) for p in range(parts)])
-    asked = routed.where("is_query").select("key", "id", "v", "visits").dropDuplicates(["key"]).select("key", "id", "v", F.explode("visits").alias("part"))
-    visitors = dict(asked.groupBy("part").count().collect())
-    layers = F.array(*[F.lit(max(1, -(-visitors.get(p, 0) // block_queries))) for p in range(parts)])
-    of = lambda counts: F.element_at(counts, F.col("part") + 1)
-    dealt = lambda counts: F.pmod("key", of(counts)).cast("int")
-    every = lambda counts: F.explode(F.sequence(F.lit(0), of(counts) - 1))
-    candidates = routed.select("id", "v", "part", dealt(blocks).alias("block"), every(layers).alias("layer"))
-    queries = asked.select("key", "id", "v", "part", dealt(layers).alias("layer"), every(blocks).alias("block"))
+            length = pa.compute.list_value_length(batch.column("v")).to_numpy()
+            for dim in np.unique(length).tolist():
+                some = batch.take(pa.array(np.flatnonzero(length == dim)))
+                of = shared.value.get(dim)
+                order = np.zeros((some.num_rows, 1), np.int32) if of is None else np.argsort(-part_scores(of.weights, _unit(matrix(some.column("v")))), axis=1, kind="stable").astype(np.int32)
+                lists = {"own": order[:, :copies], "visits": order[:, : of.visits if of else 1]}
+                yield with_arrays(some, **{n: pa.array(list(x), pa.list_(pa.int32())) for n, x in lists.items()})
+
+    kinds = T.ArrayType(T.IntegerType())
+    return rows.mapInArrow(in_worker("ann", route), T.StructType([*rows.schema.fields, T.StructField("own", kinds), T.StructField("visits", kinds)]))
+
+
+def nearest(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", sample_rows: int = 8192, rows_per_part: int = 60, most_parts: int = 256, copies: int = 2, recall: float = 0.93, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
+    """(query_id, rank, vec_id, score) of each query's k nearest found by cosine, nearest first, ties to smaller ids.
+
+    Every usable row is indexed, in ``copies`` parts; only partitioners and routers are fitted on ``sample_rows`` rows (of
+    least hash) at most. ``recall``: what the number of visited parts is chosen for, on an eighth of the sample. Candidates
+    are rows of other ids with vectors of the query's length. Vectors that are null, empty, zero or have a null or non-finite
+    component take no part; repeated rows are candidates each; an empty table gives no rows; other columns are not read.
+    """
+    rows = df.where(usable(F.col(vector), nonzero=True) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    # Repeated rows are one row with a number.
+    rows = rows.groupBy("id", "v").agg(F.count("*").alias("n"), F.max("is_query").alias("is_query")).withColumns({"key": F.xxhash64("id", "v"), "dim": F.size("v")})
+    rows = cut_lineage(rows)
+    sample = rows.select("key", "v", "dim").orderBy("key").limit(sample_rows).toArrow()
+    total, lengths = rows.count(), sample["dim"].to_numpy()
+    partitions = {}
+    for dim, n in zip(*np.unique(lengths, return_counts=True), strict=True):
+        x = _unit(matrix(sample["v"].filter(pa.array(lengths == dim))))
+        found = fit_partition(x, total * int(n) // len(lengths), copies, rows_per_part, most_parts, recall)
+        if found:
+            partitions[int(dim)] = found
+    placed = cut_lineage(routed(rows, partitions, copies))
+    indexed = placed.select("id", "v", "n", "key", "dim", "own", F.posexplode("own").alias("nth", "part"))
+    asked = placed.where("is_query").select("id", "v", "key", "dim", "visits", F.explode("visits").alias("part"))
+    share = lambda count, most: F.ceil(F.count("*") / F.lit(most)).cast("int").alias(count)
+    cells = indexed.groupBy("dim", "part").agg(share("blocks", block_rows)).join(asked.groupBy("dim", "part").agg(share("layers", block_queries)), ["dim", "part"])
+    dealt = lambda n: F.pmod(F.col("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # A row stands in several parts: a query takes it in the first of them that it visits.
+    before = F.slice("own", F.lit(1), F.col("nth")).alias("before")
+    candidates = indexed.join(cells, ["dim", "part"]).select("id", "v", "n", "dim", "part", before, dealt("blocks").alias("block"), every("layers").alias("layer"))
+    queries = asked.join(cells, ["dim", "part"]).select("key", "id", "v", "dim", "part", "visits", dealt("layers").alias("layer"), every("blocks").alias("block"))
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if a.num_rows and b.num_rows:
-            ids, values = b.column("id").to_numpy(), matrix(b.column("v"))
+            ids, values, times = b.column("id").to_numpy(), matrix(b.column("v")), b.column("n").to_numpy()
+            before = b.column("before").combine_chunks()
+            of = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(before).to_numpy())
+            earlier = before.flatten().to_numpy(zero_copy_only=False)
             u = _unit(values)
-            keys, owns, asked_for = a.column("key").to_pylist(), a.column("id").to_pylist(), matrix(a.column("v"))
+            keys, owns, asked_for, visits = a.column("key").to_pylist(), a.column("id").to_pylist(), matrix(a.column("v")), a.column("visits").to_pylist()
+            visited = np.zeros(1 + max(max(map(max, visits)), earlier.max(initial=0)), bool)
             for s in range(0, len(keys), 256):
                 rough = _unit(asked_for[s : s + 256]) @ u.T
                 for j in range(len(rough)):
                     score, own = rough[j], owns[s + j]
+                    visited[visits[s + j]] = True
+                    score[of[visited[earlier]]] = -np.inf
+                    visited[visits[s + j]] = False
                     score[ids == own] = -np.inf
                     n = min(k, len(score))
                     near = np.flatnonzero((score >= -np.partition(-score, n - 1)[n - 1] - 1e-9) & (score > -np.inf))
                     exact = cosines(asked_for[s + j], values[near])
                     for i in np.lexsort((ids[near], -exact))[:k]:
-                        out.append((keys[s + j], own, int(ids[near[i]]), float(exact[i])))
+                        out += [(keys[s + j], own, int(ids[near[i]]), float(exact[i]))] * min(k, int(times[near[i]]))
         columns = list(zip(*out, strict=True)) if out else [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("query_key", "query_id", "vec_id", "score"), columns, kinds, strict=True)})
 
-    met = tiles(queries, candidates, ["part", "block", "layer"], search, SCHEMA)
+    met = tiles(queries, candidates, ["dim", "part", "block", "layer"], search, SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

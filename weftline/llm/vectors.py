@@ -42,4 +42,5 @@ def tiles(queries: DataFrame, candidates: DataFrame, keys: list[str], search: Ca
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         return search(a, b)
 
-    return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(run, schema)
+    other = candidates.toDF(*candidates.columns)  # columns of its own, where both sides come from one frame
+    return queries.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInArrow(run, schema)
