@@ -1,10 +1,11 @@
 """Near-duplicates by similarity: the Jaccard index of two texts' sets of five-word shingles is 0.8 or more.
 
-Min-hash signatures find candidates: texts that agree in all rows of a band meet in a cell. Each cell links its members
-to the least of them, which is linear in its size; components of those links are groups in which all candidates lie.
-A group's texts are gathered once and every pair that shares a cell is checked on the sets themselves, unless earlier
-checks have connected the two. With 24 bands of 6 rows a pair at 0.8 shares a cell with a chance of 0.9993, at 0.9 of
-all but 1e-7.
+Candidates are found in two ways. The SimHash operator links fingerprints of the five-word shingles that differ in two bits
+at most (``simhash.links``); at 0.8 most fingerprints differ in more, so min-hash signatures find the others: texts that
+agree in all rows of a band meet in a cell. Each cell, and each fingerprint, links its members to the least of them, which is
+linear in its size; components of those links are groups in which all candidates lie. A group's texts are gathered once
+and every candidate pair is checked on the sets themselves, unless earlier checks have connected the two. With 24 bands of
+6 rows a pair at 0.8 shares a cell with a chance of 0.9993, at 0.9 of all but 1e-7.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import types as T
 
 from weftline.llm.common import bound_batches, cut_lineage, in_worker, row_keys, slices
 from weftline.llm.graph import components
-from weftline.llm.simhash import shingle_hashes
+from weftline.llm.simhash import fingerprint_of, links, shingle_hashes
 
 WORDS, LEAST, SEED = 5, 0.8, 42
-BANDS, ROWS = 24, 6
+BANDS, ROWS, BITS = 24, 6, 2
 _DRAWN = np.random.default_rng(SEED)
 _TIMES = (_DRAWN.integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 _PLUS = _DRAWN.integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32)
@@ -37,6 +38,11 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(text, WORDS, SEED))
 
 
+def fingerprint(shingles: np.ndarray) -> int:
+    """SimHash fingerprint of a set of shingles."""
+    return fingerprint_of(shingles)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
     low = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -58,8 +64,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def connect(sets: list[np.ndarray], least: float = LEAST) -> list[int]:
-    """For each set the first one that it is connected to by pairs that share a cell and are similar."""
-    signed = np.array([signature(s) for s in sets])
+    """For each set the first one that it is connected to by candidate pairs that are similar."""
+    signed, prints = np.array([signature(s) for s in sets]), np.array([fingerprint(s) for s in sets], np.uint64)
     size, root = np.array([len(s) for s in sets]), list(range(len(sets)))
 
     def find(i: int) -> int:
@@ -82,6 +88,8 @@ def connect(sets: list[np.ndarray], least: float = LEAST) -> list[int]:
             check(i, np.array(sorted(some)))
         for c in mine:
             held[c].append(i)
+        if len(close := np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]) <= BITS)):
+            check(i, close)
     done: set[tuple[int, ...]] = set()
     for found in held.values():
         if len(found) < 3 or tuple(found) in done:
@@ -98,21 +106,23 @@ def connect(sets: list[np.ndarray], least: float = LEAST) -> list[int]:
 
 
 def sketches(df: DataFrame, step_bytes: int = 1_000_000) -> DataFrame:
-    """(row, id, text) to (row, id, key, cells): key is a hash of the set; a text without words is in no cell."""
+    """(row, id, text) to (row, id, key, fp, cells): key is a hash of the set, fp its fingerprint; a text without words is in
+    no cell."""
     bound_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", step_bytes):
-                keys, where = [], []
+                keys, prints, where = [], [], []
                 for t in batch.column("text").cast(pa.large_binary()).to_pylist():
                     shingles = shingle_set(t or b"")
                     keys.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
+                    prints.append(fingerprint(shingles))
                     where.append(cells(signature(shingles)) if len(shingles) else [])
-                key = pa.array(np.array(keys, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key, pa.array(where, pa.list_(pa.int64()))], names=["row", "id", "key", "cells"])
+                key, fp = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (keys, prints))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key, fp, pa.array(where, pa.list_(pa.int64()))], names=["row", "id", "key", "fp", "cells"])
 
-    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
+    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
     return df.select("row", "id", "text").mapInArrow(in_worker("similar", run), schema)
 
 
@@ -129,11 +139,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """(key, cells) to (key, root): all keys that meet another in a cell, by components of meeting."""
+    """(key, fp, cells) to (key, root): all keys that meet another in a cell or are linked by their fingerprints, by components."""
     placed = nodes.select("key", F.explode("cells").alias("cell"))
     centre = placed.groupBy("cell").agg(F.min("key").alias("v"), F.max("key").alias("top")).where("v < top").select("cell", "v")
     stars = placed.join(centre, "cell").where("key <> v").select(F.col("key").alias("u"), "v")
-    rooted = cut_lineage(components(stars).select(F.col("v").alias("key"), "root"))
+    prints = cut_lineage(nodes.groupBy("fp").agg(F.min("key").alias("v")))
+    same = nodes.join(prints, "fp").where("key <> v").select(F.col("key").alias("u"), "v")
+    name = lambda a, b: prints.select(F.col("fp").alias(a), F.col("v").alias(b))
+    linked = links(prints.select("fp"), BITS).withColumnsRenamed({"u": "a", "v": "b"}).join(name("a", "u"), "a").join(name("b", "v"), "b").select("u", "v")
+    rooted = cut_lineage(components(stars.unionByName(same).unionByName(linked)).select(F.col("v").alias("key"), "root"))
     return rooted.unionByName(rooted.select(F.col("root").alias("key"), "root").distinct())
 
 
@@ -146,7 +160,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     row = F.struct(*[k.alias(n) for k, n in zip(row_keys(F.col(id_col), F.col(text)), ("a", "b"), strict=True)])
     drawn = cut_lineage(sketches(df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.first("cells").alias("cells")))
+    nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.first("cells").alias("cells")))
     groups = cut_lineage(candidate_groups(nodes))
     chosen = groups.join(nodes, "key").select(F.col("best.row").alias("row"), "key", "root")
     sent = df.select(row.alias("row"), F.col(text).alias("text")).join(chosen, "row").select("root", "key", "text")
