@@ -14,7 +14,11 @@ from weftline.llm.queries import quality_model, vocabulary_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score of 0.3 or more)."""
+    """Documents that the classifier does not reject (score of 0.3 or more).
+
+    Null and empty texts score what the intercept gives, texts of any length are scored whole; repeated rows share a score.
+    Null ids are scored, but never learned from. An empty table gives no rows, columns pass through.
+    """
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
     return quality.score(docs, model, out="__score").where(F.col("__score") >= 0.3).select(docs.columns)
 
@@ -25,7 +29,12 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def similar_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts whose five-word shingles are alike to 0.8 or more: the one with the least id."""
+    """One document of each component of texts whose five-word shingles are alike to 0.8 or more: the one with the least id.
+
+    Candidates are linked by SimHash fingerprints and by min-hash cells; the shingles decide. Null, empty and blank texts are
+    alike (one stays); texts of less than five words are alike if equal; repeated rows count once; a component without any
+    id keeps one row. An empty table gives no rows, columns pass through.
+    """
     return similar.keep_one(docs)
 
 
@@ -33,6 +42,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts without the words under repeated runs of 35 words; a text of which none is left goes, unless it had none.
 
     Texts that lose nothing stay as they are; of others the remaining words are joined by one space, and n_chars counts anew.
+    Null texts stay null. Repeated rows repeat each other: of more than 35 words, both lose them. An empty table gives no rows.
     """
     kept = repeats.remove(repeats.word_repeats(docs, width=35, out="__spans"), "word", spans="__spans", kept="__kept", units="__words")
     changed = F.size("__spans") > 0
@@ -45,12 +55,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that source, language and topic have their target shares of tokens, as far as half of the tokens
-    allow: a level that is smaller than its target stays whole (``mixing.goals``)."""
+    allow: a level that is smaller than its target stays whole (``mixing.goals``).
+
+    Null sources and languages are a level of their own; null, empty and blank texts weigh nothing and are drawn as their
+    cell is; rows of one id are drawn or left together, so are all without an id. An empty table gives no rows.
+    """
     return mixing.sample(docs, mixing.default_plan())
 
 
 def sentencepiece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and whether they decode to it."""
+    """(doc_id, lang, source, n_tokens, ids, round_trip): token ids of each whole text, and whether they decode to it.
+
+    Null and empty texts have no ids and decode to ''; repeated rows stay; other columns are left out. An empty table gives
+    no rows.
+    """
     model = pieces.load_model(vocabulary_path("piece_bpe_32k.model"))
     decoded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), model), model)
     whole = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip")
