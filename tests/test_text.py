@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -97,3 +98,44 @@ def test_answers(spark):
     assert rows(spark, X.think_block, "x<think> a </think>b", "<think>open", "<think></think>", "none", None) == ["<think>\na\n</think>", "<think>\nopen\n</think>", "<think>\n</think>", "", ""]
     assert rows(spark, lambda c: X.task_id(c, F.lit(7)), "s") == ["s_q007"]
     assert spark.range(1).select(X.task_id(F.lit("s"), F.lit(12345))).first()[0] == "s_q12345"
+
+
+def one(spark, value, rule):
+    return spark.createDataFrame([(value,)], "t string").select(rule(F.col("t")).alias("r")).first().r
+
+
+def decoded(text):
+    out, i = [], 0
+    codes = {"n": "\n", "r": "\r", "t": "\t", "\\": "\\", '"': '"', "/": "/"}
+    while i < len(text):
+        if text[i] == "\\" and text[i + 1 : i + 2] in codes and i + 1 < len(text):
+            out.append(codes[text[i + 1]])
+            i += 2
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def test_unescape_decodes_each_pair_from_the_left(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice('\\\\\\nrt"/ab') for _ in range(rng.randint(0, 14))) for _ in range(400)] + ["", "a\\\\n", "\\", "\\\\", "\\\\\\n"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", X.unescape(F.col("t")).alias("r")).collect()
+    assert {r.i: r.r for r in got} == {i: decoded(t) for i, t in enumerate(texts)}
+
+
+def test_long_runs_and_many_leads_take_linear_time(spark):
+    began = time.time()
+    spaces = "a" + " " * 100_000 + "b　 "
+    assert one(spark, spaces, X.trim) == spaces[:-2] and one(spark, spaces, X.strip) == spaces[:-2]
+    assert one(spark, " \n" * 50_000, X.trim) == ""
+    leads = "You are a very talented expert in law. \n" * 20_000 + "the question."
+    assert one(spark, leads, X.sanitize) == "the question."
+    assert time.time() - began < 20
+
+
+def test_norm_drops_what_its_class_says(spark):
+    kept = "".join(c for c in map(chr, [*range(1, 0x300), *range(0x1F00, 0x2100), *range(0x3000, 0x3020), *range(0xFF00, 0xFF20)]) if not re.match(f"[{X.WHITE_CHARACTERS}{re.escape(X.ASCII_SIGNS)}{X.WIDE_MARKS}]", c))
+    everything = "".join(map(chr, [*range(1, 0x300), *range(0x1F00, 0x2100), *range(0x3000, 0x3020), *range(0xFF00, 0xFF20)]))
+    assert one(spark, everything, X.norm) == one(spark, kept, lambda c: F.lower(F.translate(c, "Σ", "σ")))
+    assert one(spark, everything, lambda c: F.regexp_replace(c, f"[{X.WHITE}{X.ASCII_MARKS}{X.WIDE_MARKS}]", "")) == kept

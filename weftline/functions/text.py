@@ -11,19 +11,25 @@ ASCII_MARKS = r"!-/:-@\[-`{-~"
 WIDE_MARKS = "，。：；！？（）【】“”‘’、"
 SEPARATORS = rf"{WHITE},.;:()\[\]{{}}，。；：（）【】"
 EXPERT_LEAD = "You are a very talented expert in "
-#: Stands for an escaped backslash while other escapes are decoded (a private-use character).
-HELD = ""
+#: The same characters one by one, for what is done without patterns.
+WHITE_CHARACTERS = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+ASCII_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 PYTHON_WHITE = WHITE + r"\x{1C}-\x{1F}"
 
 
+def _ends(white: str) -> str:
+    """A run at the start or the end; a run elsewhere is looked at once, however long it is."""
+    return rf"\A[{white}]++|(?<![{white}])[{white}]++\z"
+
+
 def trim(c: Column) -> Column:
     """Without white space at both ends (Unicode white space, unlike Spark's own trim)."""
-    return F.regexp_replace(c, rf"\A[{WHITE}]+|[{WHITE}]+\z", "")
+    return F.regexp_replace(c, _ends(WHITE), "")
 
 
 def strip(c: Column) -> Column:
     """As ``trim``, and the four information separators too; null gives ''."""
-    return F.coalesce(F.regexp_replace(c, rf"\A[{PYTHON_WHITE}]+|[{PYTHON_WHITE}]+\z", ""), F.lit(""))
+    return F.coalesce(F.regexp_replace(c, _ends(PYTHON_WHITE), ""), F.lit(""))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -31,11 +37,14 @@ def blank_to_null(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    r"""Decode \n \r \t \\ \" \/ in one pass; other backslashes stay."""
-    c = F.replace(c, F.lit("\\\\"), F.lit(HELD))
-    for code, char in (("n", "\n"), ("r", "\r"), ("t", "\t"), ('"', '"'), ("/", "/")):
-        c = F.replace(c, F.lit("\\" + code), F.lit(char))
-    return F.replace(c, F.lit(HELD), F.lit("\\"))
+    r"""Decode \n \r \t \\ \" \/ in one pass; other backslashes stay. Between two escaped backslashes no escape can reach over."""
+    def plain(part: Column) -> Column:
+        for code, char in (("n", "\n"), ("r", "\r"), ("t", "\t"), ('"', '"'), ("/", "/")):
+            part = F.replace(part, F.lit("\\" + code), F.lit(char))
+        return part
+
+    parts = F.array_join(F.transform(F.split(c, r"\\\\", -1), plain), "\\")
+    return F.when(F.contains(c, F.lit("\\\\")), parts).otherwise(plain(c))
 
 
 def count_of(c: Column, piece: str) -> Column:
@@ -59,13 +68,12 @@ def prompt_user(c: Column) -> Column:
 
 def sanitize(c: Column) -> Column:
     """Trimmed, without leading sentences that set up an expert."""
-    return trim(F.regexp_replace(trim(c), rf"\A(?:{EXPERT_LEAD}[^.]*\.[{WHITE}]*)+", ""))
+    return trim(F.regexp_replace(trim(c), rf"\A(?:{EXPERT_LEAD}[^.]*+\.[{WHITE}]*+)++", ""))
 
 
 def norm(c: Column) -> Column:
     """For comparison: no white space, ASCII or wide marks; lower case character by character."""
-    kept = F.regexp_replace(c, f"[{WHITE}{ASCII_MARKS}{WIDE_MARKS}]", "")
-    return F.lower(F.translate(kept, "Σ", "σ"))
+    return F.lower(F.translate(c, "Σ" + WHITE_CHARACTERS + ASCII_SIGNS + WIDE_MARKS, "σ"))
 
 
 def preview(c: Column, n: int) -> Column:

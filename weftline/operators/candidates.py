@@ -33,27 +33,39 @@ def reject_reason(user: Column, answer: Column, source: Column, reference: Colum
     return why
 
 
+def norm_key(norm: Column) -> Column:
+    """128 bits that stand for a norm where rows are shuffled by it."""
+    return F.unhex(F.md5(norm.cast("binary")))
+
+
 def dedup(candidates: DataFrame, group: str, position: str, user: str = "user", taken: DataFrame | None = None) -> DataFrame:
     """Add norm and is_duplicate: the norm was taken (``taken``: group, norm) or has an earlier position in the group.
 
-    Grouping by group and norm, not by group alone, spreads a large group over all tasks.
+    Grouping by group and norm, not by group alone, spreads a large group over all tasks; a digest of the norm is sent.
     """
-    normed = candidates.withColumn("norm", X.norm(F.col(user)))
-    first = F.row_number().over(Window.partitionBy(group, "norm").orderBy(position)) == 1
+    normed = candidates.withColumn("norm", X.norm(F.col(user))).withColumn("__norm", norm_key(F.col("norm")))
+    first = F.row_number().over(Window.partitionBy(group, "__norm").orderBy(position)) == 1
     if taken is None:
-        return normed.withColumn("is_duplicate", ~first)
-    known = taken.select(group, "norm").distinct().withColumn("__taken", F.lit(True))
-    joined = normed.join(known, [group, "norm"], "left")
-    return joined.withColumn("is_duplicate", ~first | F.coalesce("__taken", F.lit(False))).drop("__taken")
+        return normed.withColumn("is_duplicate", ~first).drop("__norm")
+    known = taken.select(group, norm_key(F.col("norm")).alias("__norm")).distinct().withColumn("__taken", F.lit(True))
+    joined = normed.join(known, [group, "__norm"], "left")
+    return joined.withColumn("is_duplicate", ~first | F.coalesce("__taken", F.lit(False))).drop("__taken", "__norm")
 
 
 def ranked(rows: DataFrame, group: str, position: str, out: str) -> DataFrame:
     return rows.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(position)))
 
 
-def allocate(survivors: DataFrame, missing: DataFrame, group: str = "sample_id", position: str = "pos", index: str = "variant_index") -> DataFrame:
-    """The kth survivor gets the kth missing index; those beyond are left out."""
-    a = ranked(survivors, group, position, "__rank")
+def allocate(survivors: DataFrame, missing: DataFrame, group: str = "sample_id", position: str = "pos", index: str = "variant_index", most: int | None = None) -> DataFrame:
+    """The kth survivor gets the kth missing index; those beyond are left out.
+
+    ``most``: missing indexes of a sample at most (counted if not given). With it each task passes on only so many
+    survivors of a sample, so that no task ranks all of them.
+    """
+    if most is None:
+        counts = missing.groupBy(group).agg(F.count("*").alias("n"))
+        most = counts.agg(F.max("n")).first()[0] or 0
+    a = ranked(survivors, group, position, "__rank").where(F.col("__rank") <= F.lit(most))
     b = ranked(missing.select(group, index), group, index, "__rank")
     return a.join(b, [group, "__rank"]).drop("__rank")
 

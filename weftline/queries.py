@@ -42,10 +42,11 @@ def sql_trim(c: str) -> str:
 
 
 def sql_unescape(c: str) -> str:
-    c = f"replace({c}, '\\\\', '{X.HELD}')"
-    for code, char in (("n", "chr(10)"), ("r", "chr(13)"), ("t", "chr(9)"), ('"', "'\"'"), ("/", "'/'")):
-        c = f"replace({c}, '\\{code}', {char})"
-    return f"replace({c}, '{X.HELD}', '\\')"
+    """Each backslash with the character behind it, from the left; DuckDB has no function for it, so pairs are parted first."""
+    x = "x"
+    for code, char in (("n", "chr(10)"), ("r", "chr(13)"), ("t", "chr(9)"), ('"', "chr(34)"), ("/", "chr(47)")):
+        x = f"replace({x}, chr(92) || '{code}', {char})"
+    return f"array_to_string(list_transform(string_split({c}, chr(92) || chr(92)), lambda x: {x}), chr(92))"
 
 
 def sql_norm(c: str) -> str:
