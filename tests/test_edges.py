@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import plain, strictjson
-from weftline.plans import config, prompts
+from weftline.operators import resume
+from weftline.plans import config, export, prompts
 from weftline.sources import scans, sinks
 from weftline.streaming import model_calls
 
@@ -61,7 +62,7 @@ def test_output_rows(spark, tmp_path):
     rows = spark.createDataFrame([("t1", "done", "", "", "m", "a", "")], ", ".join(f"{n} string" for n in scans.OUTPUT_FIELDS))
     sinks.prepare(rows, paths, resume=False)
     sinks.append_routed(rows.withColumn("correct", F.lit(True)), paths)
-    text = "".join(p.read_text() for p in (tmp_path / "run/train/done/success.jsonl").glob("*.json"))
+    text = "".join(p.read_text() for p in (tmp_path / "run/train/done/success.jsonl").rglob("*.json"))
     assert json.loads(text) == {"task_id": "t1", "status": "done", "answer_model": "m", "assistant": "a"}
     (tmp_path / "old.jsonl").write_text('{"task_id":"t2","status":"generated","rewritten_user":"u","extra":1}\n')
     back = scans.read_output(spark, [str(tmp_path / "missing"), str(tmp_path / "old.jsonl"), paths["success"]]).orderBy("file_rank").collect()
@@ -135,3 +136,79 @@ def test_retry():
         left, slept = list(answers), []
         got = model_calls.with_retry(lambda left=left: left.pop(0), False, slept.append)
         assert got[0] == content and len(answers) - len(left) == calls and slept == [2, 4][: calls - 1]
+
+
+def test_appends_are_read_in_their_order(spark, tmp_path):
+    """The last status wins: three appends of different sizes, each in several files, then read as one."""
+    path = f"{tmp_path}/tasks.jsonl"
+    fields = ", ".join(f"{n} string" for n in scans.OUTPUT_FIELDS)
+    for status, pad, n in (("generated", "x" * 50_000, 40), ("done", "", 1), ("generated", "y" * 300, 200)):
+        rows = [(f"t{i:03}", status, f"{status}{i}", "", "", pad, "") for i in range(n)] + [("last", status, str(n), "", "", "", "")]
+        sinks.append_rows(spark.createDataFrame(rows, fields).repartition(3), path)
+    rows = scans.read_output(spark, [path])
+    got = [r.status for r in rows.where("task_id = 'last'").orderBy("line_no").collect()]
+    assert got == ["generated", "done", "generated"]
+    merged = {r.task_id: r for r in resume.merge(rows, ["user"]).collect()}
+    assert merged["last"].user == "200" and merged["t000"].status == "generated" and len(merged) == 201
+
+
+def test_input_folders_are_numbered_in_file_order(spark, tmp_path):
+    """Files of very different sizes: Spark takes the large ones first, the index does not."""
+    (folder := tmp_path / "in").mkdir()
+    want = []
+    for k, n in enumerate((2, 3000, 1, 500)):
+        want += [f"f{k}-{i}" for i in range(n)]
+        (folder / f"part-{k:05}-x.json").write_text("".join(json.dumps({"context": f"f{k}-{i}"}) + "\n" for i in range(n)))
+    rows, report = scans.read_rows(spark, str(folder))
+    assert [r.context for r in rows.orderBy("logical_index").select("parsed.context").collect()] == want and report["invalid"] == 0
+    assert rows.agg(F.max("logical_index"), F.count_distinct("logical_index")).first() == (len(want) - 1, len(want))
+
+
+def test_exports_of_files(spark, tmp_path):
+    def row(task, user, assistant, answer, **more):
+        return {"task_id": task, "status": "done", "user": user, "assistant": assistant, "generated_item_json": json.dumps({"answer": answer})} | more
+
+    good = [row("a", "u1", "right", "A"), row("a", "again", "x", "A"), row("", "u2", "", " B "), {"task_id": 5, "user": 7}]
+    bad = [row("b", "u3", "<think>t</think> no", "C"), row("c", "u4", "plain", "") | {"generated_item_json": "{"}, row("d", " ", "x", "A")]
+    for name, rows in (("good", good), ("bad", bad)):
+        (tmp_path / f"{name}.jsonl").write_text("\n\n".join(map(json.dumps, rows)) + "\n")
+    (tmp_path / "sys.txt").write_text(" be brief \n")
+    base = {n: f"{tmp_path}/{n}" for n in ("out", "texts")}
+    counts = export.export_training(spark, f"{tmp_path}/good.jsonl", f"{tmp_path}/bad.jsonl", base["out"], base["texts"], system_file=f"{tmp_path}/sys.txt")
+    assert counts == {"success": 2, "failed": 2, "total": 4}
+    read = lambda name: [json.loads(line) for p in sorted((tmp_path / name).glob("part-*")) for line in p.read_text().splitlines()]
+    assert [r["text"] for r in read("out")] == [f"System: be brief\n\nUser: {u}\n\nAssistant: {a}" for u, a in (("u1", "right"), ("u2", "B"), ("u3", "<think>\nt\n</think>\n\nC"), ("u4", "plain"))]
+    assert [r["text"] for r in read("texts")] == [r["text"] for r in read("out")] and [r["source_split"] for r in read("out")] == ["success"] * 2 + ["failed"] * 2
+    assert export.export_training(spark, f"{tmp_path}/good.jsonl", f"{tmp_path}/none", base["out"], base["texts"], skip_failed=True) == {"success": 2, "failed": 0, "total": 2}
+    with pytest.raises(ValueError, match="not both"):
+        export.system_prompt(spark, "a", "b")
+    with pytest.raises(Exception, match="invalid line"):
+        (tmp_path / "broken.jsonl").write_text("{\n")
+        export.export_training(spark, f"{tmp_path}/broken.jsonl", "", base["out"], base["texts"])
+    done = [{"task_id": "x", "status": "done", "rewritten_user": "r", "assistant": "a"}, {"task_id": "y", "status": "generated", "user": "u"}, {"task_id": "x", "status": "done", "user": "v", "ref_answer": "D"}]
+    (tmp_path / "done.jsonl").write_text("\n".join(map(json.dumps, done)))
+    assert export.export_done(spark, f"{tmp_path}/done.jsonl", base["out"], base["texts"]) == {base["out"]: 2, base["texts"]: 2}
+    assert [r["text"] for r in read("texts")] == ["User: r\nAssistant: a", "User: v\nAssistant: null"]
+    assert export.export_reference_answers(spark, f"{tmp_path}/done.jsonl", base["out"], base["texts"], 1) == {base["out"]: 1, base["texts"]: 1}
+    assert read("out")[0] | {"sample_id": ""} == {"task_id": "x", "sample_id": "", "source_status": "done", "source_answer_model": "", "answer_source": "ref_answer", "user": "v", "assistant": "D", "text": "User: v\nAssistant: D"}
+
+
+def test_items_answers_are_read_strictly(spark):
+    texts = ['{"user":"u","answer":" B "}', '{"user":"u","answer":" "}', '{"answer":"A"}', "{", None, '{"user":"u","answer":"A","x":1}']
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", strictjson.item_answer("t").alias("r")).orderBy("i").collect()
+    assert [r.r.answer for r in got] == ["B", None, None, None, None, None] and all((r.r.error is None) == (r.i == 0) for r in got)
+
+
+def test_replay_is_the_same_in_any_order(spark):
+    responses = spark.createDataFrame([("k", "b", None, 1), ("k", "a", "r", 2), ("k", "c", None, 0)], "request_key string, content string, reasoning string, at int").repartition(3)
+    asked = spark.createDataFrame([("k",), ("none",)], "request_key string")
+    assert {r.request_key: (r.content, r.error) for r in model_calls.replay(asked, responses).collect()} == {"k": ("a", None), "none": (None, "no response is recorded")}
+    assert model_calls.replay(asked, responses, "at").where("request_key = 'k'").first().content == "c"
+
+
+def test_no_key_in_a_plan(spark):
+    model = config.Model("http://127.0.0.1:9", "m", "very-secret-key")
+    asked = spark.createDataFrame([("k", "p")], "request_key string, prompt string")
+    df = model_calls.http(asked, model, 1, 1, False, timeout_s=1)
+    plan = df._jdf.queryExecution().toString()
+    assert "very-secret-key" not in plan

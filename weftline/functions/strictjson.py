@@ -230,3 +230,47 @@ def array_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if at >= n:
                 raise Malformed("the array does not end")
             yield pd.DataFrame({"path": path, "logical_index": range(len(rows)), "raw": rows})
+
+
+@F.pandas_udf(T.StructType([T.StructField("answer", T.StringType()), T.StructField("error", T.StringType())]))
+def item_answer(texts: pd.Series) -> pd.DataFrame:
+    """The answer of a generated item's JSON, trimmed; an error if it is no such item or its answer is blank."""
+
+    def read(text: str | None) -> tuple[str | None, str | None]:
+        try:
+            value = loads(text or "")
+            if not isinstance(value, dict) or not set(value) <= ITEM_FIELDS:
+                raise Malformed("it has other fields")
+            answer = _item(value)["answer"].strip(_SPACE)
+        except Malformed as e:
+            return None, f"generated_item_json is not a generated item: {e}"
+        return (answer, None) if answer else (None, "generated_item_json answer is empty")
+
+    return pd.DataFrame([read(t) for t in texts], columns=["answer", "error"])
+
+
+#: Fields of finished rows that exports read (fixed names), and what stands for the item's answer.
+RECORD_FIELDS = ("task_id", "sample_id", "status", "answer_model", "user", "rewritten_user", "assistant", "ref_answer")
+RECORD_TYPE = T.StructType([T.StructField(n, T.StringType()) for n in (*RECORD_FIELDS, "expected_answer", "error")])
+
+
+def read_record(raw: str | None) -> dict:
+    """Text fields of a finished row; the item's answer is '' where there is none, malformed items included."""
+    try:
+        value = loads(raw or "")
+        if not isinstance(value, dict):
+            raise Malformed("a row is an object")
+    except Malformed as e:
+        return dict.fromkeys(RECORD_TYPE.names) | {"error": str(e)}
+    text = lambda holder, n: holder[n] if type(holder.get(n)) is str else ""
+    try:
+        item = loads(text(value, "generated_item_json"))
+    except Malformed:
+        item = {}
+    answer = text(item, "answer") if isinstance(item, dict) else ""
+    return {n: text(value, n) for n in RECORD_FIELDS} | {"expected_answer": answer, "error": None}
+
+
+@F.pandas_udf(RECORD_TYPE)
+def parse_record(raws: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([read_record(r) for r in raws], columns=RECORD_TYPE.names)

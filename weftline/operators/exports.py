@@ -37,20 +37,24 @@ def convert(rows: DataFrame, split: str, tid: str = "task_id", user: str = "user
     return kept.withColumn("text", export_text(F.col("user"), F.col("assistant"), system))
 
 
-def done_training(rows: DataFrame) -> DataFrame:
-    """Finished rows as user, assistant and text; ``rewritten_user`` stands in for a missing user."""
+def done_training(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Finished rows as user, assistant and text; ``rewritten_user`` stands in for a missing user. ``keep``: further columns."""
     user = F.coalesce("user", "rewritten_user") if "rewritten_user" in rows.columns else F.col("user")
     line = F.concat(F.lit("User: "), F.coalesce(user, F.lit("null")), F.lit("\nAssistant: "), F.coalesce("assistant", F.lit("null")))
-    return rows.where(F.col("status") == "done").select(user.alias("user"), "assistant", line.alias("text"))
+    return rows.where(F.col("status") == "done").select(user.alias("user"), "assistant", line.alias("text"), *keep)
 
 
 def reference_answers(rows: DataFrame, tid: str = "task_id", order: str = "line_no") -> DataFrame:
     """The last row of each id, if its user is not empty and its reference answer a letter from A to D."""
     at = F.col(order)
-    last = rows.groupBy(tid).agg(F.max_by("user", at).alias("user"), F.max_by("ref_answer", at).alias("ref_answer"))
+    more = [F.max_by(n, at).alias(n) for n in ("sample_id", "status", "answer_model") if n in rows.columns]
+    last = rows.groupBy(tid).agg(F.max_by("user", at).alias("user"), F.max_by("ref_answer", at).alias("ref_answer"), *more)
     user = F.regexp_replace(F.regexp_replace("user", r"\A\s+", ""), r"\s+\z", "")
     kept = last.where((F.col("user") != "") & F.col("ref_answer").rlike(r"\A[ABCD]\z"))
-    return kept.select(tid, user.alias("user"), F.col("ref_answer").alias("assistant"), F.concat(F.lit("User: "), user, F.lit("\nAssistant: "), F.col("ref_answer")).alias("text"))
+    named = [F.col(n).alias(o) for n, o in (("sample_id", "sample_id"), ("status", "source_status"), ("answer_model", "source_answer_model")) if n in rows.columns]
+    if named:
+        named.append(F.lit("ref_answer").alias("answer_source"))
+    return kept.select(tid, *named, user.alias("user"), F.col("ref_answer").alias("assistant"), F.concat(F.lit("User: "), user, F.lit("\nAssistant: "), F.col("ref_answer")).alias("text"))
 
 
 def sample(rows: DataFrame, n: int = 8000, seed: int = 0) -> DataFrame:

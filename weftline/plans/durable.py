@@ -1,17 +1,28 @@
-"""Materialising results that must not be computed again."""
+"""Materialising results that must not be computed again, in the folder that all executors share."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder (spark.checkpoint.dir). Where none is named, one of our own, on a single machine only:
+    on a cluster a folder of this machine is no use to the executors, so that is refused."""
+    context = spark.sparkContext
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "weftline-checkpoints"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Checkpoint in the session's shared folder (spark.checkpoint.dir); one of our own only where none is named."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", "")
-        spark.sparkContext.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "weftline-checkpoints"))
+    """Checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
+from weftline.functions.strictjson import item_answer
 from weftline.operators import grading, resume
 from weftline.operators.samples import to_samples
 from weftline.plans import durable
@@ -47,8 +48,9 @@ def synthesize(spark: SparkSession, config: Config, generate, validate, ask, kee
     merged = keep(resume.merge(earlier, PAYLOAD))
     resume.status_counts(merged).collect()  # a bad status stops the run here
     expected = keep(resume.expected_tasks(samples, config.variant_count))
-    item = F.get_json_object("generated_item_json", "$.answer")
-    pending = keep(resume.pending(expected, merged).withColumn("expected_answer", X.trim(item)))
+    read = resume.pending(expected, merged).withColumn("item", item_answer("generated_item_json"))
+    known = F.when(F.col("item.error").isNull(), F.col("item.answer")).otherwise(F.raise_error(F.concat("task_id", F.lit(": "), "item.error")))
+    pending = keep(read.withColumn("expected_answer", known).drop("item"))  # an item that cannot be read stops the run here
     counts |= {"samples": total, "total_tasks": total * config.variant_count, "resumed_generated": pending.count()}
 
     def answered(tasks: DataFrame, n: int) -> None:

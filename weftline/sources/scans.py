@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.functions import strictjson
+from weftline.functions import text as X
+from weftline.plans.durable import keep
 
 #: Columns of the engine's own rows; '' stands for absent.
 OUTPUT_FIELDS = ("task_id", "status", "user", "generated_item_json", "answer_model", "assistant", "text")
 SHOWN_ERRORS = 5
+#: Name of an append's folder, before its number.
+APPEND = "append-"
+#: Where a line stands (see ``file_place``).
+LINE = T.StructType([T.StructField(n, T.StringType() if n == "path" else T.LongType()) for n in ("append", "part", "path", "start", "line")])
 
 
 def sniff(spark: SparkSession, path: str) -> str:
@@ -21,19 +29,26 @@ def sniff(spark: SparkSession, path: str) -> str:
     return "array" if head["value"].lstrip(" \t\n\x0b\x0c\r").startswith("[") else "lines"
 
 
+def file_place() -> list[Column]:
+    """Where a row of a file scan stands: append and part number (0 where a file's path has none), path, start of the split.
+
+    Spark packs splits into tasks by size, so a task's number says nothing about the order of files.
+    """
+    path = F.col("_metadata.file_path")
+    number = lambda pattern: F.coalesce(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).cast("long"), F.lit(0).cast("long"))
+    return [number(rf"/{APPEND}(\d+)/[^/]*\z").alias("append"), number(r"/part-(\d+)-[^/]*\z").alias("part"), path.alias("path"), F.col("_metadata.file_block_start").alias("start")]
+
+
 def dense_index(df: DataFrame, out: str = "logical_index") -> DataFrame:
-    """Number rows 0, 1, ... in file order without a global sort: counts by partition, then offsets.
+    """Number rows 0, 1, ... in the order of partitions without a global sort: counts by partition, then offsets.
 
     The driver holds one number for each partition, not for each row.
     """
     placed = df.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
-    counts = sorted(placed.groupBy("__part").agg(F.count("*"), F.min("__at")).collect())
-    offsets, total = {}, 0
-    for part, n, first in counts:
-        offsets[part], total = total - first, total + n
-    pairs = [F.lit(x) for item in offsets.items() for x in item]
-    shift = F.element_at(F.create_map(*pairs), F.col("__part")) if pairs else F.lit(0)
-    return placed.withColumn(out, (F.col("__at") + shift).cast("long")).drop("__part", "__at")
+    counts = placed.groupBy("__part").agg(F.count("*").alias("n"), F.min("__at").alias("first")).orderBy("__part").collect()
+    offsets = [(r["__part"], before - r["first"]) for r, before in zip(counts, accumulate((r["n"] for r in counts), initial=0), strict=False)]
+    known = df.sparkSession.createDataFrame(offsets, "__part int, __shift long")
+    return placed.join(F.broadcast(known), "__part").withColumn(out, F.col("__at") + F.col("__shift")).drop("__part", "__at", "__shift")
 
 
 def input_window(rows: DataFrame, start: int = 0, limit: int | None = None, index: str = "logical_index") -> DataFrame:
@@ -51,16 +66,29 @@ def read_rows(spark: SparkSession, path: str, start: int = 0, limit: int | None
         whole = spark.read.text(path, wholetext=True).select(F.lit(path).alias("path"), "value")
         rows = whole.mapInPandas(strictjson.array_rows, "path string, logical_index long, raw string").drop("path")
         return input_window(rows, start, limit).withColumn("parsed", strictjson.parse_row("raw")), {"invalid": 0, "first": []}
-    lines = spark.read.text(path).select(F.col("value").alias("raw")).where(F.trim("raw") != "")
-    parsed = lines.withColumn("parsed", strictjson.parse_row("raw")).withColumn("__line", F.monotonically_increasing_id())
-    bad = parsed.where("parsed.error is not null").select("__line", "parsed.error")
-    report = {"invalid": bad.count(), "first": [r["error"] for r in bad.orderBy("__line").limit(SHOWN_ERRORS).collect()]}
-    rows = dense_index(parsed.where("parsed.error is null").drop("__line"))
-    return input_window(rows, start, limit).select("logical_index", "raw", "parsed"), report
+    lines = spark.read.text(path).select(F.col("value").alias("raw"), F.struct(*file_place()).alias("place")).where(F.trim("raw") != "")
+    # Parsed once: the report, the index and the rows all read what is kept.
+    parsed = keep(lines.withColumn("__line", F.monotonically_increasing_id()).withColumn("parsed", strictjson.parse_row("raw")))
+    bad = parsed.where("parsed.error is not null")
+    invalid = bad.agg(F.count("*")).first()[0]
+    first = bad.orderBy("place", "__line").limit(SHOWN_ERRORS).select("parsed.error").collect() if invalid else []
+    rows = keep_order(parsed.where("parsed.error is null"))
+    return input_window(rows, start, limit).select("logical_index", "raw", "parsed"), {"invalid": invalid, "first": [r["error"] for r in first]}
+
+
+def keep_order(parsed: DataFrame) -> DataFrame:
+    """Dense index of rows that carry their split's place and a line number that rises within it."""
+    counts = parsed.groupBy("place").agg(F.count("*").alias("n")).orderBy("place").collect()
+    before = list(accumulate((r["n"] for r in counts), initial=0))
+    kind = T.StructType([parsed.schema["place"], T.StructField("__before", T.LongType())])
+    known = parsed.sparkSession.createDataFrame([(r["place"], n) for r, n in zip(counts, before, strict=False)], kind)
+    rank = F.row_number().over(Window.partitionBy("place").orderBy("__line"))
+    return parsed.withColumn("__rank", rank).join(F.broadcast(known), "place").withColumn("logical_index", F.col("__before") + F.col("__rank") - 1)
 
 
 def read_output(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The engine's rows from files in a fixed order, with file_rank and line_no; a missing file counts as empty.
+    """The engine's rows from files in a fixed order, with file_rank and line_no (appends in their order, and in each the lines
+    in theirs); a missing file counts as empty.
 
     ``rewritten_user`` is read as ``user``; a bad line, or one without task_id or status, fails the read.
     """
@@ -69,13 +97,15 @@ def read_output(spark: SparkSession, paths: list[str]) -> DataFrame:
     for rank, path in enumerate(paths):
         if not exists(spark, path):
             continue
-        rows = spark.read.schema(schema).json(path, mode="FAILFAST")
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path, mode="FAILFAST")
         checked = [F.when(F.col(n).isNull(), F.raise_error(F.lit(f"a row without {n}"))).otherwise(F.col(n)).alias(n) for n in ("task_id", "status")]
         user = F.coalesce("user", "rewritten_user", F.lit("")).alias("user")
         rest = [F.coalesce(n, F.lit("")).alias(n) for n in OUTPUT_FIELDS[3:]]
-        parts.append(rows.select(*checked, user, *rest, F.lit(rank).alias("file_rank"), F.monotonically_increasing_id().alias("line_no")))
+        line = F.struct(*file_place(), F.monotonically_increasing_id().alias("line"))
+        parts.append(rows.select(*checked, user, *rest, F.lit(rank).alias("file_rank"), line.alias("line_no")))
     if not parts:
-        return spark.range(0).select(*[F.lit("").alias(n) for n in OUTPUT_FIELDS], F.lit(0).alias("file_rank"), F.col("id").alias("line_no"))
+        fields = [T.StructField(n, T.StringType()) for n in OUTPUT_FIELDS]
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField("file_rank", T.IntegerType()), T.StructField("line_no", LINE)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -87,3 +117,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def appends(spark: SparkSession, path: str) -> int:
+    """The number of the last append under a path; 0 if there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return max((int(n[len(APPEND) :]) for n in names if n.startswith(APPEND) and n[len(APPEND) :].isdigit()), default=0)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of finished runs for the exports: text fields ('' for what is no text), expected_answer, and line_no.
+
+    Blank lines are passed over, a missing path gives no rows, a line that is no JSON object stops the read.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], T.StructType([*strictjson.RECORD_TYPE.fields[:-1], T.StructField("line_no", LINE)]))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    kept = lines.select("value", F.struct(*file_place(), F.monotonically_increasing_id().alias("line")).alias("line_no")).where(X.strip(F.col("value")) != "")
+    read = kept.select(strictjson.parse_record("value").alias("r"), "line_no")
+    wrong = F.raise_error(F.concat(F.lit("invalid line: "), F.col("r.error")))
+    first = F.when(F.col("r.error").isNotNull(), wrong).otherwise(F.col("r.task_id")).alias("task_id")
+    return read.select(first, *[F.col(f"r.{n}").alias(n) for n in strictjson.RECORD_TYPE.names[1:-1]], "line_no")
+
+
+def line_counts(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, lines) of written files."""
+    out = None
+    for path in paths:
+        one = spark.read.option("recursiveFileLookup", "true").text(path).agg(F.count("*").alias("lines")).select(F.lit(path).alias("path"), "lines")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -7,7 +7,7 @@ import posixpath
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.sources.scans import OUTPUT_FIELDS
+from weftline.sources.scans import APPEND, OUTPUT_FIELDS, appends
 
 SPLITS = ("success", "failed")
 
@@ -26,7 +26,9 @@ def _sparse(rows: DataFrame) -> DataFrame:
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
-    _sparse(rows).write.mode("append").json(path)
+    """Add rows as the next append of a folder; appends are numbered, so that a read has them in their order."""
+    number = appends(rows.sparkSession, path) + 1
+    _sparse(rows).write.json(posixpath.join(path, f"{APPEND}{number:06d}"))
 
 
 def prepare(rows: DataFrame, paths: dict[str, str], resume: bool) -> None:
@@ -42,10 +44,12 @@ def append_routed(graded: DataFrame, paths: dict[str, str], correct: str = "corr
     append_rows(graded.where(~F.col(correct)), paths["failed"])
 
 
-def write_export(rows: DataFrame, path: str, text_path: str | None = None) -> None:
-    rows.write.mode("overwrite").json(path)
+def write_export(rows: DataFrame, path: str, text_path: str | None = None, order: tuple[str, ...] = ()) -> None:
+    """Write an export, and its texts alone; in the given order over part files (their names) and lines."""
+    sorted_rows = rows.orderBy(*order).drop(*order) if order else rows
+    sorted_rows.write.mode("overwrite").json(path)
     if text_path:
-        rows.select("text").write.mode("overwrite").json(text_path)
+        sorted_rows.select("text").write.mode("overwrite").json(text_path)
 
 
 def summary_line(counts: dict[str, int]) -> str:

@@ -12,6 +12,7 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -100,10 +101,12 @@ def parse_response(body: str, content_type: str | None, streamed: bool) -> tuple
     return parse_events(body) if events else parse_body(body)
 
 
-def replay(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Requests with the first response of their key; a request without one gets an error."""
-    first = responses.groupBy("request_key").agg(*[F.first(c).alias(c) for c in ("content", "reasoning")], F.lit(True).alias("__met"))
-    joined = requests.join(first, "request_key", "left")
+def replay(requests: DataFrame, responses: DataFrame, order: str | None = None) -> DataFrame:
+    """Requests with the first response of their key; a request without one gets an error. First is the least by ``order``,
+    else by content and reasoning, so that every run replays the same."""
+    said = F.struct("content", "reasoning")
+    first = responses.groupBy("request_key").agg(F.min_by(said, F.col(order) if order else said).alias("said"), F.lit(True).alias("__met"))
+    joined = requests.join(first.select("request_key", "said.*", "__met"), "request_key", "left")
     return joined.withColumn("error", F.when(F.col("__met").isNull(), "no response is recorded")).drop("__met")
 
 
@@ -127,14 +130,20 @@ def with_retry(post: Callable[[], tuple[int, str | None, str]], streamed: bool,
     return None, None, error
 
 
-def http(requests: DataFrame, model: Model, concurrency: int, total: int, json_mode: bool, timeout_s: float = 240, key_variable: str | None = None) -> DataFrame:
-    """Post each request (request_key, prompt) from ``concurrency`` tasks. The key is read where the call is made if a
-    variable's name is given, so that it stays out of plans and logs."""
+def http(requests: DataFrame, model: Model, concurrency: int, total: int, json_mode: bool, timeout_s: float = 240, key_variable: str | None = None, env_proxy: bool = False) -> DataFrame:
+    """Post each request (request_key, prompt) from ``concurrency`` tasks, over HTTP/1.1 (the only one this client speaks).
+
+    The key is read from the executors' environment if a variable's name is given; else it goes out as a broadcast. Neither
+    the plan nor the function in it holds the key. Proxies of the environment are used only if asked for.
+    """
+    shared = None if key_variable else requests.sparkSession.sparkContext.broadcast(model.api_key)
+    model = replace(model, api_key="")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
-        key = os.environ[key_variable] if key_variable else model.api_key
+        key = os.environ[key_variable] if key_variable else shared.value
+        opener = urllib.request.build_opener(*([] if env_proxy else [urllib.request.ProxyHandler({})]))
         for batch in batches:
             out = []
             for request, prompt in zip(batch["request_key"], batch["prompt"], strict=True):
@@ -143,7 +152,7 @@ def http(requests: DataFrame, model: Model, concurrency: int, total: int, json_m
                 def post(body: bytes = body) -> tuple[int, str | None, str]:
                     r = urllib.request.Request(model.endpoint, body, {"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
                     try:
-                        with urllib.request.urlopen(r, timeout=timeout_s) as got:
+                        with opener.open(r, timeout=timeout_s) as got:
                             return got.status, got.headers.get("Content-Type"), got.read().decode()
                     except urllib.error.HTTPError as e:
                         return e.code, None, e.read().decode(errors="replace")
