@@ -22,14 +22,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of our own only where the session names none."""
+    """The cluster's shared checkpoint folder; a folder of our own only where the session names none, on a single machine."""
     scala_context = spark.sparkContext._jsc.sc()
     current = scala_context.getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.gettempdir(), "weftline-checkpoints")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder; one of this machine is no use to the executors of a cluster")
+    spark.sparkContext.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "weftline-checkpoints"))
+    return scala_context.getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
