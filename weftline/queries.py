@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,9 @@ from weftline.fixtures import fixture, with_views
 from weftline.functions import strictjson
 from weftline.functions import text as X
 from weftline.operators import candidates, exports, grading, resume, samples
-from weftline.plans import prompts
-from weftline.sources import scans
+from weftline.plans import export, prompts
+from weftline.plans.durable import keep, shared_folder
+from weftline.sources import scans, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,3 +431,100 @@ def chat_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 1 THEN 'data: {"choices":[{"delta":{"content":"c"}}]}' || chr(10) || 'data: {"choices":[{"delta":{"content":"' || pos || '"}}]}' || chr(10) || 'data: [DONE]' ELSE '{"choices":[]}' END""")
     made = fixture(spark, sf_dir, "fx2").select("pos", body.alias("body"), (F.col("pos") % 3 == 1).alias("streamed"))
     return recorded_bodies(made).select("pos", "content", "reasoning", F.col("error").isNotNull().alias("failed"))
+
+
+@query("structured_context", """SELECT logical_index, CASE logical_index % 3 WHEN 0 THEN 'u' || logical_index WHEN 1 THEN 's' || logical_index ELSE '{"other": 1}' END AS user_text FROM fx1""", "fx1")
+def structured_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of contexts that are JSON with a prompt, with stages, or with neither."""
+    context = F.expr(r"""CASE logical_index % 3 WHEN 0 THEN '{"prompt": "User: u' || logical_index || '\\n\\nAssistant: a"}'
+        WHEN 1 THEN '{"stages": [{"prompt": "Assistant: no"}, {"x": 1}, {"prompt": "User: s' || logical_index || '\\nAssistant: a"}, {"prompt": "User: later"}]}' ELSE '{"other": 1}' END""")
+    rows = fixture(spark, sf_dir, "fx1").select("logical_index", context.alias("context"))
+    return rows.select("logical_index", samples.extract_user(F.col("context"), strictjson.structured_prompts("context")).alias("user_text"))
+
+
+_CANDIDATES = """'[' || chr(10) || '  {' || chr(10) || '    "answer": "' || ref_answer || '",' || chr(10) || '    "index": 0,' || chr(10) || '    "meta": null,' || chr(10) || '    "user": "v' || logical_index || '"' || chr(10) || '  }' || chr(10) || ']'"""
+
+
+@query("validation_prompt", f"""SELECT logical_index, replace(replace(replace({q(_PROFILE.validation)}, '{{{{profile_name}}}}', '{_PROFILE.name}'),
+    '{{{{source_sample_json}}}}', '{{' || chr(10) || '  "meta": {{}},' || chr(10) || '  "sample_id": "' || task_id || '",' || chr(10) || '  "user": "u' || sample_index || '"' || chr(10) || '}}'),
+    '{{{{generated_candidates_json}}}}', {_CANDIDATES}) AS prompt FROM fx1""", "fx1")
+def validation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = prompts.source_json(F.col("task_id").cast("string"), F.concat(F.lit("u"), F.col("sample_index").cast("string")), F.lit("{}"))
+    item = F.struct(F.lit(0).alias("index"), F.concat(F.lit("v"), F.col("logical_index").cast("string")).alias("user"), F.col("ref_answer").alias("answer"), F.lit(None).cast("string").alias("meta"))
+    return fixture(spark, sf_dir, "fx1").select("logical_index", prompts.validation_prompt(_PROFILE, source, prompts.candidates_json(F.array(item))).alias("prompt"))
+
+
+@query("training_text", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'User: ' || expected || chr(10) || 'Assistant: ' || {sql_trim('assistant')} AS text FROM fx5", "fx5")
+def training_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = X.training_text(F.concat(F.lit(" \n"), "expected", F.lit("\t")), F.col("assistant"))
+    return fixture(spark, sf_dir, "fx5").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", made.alias("text"))
+
+
+@query("answered_rows", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM fx5 WHERE l_suppkey % 5 NOT IN (0, 3)", "fx5")
+def answered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose model gave anything: blank outputs are left out."""
+    said = F.expr("CASE l_suppkey % 5 WHEN 0 THEN '' WHEN 3 THEN ' ' || chr(10) ELSE assistant END")
+    return grading.answered(fixture(spark, sf_dir, "fx5").withColumn("assistant", said)).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark)}/queries/{name}-{uuid.uuid4().hex}"
+
+
+@query("read_input_lines", "SELECT logical_index, task_id FROM (SELECT row_number() OVER (ORDER BY logical_index) - 1 AS logical_index, CAST(task_id AS VARCHAR) AS task_id FROM fx1 WHERE logical_index % 6 <> 5) t WHERE logical_index >= 3", "fx1")
+def read_input_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of JSON lines, written in order with blank and broken lines between, then read from the fourth row on."""
+    line = F.when(F.col("logical_index") % 6 == 5, "no json").otherwise(F.to_json(F.struct(F.col("task_id").cast("string").alias("task_id"), "context")))
+    rows = fixture(spark, sf_dir, "fx1").orderBy("logical_index").select(F.when(F.col("logical_index") % 4 == 1, F.concat(F.lit("\n \n"), line)).otherwise(line).alias("value"))
+    rows.write.text(path := _scratch(spark, "lines"))
+    return scans.read_rows(spark, path, start=3)[0].select("logical_index", F.col("parsed.task_id").alias("task_id"))
+
+
+@query("read_input_array", "SELECT row_number() OVER (ORDER BY sample_key) - 1 AS logical_index, CAST(sample_key AS VARCHAR) AS task_id, user_text AS context FROM fx3", "fx3")
+def read_input_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that is one JSON array."""
+    item = F.struct("sample_key", F.to_json(F.struct(F.col("sample_key").cast("string").alias("task_id"), F.col("user_text").alias("context"))).alias("j"))
+    whole = fixture(spark, sf_dir, "fx3").agg(F.array_sort(F.collect_list(item)).alias("a"))
+    whole.select(F.concat(F.lit(" [\n"), F.array_join(F.transform("a", lambda x: x["j"]), ",\n"), F.lit("\n]")).alias("value")).write.text(path := _scratch(spark, "array"))
+    return scans.read_rows(spark, path)[0].select("logical_index", F.col("parsed.task_id").alias("task_id"), F.col("parsed.context").alias("context"))
+
+
+@query("resume_files", _MERGED + """ SELECT tid AS task_id, status, user_text AS "user", assistant FROM merged""", "fx4")
+def resume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an earlier run in its three files, in two appends each, read in their order and merged."""
+    paths = sinks.layout(f"{_scratch(spark, 'run')}/train.jsonl")
+    blank = [F.lit("").alias(n) for n in ("answer_model", "text")]
+    rows = fixture(spark, sf_dir, "fx4").select(F.col("tid").alias("task_id"), "status", F.col("user_text").alias("user"), F.col("answer").alias("generated_item_json"), "assistant", *blank, "file_rank", "line_no")
+    sinks.prepare(rows, paths, resume=False)
+    middle = rows.agg(F.expr("percentile_approx(line_no, 0.5)")).first()[0] or 0
+    for half in (F.col("line_no") <= middle, F.col("line_no") > middle):
+        for rank, path in enumerate(paths.values()):
+            sinks.append_rows(rows.where(half & (F.col("file_rank") == rank)).orderBy("line_no"), path)
+    return resume.merge(scans.read_output(spark, list(paths.values())), ["user", "assistant"])
+
+
+@query("routed_files", f"SELECT CASE WHEN c THEN 1 ELSE 2 END AS file_rank, count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT {sql_correct('expected', 'assistant')} AS c, l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id FROM fx5) t GROUP BY 1", "fx5")
+def routed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded answers, written to the files of right and wrong ones and read again."""
+    paths = sinks.layout(f"{_scratch(spark, 'routed')}/train.jsonl")
+    graded = keep(grading.grade(fixture(spark, sf_dir, "fx5")))
+    names = [F.concat_ws("_", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("task_id"), F.lit("done").alias("status"), "assistant"]
+    sinks.append_routed(graded.select(*names, *[F.lit("").alias(n) for n in ("user", "generated_item_json", "answer_model", "text")], "correct"), paths)
+    back = scans.read_output(spark, list(paths.values()))
+    return back.groupBy("file_rank").agg(F.count("*").alias("n"), F.count_distinct("task_id").alias("ids"))
+
+
+@query("export_files", f""", success AS ({_export_sql("success").replace("SELECT tid AS task_id", "SELECT 0 AS s, line_no, tid AS task_id", 1)}), failed AS ({_export_sql("failed").replace("SELECT tid AS task_id", "SELECT 1 AS s, line_no, tid AS task_id", 1)})
+    SELECT row_number() OVER (ORDER BY s, line_no) - 1 AS place, task_id, source_split, md5(text) AS text_md5 FROM (SELECT * FROM success UNION ALL SELECT * FROM failed) t""", "fx6")
+def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both splits' files of finished rows to one training file, success first, as the file's lines have it."""
+    folder = _scratch(spark, "export")
+    item = F.to_json(F.struct(F.col("expected_answer").alias("answer")))
+    rows = fixture(spark, sf_dir, "fx6").select(F.struct(F.col("tid").alias("task_id"), F.col("user_text").alias("user"), "assistant", item.alias("generated_item_json")).alias("r"), "split", "line_no")
+    for split in ("success", "failed"):
+        rows.where(F.col("split") == split).orderBy("line_no").select("r.*").write.json(f"{folder}/{split}")
+    export.export_training(spark, f"{folder}/success", f"{folder}/failed", f"{folder}/out", f"{folder}/texts")
+    lines = spark.read.text(f"{folder}/out").select("value", F.struct(*scans.file_place()).alias("place"), F.monotonically_increasing_id().alias("__line"))
+    placed = scans.keep_order(keep(lines)).select("logical_index", F.from_json("value", "task_id string, source_split string, text string").alias("r"))
+    return placed.select(F.col("logical_index").alias("place"), "r.task_id", "r.source_split", F.md5(F.col("r.text").cast("binary")).alias("text_md5"))
