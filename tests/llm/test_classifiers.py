@@ -93,3 +93,40 @@ def test_windows_overlap_and_cover():
         covered = {i for s, m in zip(start[own], length[own], strict=True) for i in range(s - first, s - first + m)}
         assert covered == set(range(n))
     assert not (text == 0).any()
+
+
+def test_sample_is_bounded_for_repeated_ids(spark):
+    docs = spark.range(5000).select((F.col("id") % 50).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    marks = spark.range(50).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    got = labels.training_sample(docs, marks, "quality", F.lit(True), 10).collect()
+    assert len(got) == 10 and len({r.text for r in got}) == 10
+
+
+def test_windows_for_training_are_bounded_and_spread(spark):
+    long = " ".join(f"w{i}" for i in range(50_000))
+    got = toxicity.windows_of(spark.createDataFrame([(long, 1), ("short text", 0), (None, 0)], "text string, label int")).collect()
+    sizes = sorted(len(bytes(r.words).split()) for r in got)
+    assert sizes == [0, 2, toxicity.MOST_WINDOWS * toxicity.LENGTH]
+    words = bytes(max(got, key=lambda r: len(r.words)).words).split()
+    assert words[0] == b"w0" and words[-1] == b"w49999"
+
+
+def test_the_network_learns_more_than_a_word_table():
+    """A word is bad only beside another one: no table of single words can tell, windows can."""
+    rng = np.random.default_rng(5)
+    fill = [f"w{i}" for i in range(40)]
+    texts, marks = [], []
+    for k in range(700):
+        words = rng.choice(fill, 20).tolist()
+        at, y = int(rng.integers(0, 18)), k % 2
+        # Both words are in every text; in bad ones they are neighbours.
+        if y:
+            words[at : at + 2] = ["green", "stone"]
+        else:
+            words[at], words[(at + 7) % 20] = "green", "stone"
+        texts.append(" ".join(words))
+        marks.append(y)
+    marks = np.array(marks)
+    net = toxicity.train([t.encode() for t in texts[:500]], marks[:500], epochs=40)
+    scores = net.score(*text_bytes(pa.array(texts[500:])))
+    assert auc(scores, marks[500:]) > 0.85

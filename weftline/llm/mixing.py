@@ -42,7 +42,8 @@ def token_mass(text: Column) -> Column:
 @dataclass(frozen=True)
 class Plan:
     """Margins: per column either shares by level, or a power by which the margin's own shares are flattened (1: as they
-    are, 0: all levels alike). Levels that given shares don't name get ``unnamed``; shares are scaled to add up to 1."""
+    are, 0: all levels alike). Levels that given shares don't name get ``unnamed``; shares are scaled to add up to 1.
+    Raking goes on for ``rounds``, or until no margin is further than ``tolerance`` from its target (relative to it)."""
 
     margins: Mapping[str, Mapping[str, float] | float]
     kept_share: float = 0.5
@@ -50,6 +51,7 @@ class Plan:
     caps: int = 6
     unnamed: float = 0.01
     seed: int = 17
+    tolerance: float = 0.0
 
     @property
     def columns(self) -> list[str]:
@@ -81,13 +83,26 @@ def rake(cells: DataFrame, plan: Plan) -> DataFrame:
     raked = cut_lineage(raked)
     for k in range(1, plan.rounds + 1):
         for column in targets:
-            now = F.sum("raked").over(Window.partitionBy(column))
-            raked = raked.withColumn("now", now).withColumn("raked", F.when(F.col("now") > 0, F.col("raked") * (F.col(f"target{column}") * F.lit(total) / F.col("now"))).otherwise(0.0)).drop("now")
-        if k % 4 == 0 or k == plan.rounds:
-            raked = cut_lineage(raked)
+            # Sums by level and a join, so that a level with very many cells is no single task.
+            now = raked.groupBy(column).agg(F.sum("raked").alias("now"))
+            scaled = F.when(F.col("now") > 0, F.col("raked") * (F.col(f"target{column}") * F.lit(total) / F.col("now"))).otherwise(0.0)
+            raked = raked.join(now, column).withColumn("raked", scaled).drop("now")
+        raked = cut_lineage(raked)
+        if plan.tolerance and k < plan.rounds and gap(raked, targets, total) <= plan.tolerance:
+            break
     return raked.select(*plan.columns, "mass", "raked")
 
 
+def gap(raked: DataFrame, targets: Mapping[str, DataFrame], total: float) -> float:
+    """The largest relative distance of a margin of ``raked`` from its target."""
+    worst = 0.0
+    for column in targets:
+        level = raked.groupBy(column).agg(F.sum("raked").alias("now"), F.first(f"target{column}").alias("target")).where("target > 0")
+        found = level.agg(F.max(F.abs(F.col("now") / (F.col("target") * F.lit(total or 1.0)) - 1))).first()[0]
+        worst = max(worst, found or 0.0)
+    return worst
+
+
 def calibrate(raked: DataFrame, plan: Plan) -> DataFrame:
     """Add ``rate`` and ``probability``: those of the cells that the scale would lift over 1 are capped, and the scale is
     set anew from the others, ``plan.caps`` times (each time the capped set can only grow)."""
@@ -192,14 +207,18 @@ def attach(rows: DataFrame, cells: DataFrame, plan: Plan) -> DataFrame:
     return rows.join(F.broadcast(rated) if cells.count() <= SMALL else rated, plan.columns)
 
 
-def described(docs: DataFrame, text: str = "text", source: str = "source", language: str = "lang") -> DataFrame:
-    """Add __source, __language, __topic and __mass to documents; null levels become "(none)"."""
+def described(docs: DataFrame, text: str = "text", source: str = "source", language: str = "lang", topic: str | None = None, tokens: str | None = None) -> DataFrame:
+    """Add __source, __language, __topic and __mass to documents; null levels become "(none)".
+
+    ``topic``, ``tokens``: columns that have them (a classifier's topics, a tokenizer's counts; null counts weigh nothing);
+    without them a text's form stands for its topic and its number of words for its tokens.
+    """
     return docs.select(
         "*",
         F.coalesce(F.col(source).cast("string"), F.lit(NONE)).alias("__source"),
         F.coalesce(F.col(language).cast("string"), F.lit(NONE)).alias("__language"),
-        surface_topic(F.col(text)).alias("__topic"),
-        token_mass(F.col(text)).alias("__mass"),
+        (F.coalesce(F.col(topic).cast("string"), F.lit(NONE)) if topic else surface_topic(F.col(text))).alias("__topic"),
+        (F.coalesce(F.col(tokens).cast("long"), F.lit(0)) if tokens else token_mass(F.col(text))).alias("__mass"),
     )
 
 
