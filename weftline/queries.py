@@ -32,7 +32,11 @@ def query(name: str, sql: str | None = None, *views: str) -> Callable[[Query], Q
 
 
 # The text rules in DuckDB's SQL, written out from their definitions.
-W, SEP = X.WHITE, X.SEPARATORS
+# Fixed values, written here once more: white space, separators of labels, signs that comparison drops, the expert lead.
+W = r"\x{09}-\x{0D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SEP = W + r",.;:()\[\]{}，。；：（）【】"
+SIGNS = r"\x{21}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7E}，。：；！？（）【】“”‘’、"
+LEAD = "You are a very talented expert in "
 
 
 def q(s: str) -> str:
@@ -52,11 +56,11 @@ def sql_unescape(c: str) -> str:
 
 
 def sql_norm(c: str) -> str:
-    return f"lower(regexp_replace({c}, {q(f'[{W}{X.ASCII_MARKS}{X.WIDE_MARKS}]')}, '', 'g'))"
+    return f"lower(regexp_replace({c}, {q(f'[{W}{SIGNS}]')}, '', 'g'))"
 
 
 def sql_sanitize(c: str) -> str:
-    return sql_trim(f"regexp_replace({sql_trim(c)}, {q(rf'\A(?:{X.EXPERT_LEAD}[^.]*\.[{W}]*)+')}, '')")
+    return sql_trim(f"regexp_replace({sql_trim(c)}, {q(rf'\A(?:{LEAD}[^.]*\.[{W}]*)+')}, '')")
 
 
 def sql_label(c: str) -> str:
