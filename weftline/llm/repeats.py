@@ -9,7 +9,7 @@ every window that can equal theirs:
 2. of each content whose anchor occurs at least twice, one example is cut out of its text and put into the shard's
    index as often as it occurs (twice at most: a third copy changes nothing); the index, in which each of its texts is
    streamed, tells which windows occur elsewhere, by the units themselves;
-3. what was marked goes back to all stretches of that content, and from there to the texts.
+3. what was marked goes back to all stretches of that content, and from there to the texts, a chunk of texts at a time.
 
 An anchor that very many different contents share (a common line) would make one large shard. Such anchors are found
 beforehand in a sample of the texts; windows that choose one of them are stretches of their own whose anchor is the whole
@@ -26,6 +26,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -261,14 +262,16 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
             yield pa.RecordBatch.from_arrays(columns, names=["a", "c1", "c2", "n", "k1", "first", "windows"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each content of some texts: its first place, and the others packed in ``more``."""
-        for _, c, k1, k2, first, _ in gathered(batches, shared.value):
+        """A row for each content of a chunk of whole texts: its first place, and the others packed in ``more``."""
+        task = TaskContext.get()
+        for number, (_, c, k1, k2, first, _) in enumerate(gathered(batches, shared.value)):
+            chunk = xxhash.xxh3_64_intdigest(f"{task.partitionId() if task else 0} {number}") - (1 << 63)
             order, head = _grouped(c)
             one, last = order[head], np.r_[head[1:], len(order)]
             all_places = np.empty(len(order), _MORE)
             all_places["k1"], all_places["k2"], all_places["first"] = k1[order], k2[order], first[order]
             more = [None if y == x + 1 else all_places[x + 1 : y].tobytes() for x, y in zip(head.tolist(), last.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c["c1"][one]), pa.array(c["c2"][one]), *[pa.array(x[one]) for x in (k1, k2, first)], pa.array(more, pa.binary())], names=["c1", "c2", "k1", "k2", "first", "more"])
+            yield pa.RecordBatch.from_arrays([pa.array(c["c1"][one]), pa.array(c["c2"][one]), pa.array(np.full(len(one), chunk)), *[pa.array(x[one]) for x in (k1, k2, first)], pa.array(more, pa.binary())], names=["c1", "c2", "chunk", "k1", "k2", "first", "more"])
 
     # 1. Contents and how often they occur; those whose anchor occurs once only match nothing.
     sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c1 long, c2 int, n long, k1 long, first int, windows int").repartition("a")
@@ -328,37 +331,58 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
 
     marks = cut_out.repartition("a").sortWithinPartitions("a").mapInArrow(in_worker("repeats", indexed), "c1 long, c2 int, runs array<int>")
     # 3. Back to all stretches of such contents, and to their texts.
-    places = keyed.mapInArrow(in_worker("repeats", placed), "c1 long, c2 int, k1 long, k2 int, first int, more binary")
+    places = keyed.mapInArrow(in_worker("repeats", placed), "c1 long, c2 int, chunk long, k1 long, k2 int, first int, more binary")
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            more = batch.column("more")
-            others = np.frombuffer(b"".join(m for m in more.to_pylist() if m), _MORE)
-            of = np.repeat(np.arange(batch.num_rows), pa.compute.fill_null(pa.compute.binary_length(more), 0).to_numpy() // _MORE.itemsize)
-            yield pa.RecordBatch.from_arrays([batch.column(x) for x in ("k1", "k2", "first", "runs")], names=["k1", "k2", "first", "runs"])
-            for at in range(0, len(of), 20_000):
-                part = others[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(part[x])) for x in ("k1", "k2", "first")], batch.column("runs").take(pa.array(of[at : at + 20_000]))], names=["k1", "k2", "first", "runs"])
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What of a chunk's places was marked, as one row of spans for each text."""
 
-    marked = places.join(marks, ["c1", "c2"]).select("k1", "k2", "first", "more", "runs").mapInArrow(in_worker("repeats", spread), "k1 long, k2 int, first int, runs array<int>")
-    covered = marked.groupBy("k1").agg(F.collect_set(F.struct("k2", "first", "runs")).alias("covered"))  # a set: repeated rows have the same places
+        def emit(rows: pa.Table) -> pa.RecordBatch:
+            more, runs = rows["more"].combine_chunks(), rows["runs"].combine_chunks()
+            others = np.frombuffer(b"".join(m for m in more.to_pylist() if m), _MORE)
+            of = np.r_[np.arange(len(more)), np.repeat(np.arange(len(more)), pa.compute.fill_null(pa.compute.binary_length(more), 0).to_numpy() // _MORE.itemsize)]
+            k1, k2, first = (np.r_[rows[n].to_numpy(), others[n]] for n in ("k1", "k2", "first"))
+            # Each place has the runs of its content, counted from its first unit.
+            size = pa.compute.list_value_length(runs).to_numpy() // 2
+            start, flat = np.cumsum(size) - size, runs.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
+            place = np.repeat(np.arange(len(of)), size[of])
+            pick = np.arange(len(place)) + np.repeat(start[of] - (np.cumsum(size[of]) - size[of]), size[of])
+            lo, hi = first[place] + flat[pick, 0], first[place] + flat[pick, 1] + width - 1
+            order = np.lexsort((lo, k2[place], k1[place]))
+            k1, k2, lo, hi = k1[place][order], k2[place][order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+            new_text = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
+            text_of = np.cumsum(new_text) - 1
+            far = np.int64(1 << 32)  # texts one behind the other, so that one running maximum serves all
+            reach = np.maximum.accumulate(hi + text_of * far)
+            new = new_text | np.r_[True, lo[1:] + text_of[1:] * far > reach[:-1]]
+            head = np.flatnonzero(new)
+            ends = reach[np.r_[head[1:], len(lo)] - 1] - text_of[head] * far
+            spans = np.stack([lo[head], ends], axis=1).astype(np.int32)
+            bounds = np.r_[0, np.cumsum(2 * np.bincount(text_of[head]))].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(spans.ravel()))
+            return pa.RecordBatch.from_arrays([pa.array(k1[new_text]), pa.array(k2[new_text]), lists], names=["k1", "k2", "spans"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            chunk = batch.column("chunk").to_numpy()
+            cuts = np.flatnonzero(chunk[1:] != chunk[:-1]) + 1
+            for a, b in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(chunk)].tolist(), strict=True):
+                if b > a:
+                    if held and held[-1].column("chunk")[0].as_py() != int(chunk[a]):
+                        yield emit(pa.Table.from_batches(held))
+                        held = []
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield emit(pa.Table.from_batches(held))
+
+    met_again = places.join(marks, ["c1", "c2"]).select("chunk", "k1", "k2", "first", "more", "runs").repartition("chunk").sortWithinPartitions("chunk")
+    by_text = met_again.mapInArrow(in_worker("repeats", merged), "k1 long, k2 int, spans array<int>")
+    covered = by_text.groupBy("k1").agg(F.collect_set(F.struct("k2", "spans")).alias("covered"))  # a set: repeated rows have the same spans
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = []
-            for row, k2 in zip(batch.column("covered"), batch.column("__k2").to_pylist(), strict=True):
-                own = row.values.filter(pa.compute.equal(row.values.field("k2"), k2)) if row.is_valid else ()
-                if not len(own):
-                    column.append([])
-                    continue
-                first, runs = (own.field(x) for x in ("first", "runs"))
-                begin = np.repeat(first.to_numpy(), pa.compute.list_value_length(runs).to_numpy() // 2)
-                flat = runs.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
-                lo, hi = begin + flat[:, 0], begin + flat[:, 1] + width - 1
-                order = np.argsort(lo, kind="stable")
-                lo, hi = lo[order], np.maximum.accumulate(hi[order])
-                new = np.r_[True, lo[1:] > hi[:-1]]
-                column.append(np.stack([lo[new], hi[np.r_[np.flatnonzero(new)[1:], len(lo)] - 1]], axis=1).ravel().astype(np.int32))
+            for row, k2 in zip(batch.column("covered").to_pylist(), batch.column("__k2").to_pylist(), strict=True):
+                column.append(next((x["spans"] for x in row or () if x["k2"] == k2), []))
             yield with_arrays(batch.drop_columns(["covered"]), **{out: pa.array(column, pa.list_(pa.int32()))})
 
     joined = base.join(covered, F.col("__k1") == F.col("k1"), "left").drop("k1")
