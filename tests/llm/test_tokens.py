@@ -39,6 +39,17 @@ def test_counts_equal_the_library(strings):
     assert fst_tokens.Counter(fst_tokens.load_tokenizer(TABLE)).count(strings) == want
 
 
+def test_every_code_point_splits_as_in_the_library():
+    """Each code point between a letter and a contraction, and alone between blanks; long texts of many such."""
+    library, counter = tokenizers.Tokenizer.from_file(TABLE), fst_tokens.Counter(fst_tokens.load_tokenizer(TABLE))
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    for pattern in ("a{}'s {}9'll {} {}", "{}'re"):
+        made = ["\n".join(pattern.replace("{}", c) for c in points[a : a + 64]) for a in range(0, len(points), 64)]
+        want = [len(e.ids) for e in library.encode_batch(made, add_special_tokens=False)]
+        got = [n for a in range(0, len(made), 500) for n in counter.count(made[a : a + 500])]
+        assert got == want, [hex(64 * i) for i, (a, b) in enumerate(zip(got, want, strict=True)) if a != b][:20]
+
+
 def test_state_maps_do_not_depend_on_chunks():
     rng = np.random.default_rng(2)
     classes = rng.integers(0, 12, 5000).astype(np.uint8)

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import string
 import sys
-import unicodedata
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,20 +71,28 @@ def _compile() -> tuple[np.ndarray, np.ndarray]:
 NEXT, MARKS = _compile()
 
 
-@lru_cache(maxsize=1)
-def class_table() -> np.ndarray:
+def class_runs(split: Callable[[str], list[tuple[str, tuple[int, int]]]], step: int = 4096) -> list[tuple[int, int, int]]:
+    """(first, last, class) of runs of code points beyond ASCII, as a tokenizer's own splitter has them.
+
+    Laid end to end, code points part into runs of one class; what each run goes on with tells which. No table of
+    this Python's is asked, whose version of Unicode may be another.
+    """
+    runs = []
+    for a in range(0x80, sys.maxunicode + 1, step):
+        points = [i for i in range(a, min(a + step, sys.maxunicode + 1)) if not 0xD800 <= i <= 0xDFFF]
+        for _, (x, y) in split("".join(map(chr, points))) if points else []:
+            c = chr(points[x])
+            goes_on = lambda lead: split(lead + c)[-1][1] == (0, 2)  # noqa: B023, E731
+            runs.append((points[x], points[y - 1], LETTER if goes_on("a") else NUMBER if goes_on("1") else OTHER if goes_on("!") else SPACE))
+    return runs
+
+
+def class_table(runs: list[tuple[int, int, int]]) -> np.ndarray:
     """Class of each code point."""
     table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-    for i in range(sys.maxunicode + 1):
-        c = chr(i)
-        kind = unicodedata.category(c)[0]
-        if kind == "L":
-            table[i] = LETTER
-        elif kind == "N":
-            table[i] = NUMBER
-        elif c.isspace() and not 0x1C <= i <= 0x1F:
-            table[i] = SPACE
-    for chars, k in (("stmd", ENDS), ("r", R), ("v", V), ("l", L), ("e", E), (" ", BLANK), ("'", APOSTROPHE)):
+    for first, last, kind in runs:
+        table[first : last + 1] = kind
+    for chars, k in ((string.ascii_letters, LETTER), (string.digits, NUMBER), ("\t\n\v\f\r", SPACE), ("stmd", ENDS), ("r", R), ("v", V), ("l", L), ("e", E), (" ", BLANK), ("'", APOSTROPHE)):
         for c in chars:
             table[ord(c)] = k
     return table
@@ -120,14 +127,19 @@ def starts(classes: np.ndarray, width: int = 128) -> np.ndarray:
 
 
 def load_tokenizer(path: str) -> dict:
-    """Merges and added tokens of a byte-level BPE tokenizer file; other kinds are refused."""
+    """Merges, added tokens and character classes of a byte-level BPE tokenizer file; other kinds are refused.
+
+    Classes come from the library's splitter, once, on the driver; workers are sent them.
+    """
+    from tokenizers import Tokenizer
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     model, pre = spec["model"], spec["pre_tokenizer"]
     if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or spec.get("normalizer"):
         raise ValueError("needs a byte-level BPE tokenizer with the usual pattern and no normalizer")
     merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
-    return {"merges": merges, "vocabulary": sorted(model["vocab"]), "added": sorted(t["content"] for t in spec["added_tokens"])}
+    return {"merges": merges, "vocabulary": sorted(model["vocab"]), "added": sorted(t["content"] for t in spec["added_tokens"]), "classes": class_runs(Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str)}
 
 
 def byte_letters() -> list[str]:
@@ -144,7 +156,7 @@ class Counter:
         self.letters = dict(enumerate(byte_letters()))
         self.added = spec["added"]
         self.arcs = Remembered(self.arc)
-        self.classes = class_table()
+        self.classes = class_table(spec["classes"])
 
     def arc(self, stretch: str) -> int:
         symbols = stretch.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
