@@ -34,6 +34,28 @@ def test_stages(spark, labelled):
     assert [n for n, _ in pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup", "substring_dedup", "mix_sources", "sentencepiece_codec"]
 
 
+#: Every name that a stage or its operators give to a column on the way.
+INNER = (
+    "__score __spans __kept __words __left __k1 __k2 k1 k2 a c1 c2 n first windows wanted payload chunk more runs covered kept units spans "
+    "__row row id key fp cells best root component __copies copies u v m "
+    "__source __language __topic __mass mass raked weight rate probability __rate __probability goal target own room place full rest factor found most "
+    "score predicted label __id __label ids n_tokens decoded round_trip"
+).split()
+
+
+def test_clashing_names(spark, labelled):
+    """A stage's rows and columns are the same, whatever a caller's own columns are called."""
+    docs = spark.read.parquet(f"{labelled}/documents.parquet")
+    more = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in INNER])
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        plain, out = stage(spark, docs, labelled), stage(spark, more, labelled)
+        if k < len(pipeline.STAGES) - 1:
+            assert out.columns == more.columns
+            for r in out.collect():
+                assert all(r[n] == f"{n} of {'none' if r.doc_id is None else r.doc_id}" for n in INNER)
+        assert sorted(map(repr, out.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_decisions_take_effect(spark, labelled):
     docs = spark.read.parquet(f"{labelled}/documents.parquet")
     one = pipeline.simhash_near_dedup(spark, docs, labelled)

@@ -46,6 +46,17 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
 
 
+def set_aside(df: DataFrame, used: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame with every column but ``used`` under a name that no operator adds, and what gives the old names back.
+
+    So an operator's own columns never meet a caller's, whatever these are called.
+    """
+    kept = {n.lower() for n in used}
+    names = [c if c.lower() in kept else f"carried column {i}" for i, c in enumerate(df.columns)]
+    old = list(df.columns)
+    return df.toDF(*names), lambda out: out.select(*[F.col(f"`{n}`").alias(o) for n, o in zip(names, old, strict=True)])
+
+
 #: Bytes of a batch that goes to or from a Python worker; Spark's own default is eight times that.
 BATCH_BYTES, SPARK_DEFAULT_BYTES = 8 << 20, 64 << 20
 

@@ -15,7 +15,7 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """``edges`` (u, v: long, u != v) to (v, root): each node that is not least in its component, with the least one.
+    """``edges`` (u, v: of one type that has an order, u != v) to (v, root): each node that is not least in its component, with the least one.
 
     Repeated and mirrored edges do no harm; no edges give no rows. Each round is cut off by a checkpoint.
     """

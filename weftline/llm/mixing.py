@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import cut_lineage
+from weftline.llm.common import cut_lineage, set_aside
 
 #: Stands for a null level.
 NONE = "(none)"
@@ -200,10 +200,10 @@ def margins(cells: DataFrame, plan: Plan) -> DataFrame:
     return out
 
 
-def attach(rows: DataFrame, cells: DataFrame, plan: Plan) -> DataFrame:
-    """Add ``rate`` and ``probability`` of its cell to each row. Cells go to all tasks only where they are counted few;
+def attach(rows: DataFrame, cells: DataFrame, plan: Plan, *names: str) -> DataFrame:
+    """Add the cells' columns ``names`` (if none are given, rate and probability) to each row. Cells go to all tasks only where they are counted few;
     else a shuffle joins them, in which Spark splits a crowded cell's rows."""
-    rated = cells.select(*plan.columns, "rate", "probability")
+    rated = cells.select(*plan.columns, *(names or ("rate", "probability")))
     return rows.join(F.broadcast(rated) if cells.count() <= SMALL else rated, plan.columns)
 
 
@@ -228,14 +228,18 @@ def default_plan(kept_share: float = 0.5) -> Plan:
 
 
 def sample(docs: DataFrame, plan: Plan, id_col: str = "doc_id", **names: str) -> DataFrame:
-    """The documents drawn; all columns stay. Texts without words weigh nothing: they are drawn as their cell is.
+    """The documents drawn; all columns stay, whatever their names. Texts without words weigh nothing: they are drawn as
+    their cell is.
 
     An empty table gives no rows; repeated rows are drawn or left together.
     """
-    rows = described(docs, **names)
+    read = {"text": "text", "source": "source", "language": "lang"} | names
+    carried, restored = set_aside(docs, [n for n in read.values() if n] + [id_col])
+    rows = described(carried, **names)
     cells = weighed_within(rows, plan, "__mass")
-    drawn = attach(rows, cells, plan).where(chance(F.col(id_col), plan.seed) < F.col("probability"))
-    return drawn.select(*docs.columns)
+    # Rates go by names of their own, as a column that is read may be called so.
+    rated = attach(rows, cells.withColumnsRenamed({"rate": "__rate", "probability": "__probability"}), plan, "__rate", "__probability")
+    return restored(rated.where(chance(F.col(id_col), plan.seed) < F.col("__probability")))
 
 
 def oracle_sql(plan: Plan) -> str:

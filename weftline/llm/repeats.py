@@ -275,7 +275,10 @@ def mark(df: DataFrame, kind: str, unit: str, width: int, anchor: int, text: str
 
     # 1. Contents and how often they occur; those whose anchor occurs once only match nothing.
     sent = keyed.mapInArrow(in_worker("repeats", counted), "a long, c1 long, c2 int, n long, k1 long, first int, windows int").repartition("a")
-    counts = sent.groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), *[F.first(x).alias(x) for x in ("k1", "first", "windows")])
+    # The text that lends the example is the one of least key, in whatever order rows come: a task that is run again after
+    # lost map output names the same. Equal contents have equally many windows; of their places in that text any will do.
+    example = [F.min("k1").alias("k1"), F.min_by("first", "k1").alias("first"), F.min("windows").alias("windows")]
+    counts = sent.groupBy("a", "c1", "c2").agg(F.sum("n").alias("n"), *example)
     met = counts.withColumn("all", F.sum("n").over(Window.partitionBy("a"))).where(F.col("all") > 1)
     # 2. One example of each: any text with that key in which the content stands at that place.
     wanted = met.groupBy("k1").agg(F.collect_list(F.struct("a", "c1", "c2", "n", "first", "windows")).alias("wanted"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import bound_batches, cut_lineage, in_worker, row_keys, slices
+from weftline.llm.common import bound_batches, cut_lineage, in_worker, row_keys, set_aside, slices
 from weftline.llm.graph import components
 from weftline.llm.simhash import fingerprint_of, links, shingle_hashes
 
@@ -106,8 +106,8 @@ def connect(sets: list[np.ndarray], least: float = LEAST) -> list[int]:
 
 
 def sketches(df: DataFrame, step_bytes: int = 1_000_000) -> DataFrame:
-    """(row, id, text) to (row, id, key, fp, cells): key is a hash of the set, fp its fingerprint; a text without words is in
-    no cell."""
+    """(row, id, text) to (row, id, key, fp, cells): key is a 128-bit hash of the set, fp its fingerprint; a text without words
+    is in no cell."""
     bound_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,26 +116,26 @@ def sketches(df: DataFrame, step_bytes: int = 1_000_000) -> DataFrame:
                 keys, prints, where = [], [], []
                 for t in batch.column("text").cast(pa.large_binary()).to_pylist():
                     shingles = shingle_set(t or b"")
-                    keys.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
+                    keys.append(xxhash.xxh3_128_digest(shingles.tobytes(), SEED))
                     prints.append(fingerprint(shingles))
                     where.append(cells(signature(shingles)) if len(shingles) else [])
-                key, fp = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (keys, prints))
+                key, fp = pa.array(keys, pa.binary()), pa.array(np.array(prints, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key, fp, pa.array(where, pa.list_(pa.int64()))], names=["row", "id", "key", "fp", "cells"])
 
-    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
+    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.BinaryType()), T.StructField("fp", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
     return df.select("row", "id", "text").mapInArrow(in_worker("similar", run), schema)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A group's (root, key, text) to (key, component), the component named by one of its keys."""
-    texts: dict[int, np.ndarray] = {}
+    texts: dict[bytes, np.ndarray] = {}
     for batch in batches:
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
             if key not in texts:
                 texts[key] = shingle_set(text or b"")
     keys = sorted(texts)
     first = connect([texts[k] for k in keys])
-    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([keys[i] for i in first], pa.int64())], names=["key", "component"])
+    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([keys[i] for i in first], pa.binary())], names=["key", "component"])
 
 
 def candidate_groups(nodes: DataFrame) -> DataFrame:
@@ -151,27 +151,29 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     return rooted.unionByName(rooted.select(F.col("root").alias("key"), "root").distinct())
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` without near-duplicates: of texts connected by similarity only the row with the least id; all columns stay.
+def keep_one(frame: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``frame`` without near-duplicates: of texts connected by similarity only the row with the least id; all
+    columns stay, whatever their names.
 
     Letters A-Z count as lower case, words are runs without ASCII white space; texts without words are alike. A
     component without any id keeps one row; repeated rows count once.
     """
+    df, restored = set_aside(frame, [id_col, text])
     row = F.struct(*[k.alias(n) for k, n in zip(row_keys(F.col(id_col), F.col(text)), ("a", "b"), strict=True)])
     drawn = cut_lineage(sketches(df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.first("cells").alias("cells")))
+    nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.min("cells").alias("cells")))
     groups = cut_lineage(candidate_groups(nodes))
     chosen = groups.join(nodes, "key").select(F.col("best.row").alias("row"), "key", "root")
     sent = df.select(row.alias("row"), F.col(text).alias("text")).join(chosen, "row").select("root", "key", "text")
-    checked = cut_lineage(sent.groupBy("root").applyInArrow(_verified, "key long, component long"))
+    checked = cut_lineage(sent.groupBy("root").applyInArrow(_verified, "key binary, component binary"))
     named = nodes.join(checked, "key", "left").select(F.coalesce("component", "key").alias("component"), "best")
     kept = named.groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
     copies = drawn.groupBy(F.col("row").alias("__row")).agg(F.count("*").alias("__copies"))
     kept = cut_lineage(kept.join(copies, "__row"))
     marked = df.withColumn("__row", row)
-    once = marked.join(kept.where("__copies = 1").select("__row"), "__row", "left_semi").select(df.columns)
+    once = marked.join(kept.where("__copies = 1").select("__row"), "__row", "left_semi").select(*df.columns)
     several = kept.where("__copies > 1").select("__row")
     if several.isEmpty():
-        return once
-    return once.unionByName(marked.join(several, "__row", "left_semi").dropDuplicates(["__row"]).select(df.columns))
+        return restored(once)
+    return restored(once.unionByName(marked.join(several, "__row", "left_semi").dropDuplicates(["__row"]).select(*df.columns)))
