@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import mixing, pieces, quality, repeats, similar, simhash
-from weftline.llm.common import ensure_checkpoint_dir, read_table
+from weftline.llm.common import ensure_checkpoint_dir, read_table, set_aside
 from weftline.llm.queries import quality_model, vocabulary_path
 
 
@@ -17,10 +17,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier does not reject (score of 0.3 or more).
 
     Null and empty texts score what the intercept gives, texts of any length are scored whole; repeated rows share a score.
-    Null ids are scored, but never learned from. An empty table gives no rows, columns pass through.
+    Null ids are scored, but never learned from. An empty table gives no rows; columns pass through, whatever their names.
     """
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out="__score").where(F.col("__score") >= 0.3).select(docs.columns)
+    carried, restored = set_aside(docs, ["doc_id", "text"])
+    return restored(quality.score(carried, model, out="__score").where(F.col("__score") >= 0.3))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +43,17 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts without the words under repeated runs of 35 words; a text of which none is left goes, unless it had none.
 
     Texts that lose nothing stay as they are; of others the remaining words are joined by one space, and n_chars counts anew.
-    Null texts stay null. Repeated rows repeat each other: of more than 35 words, both lose them. An empty table gives no rows.
+    Null texts stay null. Repeated rows repeat each other: of more than 35 words, both lose them. An empty table gives no
+    rows; other columns pass through, whatever their names.
     """
-    kept = repeats.remove(repeats.word_repeats(docs, width=35, out="__spans"), "word", spans="__spans", kept="__kept", units="__words")
+    carried, restored = set_aside(docs, ["doc_id", "text", "n_chars"])
+    kept = repeats.remove(repeats.word_repeats(carried, width=35, out="__spans"), "word", spans="__spans", kept="__kept", units="__words")
     changed = F.size("__spans") > 0
     left = kept.withColumn("__left", F.decode("__kept", "UTF-8")).where(~changed | (F.col("__left") != ""))
     new = {"text": F.when(changed, F.col("__left")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(changed, F.length("__left").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumns(new).select(docs.columns)
+    return restored(left.withColumns(new))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
