@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, fst_tokens, labels, mixing, pieces, quality, repeats, simhash, topk, toxicity
+from weftline.llm import ann, fill_middle, fst_tokens, labels, mixing, pieces, quality, repeats, simhash, topk, toxicity
 from weftline.llm.common import cut_lineage, read_table
 
 
@@ -96,6 +96,12 @@ def op10_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", repeats.removed_units().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = [F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(fill_middle.rebuilt(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_byte_repeats": op2_byte_repeats,
@@ -107,10 +113,12 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_word_repeats": op10_word_repeats,
+    "op11_fill_middle": op11_fill_middle,
     "op1_mixing_margins": op1_mixing_margins,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.oracle_sql(mixing.default_plan()),
+    "op11_fill_middle": fill_middle.oracle_sql(),
     "op10_word_repeats": r"""
         WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words),
