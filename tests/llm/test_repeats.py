@@ -1,6 +1,7 @@
 """Repeated substrings against brute force; the indexes on their own."""
 
 from __future__ import annotations
+
 import random
 from collections import Counter
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ann, fill_middle, fst_tokens, labels, mixing, pieces, quality, repeats, simhash, topk, toxicity
+from weftline.llm import ann, exponion, fill_middle, fst_tokens, labels, mixing, pieces, quality, repeats, simhash, topk, toxicity, url_filter
 from weftline.llm.common import cut_lineage, read_table
 
 
@@ -102,6 +102,14 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exponion.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_byte_repeats": op2_byte_repeats,
@@ -114,11 +122,15 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_word_repeats": op10_word_repeats,
     "op11_fill_middle": op11_fill_middle,
+    "op12_url_filter": op12_url_filter,
+    "op13_clusters": op13_clusters,
     "op1_mixing_margins": op1_mixing_margins,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.oracle_sql(mixing.default_plan()),
     "op11_fill_middle": fill_middle.oracle_sql(),
+    "op12_url_filter": url_filter.oracle_sql(),
+    "op13_clusters": exponion.oracle_sql(),
     "op10_word_repeats": r"""
         WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words),
