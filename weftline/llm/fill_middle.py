@@ -1,8 +1,9 @@
 """Fill-in-middle: texts cut in three at seeded places and put together anew, over an index of distinct texts.
 
 Texts are grouped by their SHA-256, and a group is taken for one text only if its least and greatest member are the same
-(else the run stops). Each distinct text gets one Elias-Fano list of where its code points begin, in bytes. Documents travel
-as an id and a digest; they meet the index by digest, and each selects the two bytes of its own cut from the list.
+(else the run stops); they travel packed, as that pass is all that is shuffled of them. Documents travel as an id, a digest
+and where they are to be cut, and meet the index by digest. Rows of one text come one behind the other: the first lists
+where the text's code points begin, in bytes (Elias-Fano), and each selects its own two bytes from that list.
 
 A text that very many rows share would make one task of the join: such digests are counted first (``HOT_SHARE`` of them at
 most, by arithmetic), and their rows and their index entry are spread by a salt.
@@ -11,9 +12,11 @@ most, by arithmetic), and their rows and their index entry are spread by a salt.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,24 +80,31 @@ def select(listed: bytes, i: int) -> int:
 
 
 @F.arrow_udf(returnType=T.BinaryType())
-def _listed(text: pa.Array) -> pa.Array:
-    return pa.array([boundaries(t or b"") for t in text.cast(pa.large_binary()).to_pylist()], pa.binary())
-
-
-@F.arrow_udf(returnType=T.ArrayType(T.LongType()))
-def _selected(listed: pa.Array, first: pa.Array, second: pa.Array) -> pa.Array:
-    rows = zip(listed.to_pylist(), first.to_pylist(), second.to_pylist(), strict=True)
-    return pa.array([[select(x, i), select(x, j)] for x, i, j in rows], pa.list_(pa.int64()))
+def _packed(text: pa.Array) -> pa.Array:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([pack(t or b"") for t in text.cast(pa.large_binary()).to_pylist()], pa.binary())
+
+
+@F.arrow_udf(returnType=T.StructType([T.StructField("bytes", T.BinaryType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+def _opened(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Packed texts and two places in code points: the text, and the places in bytes. One list serves a run of equal texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    last, text, listed = None, b"", b""
+    for packed, first, second in columns:
+        rows = []
+        for p, i, j in zip(packed.to_pylist(), first.to_pylist(), second.to_pylist(), strict=True):
+            if p != last:
+                last, text = p, unpack(p)
+                listed = boundaries(text)
+            rows.append((text, select(listed, i), select(listed, j)))
+        yield pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.binary()), *[pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)]], names=["bytes", "a", "b"])
 
 
 def text_index(texts: DataFrame) -> DataFrame:
-    """(key, text) to (key, text, n, marked, listed), a row for each distinct text: its code points, whether it holds one of
-    the marks, and its list of boundaries. Texts of one key that are not the same stop the run."""
-    least, most = F.col("least"), F.col("most")
-    one = texts.groupBy("key").agg(F.min("text").alias("least"), F.max("text").alias("most"))
-    text = F.when(least == most, least).otherwise(F.raise_error(F.lit("two different texts share a digest")))
-    marked = F.contains("text", F.lit(PREFIX)) | F.contains("text", F.lit(SUFFIX)) | F.contains("text", F.lit(MIDDLE))
-    return one.select("key", text.alias("text")).select("key", "text", F.length("text").cast("long").alias("n"), marked.alias("marked"), _listed("text").alias("listed"))
+    """(key, text) to (key, packed), a row for each distinct text. Texts of one key that are not the same stop the run."""
+    one = texts.select("key", _packed("text").alias("packed")).groupBy("key").agg(F.min("packed").alias("least"), F.max("packed").alias("most"))
+    same = F.when(F.col("least") == F.col("most"), F.col("least")).otherwise(F.raise_error(F.lit("two different texts share a digest")))
+    return one.select("key", same.alias("packed"))
 
 
 def draws(id_col: Column, seed: int) -> list[Column]:
@@ -113,35 +123,37 @@ def fill_in_middle(df: DataFrame, id_col: str = "doc_id", text: str = "text", se
     """
     bound_batches(df)
     new = ("n", "form", "prefix_chars", "middle_chars", "output")
-    carried, _ = set_aside(df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new]), [id_col, text])
+    old = [c for c in df.columns if c.lower() not in new]
+    carried, _ = set_aside(df.select(*[F.col(f"`{c}`") for c in old]), [id_col, text])
+    names = {o: n for o, n in zip(old, carried.columns, strict=True) if n != text}
     whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = carried.withColumn("key", digest(whole))
-    thin = cut_lineage(keyed.drop(text).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))))
+    one, two, three, four = draws(F.col(id_col), seed)
+    first, second = F.pmod(one, F.col("n") + 1), F.pmod(two, F.col("n") + 1)
+    marked = F.contains(whole, F.lit(PREFIX)) | F.contains(whole, F.lit(SUFFIX)) | F.contains(whole, F.lit(MIDDLE))
+    form = F.when((F.col("n") == 0) | marked | (three % 100 >= plain_from), "plain").when(four % 100 < spm_below, "spm").otherwise("psm")
+    keyed = carried.withColumns({"key": digest(whole), "n": F.length(whole).cast("long")})
+    drawn = keyed.withColumns({"form": form, "first": F.least(first, second), "second": F.greatest(first, second), "salt": F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))})
+    thin = cut_lineage(drawn.drop(text))
     counts = cut_lineage(thin.groupBy("key").agg(F.count("*").alias("rows")))
     total = counts.agg(F.sum("rows")).first()[0] or 0
     hot = F.broadcast(counts.where(F.col("rows") * HOT_SHARE > total).select("key"))
-    index = text_index(keyed.select("key", whole.alias("text")))
+    index = text_index(carried.select(digest(whole).alias("key"), whole.alias("text")))
     spread = index.join(hot, "key", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
     met = thin.join(hot, "key", "left_anti").join(index, "key")
     met = met.unionByName(thin.join(hot, "key", "left_semi").join(spread, ["key", "salt"]).select(met.columns))
-    one, two, three, four = draws(F.col(id_col), seed)
-    first, second = F.pmod(one, F.col("n") + 1), F.pmod(two, F.col("n") + 1)
-    form = F.when((F.col("n") == 0) | F.col("marked") | (three % 100 >= plain_from), "plain").when(four % 100 < spm_below, "spm").otherwise("psm")
-    cut = met.withColumns({"form": form, "first": F.least(first, second), "second": F.greatest(first, second)})
-    cut = cut.withColumn("at", _selected("listed", "first", "second")).withColumn("bytes", F.col("text").cast("binary"))
-    a, b, plain = F.col("at")[0].cast("int"), F.col("at")[1].cast("int"), F.col("form") == "plain"
-    prefix, middle, suffix = (F.substring("bytes", x + 1, y - x) for x, y in ((F.lit(0), a), (a, b), (b, F.octet_length("bytes"))))
+    cut = met.withColumn("cut", _opened("packed", "first", "second"))
+    size, a, b = F.octet_length("cut.bytes"), F.col("cut.a").cast("int"), F.col("cut.b").cast("int")
+    prefix, middle, suffix = (F.substring(F.col("cut.bytes"), x + 1, y - x) for x, y in ((F.lit(0), a), (a, b), (b, size)))
     mark = lambda m: F.lit(m).cast("binary")
     psm = F.concat(mark(PREFIX), prefix, mark(SUFFIX), suffix, mark(MIDDLE), middle)
     spm = F.concat(mark(SUFFIX), suffix, mark(PREFIX), prefix, mark(MIDDLE), middle)
-    made = cut.withColumns({
-        "output": F.when(plain, F.col("text")).otherwise(F.when(F.col("form") == "spm", spm).otherwise(psm).cast("string")),
+    plain = F.col("form") == "plain"
+    made = {
+        "output": F.when(plain, F.col("cut.bytes")).otherwise(F.when(F.col("form") == "spm", spm).otherwise(psm)).cast("string"),
         "prefix_chars": F.when(~plain, F.col("first")),
         "middle_chars": F.when(~plain, F.col("second") - F.col("first")),
-    })
-    names = [n for n in carried.columns if n != text]
-    old = [o for o, n in zip([c for c in df.columns if c.lower() not in new], carried.columns, strict=True) if n != text]
-    return made.select(*[F.col(f"`{n}`").alias(o) for n, o in zip(names, old, strict=True)], *new)
+    }
+    return cut.withColumns(made).select(*[F.col(f"`{n}`").alias(o) for o, n in names.items()], *new)
 
 
 def rebuilt(output: Column, form: Column) -> Column:
