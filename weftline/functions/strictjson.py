@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -209,29 +208,6 @@ def parse_row(raws: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([read_row(r) for r in raws], columns=ROW_TYPE.names)
 
 
-def array_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Elements of whole-file JSON arrays with their places; what follows the closing bracket is not read."""
-    for batch in batches:
-        for path, text in zip(batch["path"], batch["value"], strict=True):
-            decoder = json.JSONDecoder(parse_constant=_refuse, parse_float=Number, parse_int=Number)
-            at, n, rows = text.index("[") + 1, len(text), []
-            blank = re.compile(r"[ \t\r\n]*")
-            at = blank.match(text, at).end()
-            while at < n and text[at] != "]":
-                value, at = decoder.raw_decode(text, at)
-                rows.append(dumps(value, sort=False))
-                at = blank.match(text, at).end()
-                if at < n and text[at] == ",":
-                    at = blank.match(text, at + 1).end()
-                    if at < n and text[at] == "]":
-                        raise Malformed("a comma before the end of the array")
-                elif at >= n or text[at] != "]":
-                    raise Malformed("the array does not go on")
-            if at >= n:
-                raise Malformed("the array does not end")
-            yield pd.DataFrame({"path": path, "logical_index": range(len(rows)), "raw": rows})
-
-
 @F.pandas_udf(T.StructType([T.StructField("answer", T.StringType()), T.StructField("error", T.StringType())]))
 def item_answer(texts: pd.Series) -> pd.DataFrame:
     """The answer of a generated item's JSON, trimmed; an error if it is no such item or its answer is blank."""

@@ -529,6 +529,6 @@ def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for split in ("success", "failed"):
         rows.where(F.col("split") == split).orderBy("line_no").select("r.*").write.json(f"{folder}/{split}")
     export.export_training(spark, f"{folder}/success", f"{folder}/failed", f"{folder}/out", f"{folder}/texts")
-    lines = spark.read.text(f"{folder}/out").select("value", F.struct(*scans.file_place()).alias("place"), F.monotonically_increasing_id().alias("__line"))
-    placed = scans.keep_order(keep(lines)).select("logical_index", F.from_json("value", "task_id string, source_split string, text string").alias("r"))
+    lines = spark.read.text(f"{folder}/out").select(F.col("value").alias("raw"), F.struct(*scans.file_place()).alias("place"))
+    placed = scans.ordered_lines(lines).select("logical_index", F.from_json("raw", "task_id string, source_split string, text string").alias("r"))
     return placed.select(F.col("logical_index").alias("place"), "r.task_id", "r.source_split", F.md5(F.col("r.text").cast("binary")).alias("text_md5"))

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.functions import strictjson
 from weftline.functions import text as X
 from weftline.plans.durable import keep
+from weftline.sources import arrays
+from weftline.sources.fileindex import at_place, counted_lines, split_index
 
 #: Columns of the engine's own rows; '' stands for absent.
 OUTPUT_FIELDS = ("task_id", "status", "user", "generated_item_json", "answer_model", "assistant", "text")
 SHOWN_ERRORS = 5
 #: Name of an append's folder, before its number.
 APPEND = "append-"
+_NO_ERROR = T.StructType([T.StructField("error", T.StringType())])
 #: Where a line stands (see ``file_place``).
 LINE = T.StructType([T.StructField(n, T.StringType() if n == "path" else T.LongType()) for n in ("append", "part", "path", "start", "line")])
 
@@ -58,32 +61,51 @@ def input_window(rows: DataFrame, start: int = 0, limit: int | None = None, inde
 
 
 def read_rows(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> tuple[DataFrame, dict]:
-    """(logical_index, raw, parsed) of the window, and a report of lines that are no JSON (count, first few).
+    """(logical_index, raw, parsed) of the window, and a report of lines that are no JSON (how many, the first few with their
+    numbers among the lines that are not blank).
 
-    Such lines take no index; in an array any fault fails the load.
+    Such lines take no index, and those behind the window's last row are not reported; in an array any fault fails the load.
     """
-    if sniff(spark, path) == "array":
-        whole = spark.read.text(path, wholetext=True).select(F.lit(path).alias("path"), "value")
-        rows = whole.mapInPandas(strictjson.array_rows, "path string, logical_index long, raw string").drop("path")
-        return input_window(rows, start, limit).withColumn("parsed", strictjson.parse_row("raw")), {"invalid": 0, "first": []}
+    kind = sniff(spark, path)
+    if limit == 0:
+        kept = T.StructType([T.StructField("logical_index", T.LongType()), T.StructField("raw", T.StringType()), T.StructField("parsed", strictjson.ROW_TYPE)])
+        return spark.createDataFrame([], kept), {"invalid": 0, "first": []}
+    if kind == "array":
+        return input_window(arrays.array_elements(spark, path, file_place()), start, limit), {"invalid": 0, "first": []}
+    rows, index = indexed_lines(spark, path, start, limit)
+    bad = invalid_lines(rows, index, start, limit)
+    first = bad.orderBy("line_number").limit(SHOWN_ERRORS).collect()
+    invalid = bad.count() if len(first) == SHOWN_ERRORS else len(first)
+    good = rows.where("parsed.error is null").withColumn("logical_index", F.col("before_valid") + F.col("rank"))
+    return input_window(good, start, limit).select("logical_index", "raw", "parsed"), {"invalid": invalid, "first": [f"line {r['line_number']}: {r['error']}" for r in first]}
+
+
+def indexed_lines(spark: SparkSession, path: str, start: int = 0, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(lines, index) of a file of JSON lines, each line parsed once. lines: raw, parsed, its place, how many lines and valid
+    lines of its split stand before it, and of all splits before; only of splits that reach into the window. index: the
+    running sums of all splits (``split_index``)."""
     lines = spark.read.text(path).select(F.col("value").alias("raw"), F.struct(*file_place()).alias("place")).where(F.trim("raw") != "")
-    # Parsed once: the report, the index and the rows all read what is kept.
-    parsed = keep(lines.withColumn("__line", F.monotonically_increasing_id()).withColumn("parsed", strictjson.parse_row("raw")))
-    bad = parsed.where("parsed.error is not null")
-    invalid = bad.agg(F.count("*")).first()[0]
-    first = bad.orderBy("place", "__line").limit(SHOWN_ERRORS).select("parsed.error").collect() if invalid else []
-    rows = keep_order(parsed.where("parsed.error is null"))
-    return input_window(rows, start, limit).select("logical_index", "raw", "parsed"), {"invalid": invalid, "first": [r["error"] for r in first]}
-
-
-def keep_order(parsed: DataFrame) -> DataFrame:
-    """Dense index of rows that carry their split's place and a line number that rises within it."""
-    counts = parsed.groupBy("place").agg(F.count("*").alias("n")).orderBy("place").collect()
-    before = list(accumulate((r["n"] for r in counts), initial=0))
-    kind = T.StructType([parsed.schema["place"], T.StructField("__before", T.LongType())])
-    known = parsed.sparkSession.createDataFrame([(r["place"], n) for r, n in zip(counts, before, strict=False)], kind)
-    rank = F.row_number().over(Window.partitionBy("place").orderBy("__line"))
-    return parsed.withColumn("__rank", rank).join(F.broadcast(known), "place").withColumn("logical_index", F.col("__before") + F.col("__rank") - 1)
+    fields = [*lines.schema.fields, T.StructField("parsed", strictjson.ROW_TYPE), T.StructField("line", T.LongType()), T.StructField("rank", T.LongType())]
+    parsed = keep(lines.mapInArrow(counted_lines(strictjson.read_row, strictjson.ROW_TYPE), T.StructType(fields)))
+    index = keep(split_index(parsed, F.col("parsed.error").isNull()))
+    reached = index if limit is None else index.where(F.col("before_valid") < start + limit)
+    return at_place(parsed, reached, index.count()), index
+
+
+def invalid_lines(rows: DataFrame, index: DataFrame, start: int = 0, limit: int | None = None) -> DataFrame:
+    """(line_number, error, raw) of the lines that are no JSON, up to the window's last row; numbers count from 1."""
+    bad = rows.where("parsed.error is not null")
+    if limit is not None:
+        bad = bad.where(F.col("before_valid") + F.col("rank") < start + limit)
+    return bad.select((F.col("before_lines") + F.col("line") + 1).alias("line_number"), F.col("parsed.error").alias("error"), "raw")
+
+
+def ordered_lines(lines: DataFrame) -> DataFrame:
+    """Add ``logical_index`` to rows (raw, place) of a file scan, in the order of files."""
+    fields = [lines.schema["raw"], lines.schema["place"], T.StructField("parsed", _NO_ERROR), T.StructField("line", T.LongType()), T.StructField("rank", T.LongType())]
+    counted = keep(lines.select("raw", "place").mapInArrow(counted_lines(lambda _: {"error": None}, _NO_ERROR), T.StructType(fields)))
+    index = keep(split_index(counted, F.lit(True)))
+    return at_place(counted, index, index.count()).select("raw", (F.col("before_valid") + F.col("rank")).alias("logical_index"))
 
 
 def read_output(spark: SparkSession, paths: list[str]) -> DataFrame:
