@@ -50,6 +50,81 @@ def setting(spark, n=3):
     return samples, missing, missing.limit(0).withColumn("user", F.lit(""))
 
 
+def test_bitmaps_plan_as_rows_do(spark):
+    """Missing, accepted, pending and open samples against every expected task one by one."""
+    samples = spark.createDataFrame([(s,) for s in ("a", "a_q001", "b\n", "", "c", "d")], "sample_id string")
+    have = [("a_q000", "done"), ("a_q001", "generated"), ("a_q001_q001", "done"), ("b\n_q129", "generated"), ("b\n_q128", "done"), ("_q063", "generated"), ("_q064", "done"), ("a_q1", "done"), ("a_q0002", "done"), ("x_q000", "generated"), ("q", "done"), ("c_q1000", "done"), ("c_q1001", "done")]
+    have += [(f"d_q{i:03d}", "generated") for i in range(1200)]
+    merged = spark.createDataFrame(have, "task_id string, status string")
+    for variants in (1, 2, 64, 65, 130, 1001):
+        expected = resume.expected_tasks(samples, variants)
+        rows = lambda df: sorted(tuple(r) for r in df.select("task_id", "sample_id", "variant_index").collect())
+        assert rows(resume.missing(samples, merged, variants)) == rows(expected.join(merged, "task_id", "left_anti"))
+        assert rows(resume.accepted(samples, merged, variants)) == rows(expected.join(merged, "task_id"))
+        assert rows(resume.pending(samples, merged, variants)) == rows(expected.join(merged.where("status = 'generated'"), "task_id"))
+        counts = expected.join(merged, "task_id", "left_anti").groupBy("sample_id").count().collect()
+        assert {(r.sample_id, r.missing) for r in resume.open_samples(samples, merged, variants).collect()} == {tuple(r) for r in counts}
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a plan that has run were given."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, total = [plan], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_what_is_shuffled_does_not_follow_the_number_of_variants(spark):
+    samples = spark.range(400).select(F.concat(F.lit("s"), "id").alias("sample_id"))
+    merged = resume.expected_tasks(samples.where("sample_id like '%1'"), 2).select("task_id")
+    few, many = (shuffled_rows(resume.missing(samples, merged, v)) for v in (2, 60))
+    assert few == many
+
+
+def test_duplicates_of_one_crowded_norm(spark):
+    """First positions against plain Python, over several partitions, with nulls, taken norms and one norm of most rows."""
+    rows = [("g" if i % 3 else "h", i, "Same!" if i % 4 else f"own {i % 50}") for i in range(2000)] + [(None, 3000, "a"), (None, 3001, "A."), ("g", 3002, None), ("g", 3003, None), ("h", -1, "own 8")]
+    df = spark.createDataFrame(rows, "sample_id string, pos long, user string").repartition(7)
+    taken = spark.createDataFrame([("g", "own4"), ("g", "own4"), (None, "zz"), ("h", "own12")], "sample_id string, norm string")
+    for held in (None, taken):
+        got = {r.pos: (r.norm, r.is_duplicate) for r in candidates.dedup(df, "sample_id", "pos", "user", held).collect()}
+        seen = {(r.sample_id, r.norm) for r in held.collect()} if held is not None else set()
+        for g, pos, _ in sorted(rows, key=lambda r: r[1]):
+            assert got[pos][1] == ((g, got[pos][0]) in seen), (g, pos)
+            seen.add((g, got[pos][0]))
+    plan = candidates.dedup(df, "sample_id", "pos")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan
+
+
+def test_first_of_a_crowded_id(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 5 == 0, "").when(F.col("id") % 5 < 4, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("task_id"), F.struct((F.col("id") % 7).alias("a"), F.col("id").alias("b")).alias("line_no"))
+    got = exports.first_of_each_id(rows.repartition(5), "task_id", "line_no").collect()
+    first = min((r.line_no for r in rows.collect() if r.task_id == "hot"))
+    assert [r.line_no for r in got if r.task_id == "hot"] == [first] and len(got) == 600 + 1 + 600
+
+
+def test_samples_follow_ids_and_not_partitions(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("task_id"), F.col("id").alias("n"))
+    want = None
+    for parts, seed in ((1, 3), (9, 3), (4, 3), (4, 4)):
+        got = {r.n for r in exports.sample(rows.repartition(parts), 100, seed).collect()}
+        assert len(got) == 100
+        want = want or got
+        assert (got == want) == (seed == 3)
+    assert exports.sample(rows, 6000).count() == 5000 and exports.sample(rows, 0).count() == exports.sample(rows.limit(0)).count() == 0
+
+
 def replying(answer):
     """A transport from a Python function of sample id and prompt."""
     udf = F.udf(lambda s, p: answer(s, p), "content string, error string")

@@ -41,15 +41,19 @@ def norm_key(norm: Column) -> Column:
 def dedup(candidates: DataFrame, group: str, position: str, user: str = "user", taken: DataFrame | None = None) -> DataFrame:
     """Add norm and is_duplicate: the norm was taken (``taken``: group, norm) or has an earlier position in the group.
 
-    Grouping by group and norm, not by group alone, spreads a large group over all tasks; a digest of the norm is sent.
+    First positions are least values by group and norm (a digest of it), which tasks find for themselves before anything is
+    sent; only norms that occur more than once come back to the rows. So a norm that very many rows share is no sorted pile:
+    its rows are spread by the join as Spark splits them.
     """
     normed = candidates.withColumn("norm", X.norm(F.col(user))).withColumn("__norm", norm_key(F.col("norm")))
-    first = F.row_number().over(Window.partitionBy(group, "__norm").orderBy(position)) == 1
-    if taken is None:
-        return normed.withColumn("is_duplicate", ~first).drop("__norm")
-    known = taken.select(group, norm_key(F.col("norm")).alias("__norm")).distinct().withColumn("__taken", F.lit(True))
-    joined = normed.join(known, [group, "__norm"], "left")
-    return joined.withColumn("is_duplicate", ~first | F.coalesce("__taken", F.lit(False))).drop("__taken", "__norm")
+    first = normed.groupBy(F.col(group).alias("__group"), F.col("__norm").alias("__known")).agg(F.min(position).alias("__first"), F.count("*").alias("__rows"))
+    first = first.where("__rows > 1").drop("__rows").withColumn("__taken", F.lit(False))
+    if taken is not None:
+        held = taken.select(F.col(group).alias("__group"), norm_key(F.col("norm")).alias("__known")).distinct().withColumns({"__first": F.lit(None).cast(first.schema["__first"].dataType), "__taken": F.lit(True)})
+        first = first.unionByName(held).groupBy("__group", "__known").agg(F.min("__first").alias("__first"), F.max("__taken").alias("__taken"))
+    joined = normed.join(first, F.col(group).eqNullSafe(F.col("__group")) & F.col("__norm").eqNullSafe(F.col("__known")), "left")
+    twice = F.coalesce(F.col("__taken"), F.lit(False)) | F.coalesce(F.col(position) > F.col("__first"), F.lit(False))
+    return joined.withColumn("is_duplicate", twice).drop("__norm", "__group", "__known", "__first", "__taken")
 
 
 def ranked(rows: DataFrame, group: str, position: str, out: str) -> DataFrame:

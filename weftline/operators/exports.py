@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 
 
 def first_of_each_id(rows: DataFrame, tid: str, order: str) -> DataFrame:
-    """The first row of each id; rows with a blank id all stay (and are spread by their order, not gathered)."""
-    blank = F.col(tid) == ""
-    rank = F.row_number().over(Window.partitionBy(tid, F.when(blank, F.col(order))).orderBy(order))
-    return rows.withColumn("__rank", rank).where(blank | (F.col("__rank") == 1)).drop("__rank")
+    """The first row of each id by ``order``, which no two rows share; rows with a blank id all stay.
+
+    First places are least values by id, found by each task for itself before they are sent; only ids that occur more than once
+    come back to the rows.
+    """
+    named = rows.where(F.col(tid) != "").groupBy(F.col(tid).alias("__id")).agg(F.min(order).alias("__first"), F.count("*").alias("__rows"))
+    several = named.where("__rows > 1").drop("__rows")
+    return rows.join(several, F.col(tid) == F.col("__id"), "left").where(F.col("__id").isNull() | (F.col(order) == F.col("__first"))).drop("__id", "__first")
 
 
 def export_assistant(split: Column, assistant: Column, expected: Column) -> Column:
@@ -57,6 +61,12 @@ def reference_answers(rows: DataFrame, tid: str = "task_id", order: str = "line_
     return kept.select(tid, *named, user.alias("user"), F.col("ref_answer").alias("assistant"), F.concat(F.lit("User: "), user, F.lit("\nAssistant: "), F.col("ref_answer")).alias("text"))
 
 
-def sample(rows: DataFrame, n: int = 8000, seed: int = 0) -> DataFrame:
-    """n rows without replacement, by a seeded random order (top n by task, then of all)."""
-    return rows.withColumn("__r", F.rand(seed)).orderBy("__r").limit(n).drop("__r")
+def sample(rows: DataFrame, n: int = 8000, seed: int = 0, tid: str = "task_id") -> DataFrame:
+    """The n rows whose ids have the least hashes: the same for any partitioning, and of any cluster.
+
+    Each task keeps the n least of its hashes, one task the n least of these; the rows themselves are then told by the nth. Rows
+    of one id are drawn together, so a repeated id at the end makes a few more.
+    """
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(tid), F.lit(""))).cast("binary"))
+    last = rows.select(drawn.alias("__h")).orderBy("__h").limit(n).agg(F.max("__h")).first()[0]
+    return rows.where(drawn <= F.lit(last)) if last is not None else rows.limit(0)

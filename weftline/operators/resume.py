@@ -35,20 +35,58 @@ def expected_tasks(samples: DataFrame, variants: int, keep: tuple[str, ...] = ("
     return each.withColumn("task_id", task_id(F.col("sample_id"), F.col("variant_index")))
 
 
-def missing(expected: DataFrame, merged: DataFrame) -> DataFrame:
-    return expected.join(merged.select("task_id"), "task_id", "left_anti")
+def task_place(task: Column) -> tuple[Column, Column]:
+    """(sample_id, variant_index) of a task's id; nulls for what is no such id."""
+    pattern = r"(?s)\A(.*)_q([0-9]{3}|[1-9][0-9]{3,8})\z"
+    fits = task.rlike(pattern)
+    return F.when(fits, F.regexp_extract(task, pattern, 1)), F.when(fits, F.regexp_extract(task, pattern, 2).cast("int"))
 
 
-def accepted(expected: DataFrame, merged: DataFrame) -> DataFrame:
+def _placed(merged: DataFrame, variants: int) -> DataFrame:
+    """Rows of tasks that could be expected, with sample_id and variant_index."""
+    sample, index = task_place(F.col("task_id"))
+    return merged.withColumns({"sample_id": sample, "variant_index": index}).where(F.col("variant_index") < variants)
+
+
+#: Variants in a word of a sample's bitmap.
+BITS = 64
+
+
+def taken_bits(merged: DataFrame, variants: int) -> DataFrame:
+    """(sample_id, taken): a bit for each variant that earlier runs have, in words of ``BITS``. A row a sample and task before
+    the shuffle, however many variants there are."""
+    words = range(-(-variants // BITS))
+    index = F.col("variant_index")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), index % BITS)
+    held = [F.coalesce(F.bit_or(F.when(F.floor(index / BITS) == w, bit)), F.lit(0).cast("long")) for w in words]
+    return _placed(merged.select("task_id"), variants).groupBy("sample_id").agg(F.array(*held).alias("taken"))
+
+
+def _with_taken(samples: DataFrame, merged: DataFrame, variants: int) -> DataFrame:
+    none = F.array(*[F.lit(0).cast("long") for _ in range(-(-variants // BITS))])
+    return samples.join(taken_bits(merged, variants), "sample_id", "left").withColumn("taken", F.coalesce("taken", none))
+
+
+def missing(samples: DataFrame, merged: DataFrame, variants: int, keep: tuple[str, ...] = ("sample_id",)) -> DataFrame:
+    """(keep, variant_index, task_id) of each sample's variants that earlier runs don't have: the complement of its bitmap,
+    taken in place, so that only what is missing becomes rows."""
+    absent = F.filter(F.sequence(F.lit(0), F.lit(variants - 1)), lambda v: F.getbit(F.get("taken", F.floor(v / BITS).cast("int")), v % BITS) == 0)
+    each = _with_taken(samples, merged, variants).select(*keep, F.explode(absent).alias("variant_index"))
+    return each.withColumn("task_id", task_id(F.col("sample_id"), F.col("variant_index")))
+
+
+def accepted(samples: DataFrame, merged: DataFrame, variants: int) -> DataFrame:
     """Tasks that earlier runs have, with their rows; rows of no expected task fall away."""
-    return expected.join(merged, "task_id")
+    found = _placed(merged, variants).join(samples.select("sample_id"), "sample_id")
+    return found.select("task_id", "sample_id", "variant_index", *[c for c in merged.columns if c != "task_id"])
 
 
-def pending(expected: DataFrame, merged: DataFrame) -> DataFrame:
+def pending(samples: DataFrame, merged: DataFrame, variants: int) -> DataFrame:
     """Accepted tasks that still want an answer."""
-    return accepted(expected, merged.where(checked_status(F.col("status")) == "generated"))
+    return accepted(samples, merged.where(checked_status(F.col("status")) == "generated"), variants)
 
 
-def open_samples(missing_tasks: DataFrame) -> DataFrame:
-    """Samples with at least one missing variant, and how many."""
-    return missing_tasks.groupBy("sample_id").agg(F.count("*").alias("missing"))
+def open_samples(samples: DataFrame, merged: DataFrame, variants: int) -> DataFrame:
+    """Samples with at least one missing variant, and how many; no variant becomes a row."""
+    held = F.aggregate("taken", F.lit(0), lambda n, word: n + F.bit_count(word))
+    return _with_taken(samples, merged, variants).groupBy("sample_id").agg(F.sum(F.lit(variants) - held).alias("missing")).where("missing > 0")

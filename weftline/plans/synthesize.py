@@ -47,8 +47,8 @@ def synthesize(spark: SparkSession, config: Config, generate, validate, ask, kee
     sinks.prepare(earlier, paths, config.resume)
     merged = keep(resume.merge(earlier, PAYLOAD))
     resume.status_counts(merged).collect()  # a bad status stops the run here
-    expected = keep(resume.expected_tasks(samples, config.variant_count))
-    read = resume.pending(expected, merged).withColumn("item", item_answer("generated_item_json"))
+    wanted = samples.select("sample_id")
+    read = resume.pending(wanted, merged, config.variant_count).withColumn("item", item_answer("generated_item_json"))
     known = F.when(F.col("item.error").isNull(), F.col("item.answer")).otherwise(F.raise_error(F.concat("task_id", F.lit(": "), "item.error")))
     pending = keep(read.withColumn("expected_answer", known).drop("item"))  # an item that cannot be read stops the run here
     counts |= {"samples": total, "total_tasks": total * config.variant_count, "resumed_generated": pending.count()}
@@ -66,9 +66,9 @@ def synthesize(spark: SparkSession, config: Config, generate, validate, ask, kee
 
     if counts["resumed_generated"]:
         answered(pending, counts["resumed_generated"])
-    missing = resume.missing(expected, merged)
+    missing = resume.missing(wanted, merged, config.variant_count)
     plan = Rounds(P.load_profile(config.profile_path, config.validate_generated_questions), generate, validate if config.validate_generated_questions else None, config.generation_attempts, keep)
-    tasks, outcomes = run_rounds(samples, missing, resume.accepted(expected, merged).select("sample_id", "variant_index", "user"), plan)
+    tasks, outcomes = run_rounds(samples, missing, resume.accepted(wanted, merged, config.variant_count).select("sample_id", "variant_index", "user"), plan)
     tasks = keep(tasks)
     made = tasks.select("task_id", F.lit("generated").alias("status"), "user", "generated_item_json", *[F.lit("").alias(n) for n in ("answer_model", "assistant", "text")])
     sinks.append_rows(made, paths["generate"])

@@ -174,9 +174,10 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.merge(fixture(spark, sf_dir, "fx4"), ["user_text", "answer", "assistant"], key="tid")
 
 
-def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = fixture(spark, sf_dir, "fx1").select(F.concat_ws("_", "task_id", "sample_index").alias("sample_id"))
-    return resume.expected_tasks(fx, 3)
+def _planned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """Samples, what earlier runs have of them, and the variants of each."""
+    samples = fixture(spark, sf_dir, "fx1").select(F.concat_ws("_", "task_id", "sample_index").alias("sample_id"))
+    return samples, _merged(spark, sf_dir).withColumnRenamed("tid", "task_id"), 3
 
 
 @query("resume_merge", _MERGED + " SELECT * FROM merged", "fx4")
@@ -191,22 +192,22 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("resume_plan_missing", _MERGED + _EXPECTED + " SELECT task_id, sample_id, variant_index FROM expected WHERE task_id NOT IN (SELECT tid FROM merged)", "fx4")
 def resume_plan_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume.missing(_expected(spark, sf_dir), _merged(spark, sf_dir).withColumnRenamed("tid", "task_id"))
+    return resume.missing(*_planned(spark, sf_dir))
 
 
 @query("resume_plan_pending", _MERGED + _EXPECTED + " SELECT task_id, sample_id, variant_index, user_text FROM expected JOIN merged ON tid = task_id WHERE status = 'generated'", "fx4")
 def resume_plan_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume.pending(_expected(spark, sf_dir), _merged(spark, sf_dir).withColumnRenamed("tid", "task_id")).select("task_id", "sample_id", "variant_index", "user_text")
+    return resume.pending(*_planned(spark, sf_dir)).select("task_id", "sample_id", "variant_index", "user_text")
 
 
 @query("resume_plan_accepted", _MERGED + _EXPECTED + " SELECT task_id, sample_id, variant_index, status FROM expected JOIN merged ON tid = task_id", "fx4")
 def resume_plan_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume.accepted(_expected(spark, sf_dir), _merged(spark, sf_dir).withColumnRenamed("tid", "task_id")).select("task_id", "sample_id", "variant_index", "status")
+    return resume.accepted(*_planned(spark, sf_dir)).select("task_id", "sample_id", "variant_index", "status")
 
 
 @query("open_samples", _MERGED + _EXPECTED + " SELECT sample_id, count(*) AS missing FROM expected WHERE task_id NOT IN (SELECT tid FROM merged) GROUP BY sample_id", "fx4")
 def open_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resume.open_samples(resume_plan_missing(spark, sf_dir))
+    return resume.open_samples(*_planned(spark, sf_dir))
 
 
 _CANDIDATE = "CASE pos % 11 WHEN 0 THEN '  ' WHEN 3 THEN 'Assistant: ' || user_text WHEN 5 THEN 'Source, text!' ELSE user_text END"
