@@ -60,7 +60,7 @@ def test_output_rows(spark, tmp_path):
     paths = sinks.layout(f"{tmp_path}/run/train.jsonl")
     assert paths["failed"].endswith("run/train/done/failed.jsonl")
     rows = spark.createDataFrame([("t1", "done", "", "", "m", "a", "")], ", ".join(f"{n} string" for n in scans.OUTPUT_FIELDS))
-    sinks.prepare(rows, paths, resume=False)
+    sinks.prepare(spark, paths, resume=False)
     sinks.append_routed(rows.withColumn("correct", F.lit(True)), paths)
     text = "".join(p.read_text() for p in (tmp_path / "run/train/done/success.jsonl").rglob("*.json"))
     assert json.loads(text) == {"task_id": "t1", "status": "done", "answer_model": "m", "assistant": "a"}

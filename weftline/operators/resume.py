@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from weftline.functions.text import task_id, trim
 
 
-def merge(rows: DataFrame, fields: list[str], key: str = "task_id", status: str = "status", order: tuple[str, ...] = ("file_rank", "line_no")) -> DataFrame:
+def merge(rows: DataFrame, fields: list[str], key: str | list[str] = "task_id", status: str = "status", order: tuple[str, ...] = ("file_rank", "line_no")) -> DataFrame:
     """One row for each key: the last status, and of each field the last value that is not ''.
 
     One shuffle; partial aggregates keep a row for each key and task, so a key with very many rows is no burden.
     """
     at = F.struct(*order)
     last = [F.coalesce(F.max_by(F.when(F.col(f) != "", F.col(f)), F.when(F.col(f) != "", at)), F.lit("")).alias(f) for f in fields]
-    return rows.groupBy(key).agg(F.max_by(status, at).alias(status), *last)
+    return rows.groupBy(*([key] if isinstance(key, str) else key)).agg(F.max_by(status, at).alias(status), *last)
 
 
 def checked_status(status: Column) -> Column:

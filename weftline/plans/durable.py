@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +28,11 @@ def keep(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def counted(df: DataFrame, save: Callable[[DataFrame], DataFrame], **what: Column) -> tuple[DataFrame, dict[str, int]]:
+    """What ``save`` (which must compute all rows, as ``keep`` does) makes of the rows, and aggregates of them that were taken
+    on the way, without a job of their own."""
+    seen = Observation()
+    saved = save(df.observe(seen, *[c.alias(n) for n, c in what.items()]))
+    return saved, {n: seen.get[n] for n in what}

@@ -501,7 +501,7 @@ def resume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = sinks.layout(f"{_scratch(spark, 'run')}/train.jsonl")
     blank = [F.lit("").alias(n) for n in ("answer_model", "text")]
     rows = fixture(spark, sf_dir, "fx4").select(F.col("tid").alias("task_id"), "status", F.col("user_text").alias("user"), F.col("answer").alias("generated_item_json"), "assistant", *blank, "file_rank", "line_no")
-    sinks.prepare(rows, paths, resume=False)
+    sinks.prepare(spark, paths, resume=False)
     middle = rows.agg(F.expr("percentile_approx(line_no, 0.5)")).first()[0] or 0
     for half in (F.col("line_no") <= middle, F.col("line_no") > middle):
         for rank, path in enumerate(paths.values()):

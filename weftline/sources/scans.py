@@ -12,13 +12,12 @@ from weftline.functions import strictjson
 from weftline.functions import text as X
 from weftline.plans.durable import keep
 from weftline.sources import arrays
+from weftline.sources.commits import APPEND, committed_rows, exists, folders_of
 from weftline.sources.fileindex import at_place, counted_lines, split_index
 
 #: Columns of the engine's own rows; '' stands for absent.
 OUTPUT_FIELDS = ("task_id", "status", "user", "generated_item_json", "answer_model", "assistant", "text")
 SHOWN_ERRORS = 5
-#: Name of an append's folder, before its number.
-APPEND = "append-"
 _NO_ERROR = T.StructType([T.StructField("error", T.StringType())])
 #: Where a line stands (see ``file_place``).
 LINE = T.StructType([T.StructField(n, T.StringType() if n == "path" else T.LongType()) for n in ("append", "part", "path", "start", "line")])
@@ -32,14 +31,28 @@ def sniff(spark: SparkSession, path: str) -> str:
     return "array" if head["value"].lstrip(" \t\n\x0b\x0c\r").startswith("[") else "lines"
 
 
-def file_place() -> list[Column]:
-    """Where a row of a file scan stands: append and part number (0 where a file's path has none), path, start of the split.
+def file_place(numbers: dict[str, int] | None = None) -> list[Column]:
+    """Where a row of a file scan stands: the number of its append (``numbers``: by folder; 0 without them) and part (0 where
+    a file's path has none), path, start of the split.
 
     Spark packs splits into tasks by size, so a task's number says nothing about the order of files.
     """
     path = F.col("_metadata.file_path")
-    number = lambda pattern: F.coalesce(F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).cast("long"), F.lit(0).cast("long"))
-    return [number(rf"/{APPEND}(\d+)/[^/]*\z").alias("append"), number(r"/part-(\d+)-[^/]*\z").alias("part"), path.alias("path"), F.col("_metadata.file_block_start").alias("start")]
+    append = F.lit(0).cast("long")
+    if numbers:
+        known = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+        append = F.element_at(known, F.regexp_extract(path, rf"/({APPEND}[0-9a-f]{{32}})/", 1)).cast("long")
+    part = F.coalesce(F.nullif(F.regexp_extract(path, r"/part-(\d+)-[^/]*\z", 1), F.lit("")).cast("long"), F.lit(0).cast("long"))
+    return [append.alias("append"), part.alias("part"), path.alias("path"), F.col("_metadata.file_block_start").alias("start")]
+
+
+def lines_of(spark: SparkSession, path: str, after: int = 0) -> tuple[list[str], list[Column]]:
+    """What to read of a path, and where its rows stand: folders that a commit names (``after``: commits with a greater number
+    only), or, where the path was not written by this engine, all files. Nothing for a missing path."""
+    folders = folders_of(spark, path, after)
+    if folders is None:
+        return ([path] if exists(spark, path) else []), file_place()
+    return [f"{path}/{f}" for f in folders], file_place(folders)
 
 
 def dense_index(df: DataFrame, out: str = "logical_index") -> DataFrame:
@@ -108,22 +121,23 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
     return at_place(counted, index, index.count()).select("raw", (F.col("before_valid") + F.col("rank")).alias("logical_index"))
 
 
-def read_output(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_output(spark: SparkSession, paths: list[str], after: dict[str, int] | None = None) -> DataFrame:
     """The engine's rows from files in a fixed order, with file_rank and line_no (appends in their order, and in each the lines
-    in theirs); a missing file counts as empty.
+    in theirs); a missing file counts as empty. ``after``: per path, appends with a greater number only.
 
     ``rewritten_user`` is read as ``user``; a bad line, or one without task_id or status, fails the read.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*OUTPUT_FIELDS, "rewritten_user")])
     parts = []
     for rank, path in enumerate(paths):
-        if not exists(spark, path):
+        files, place = lines_of(spark, path, (after or {}).get(path, 0))
+        if not files:
             continue
-        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path, mode="FAILFAST")
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(files, mode="FAILFAST")
         checked = [F.when(F.col(n).isNull(), F.raise_error(F.lit(f"a row without {n}"))).otherwise(F.col(n)).alias(n) for n in ("task_id", "status")]
         user = F.coalesce("user", "rewritten_user", F.lit("")).alias("user")
         rest = [F.coalesce(n, F.lit("")).alias(n) for n in OUTPUT_FIELDS[3:]]
-        line = F.struct(*file_place(), F.monotonically_increasing_id().alias("line"))
+        line = F.struct(*place, F.monotonically_increasing_id().alias("line"))
         parts.append(rows.select(*checked, user, *rest, F.lit(rank).alias("file_rank"), line.alias("line_no")))
     if not parts:
         fields = [T.StructField(n, T.StringType()) for n in OUTPUT_FIELDS]
@@ -134,31 +148,16 @@ def read_output(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, by the file system that Spark would use."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def appends(spark: SparkSession, path: str) -> int:
-    """The number of the last append under a path; 0 if there is none."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return max((int(n[len(APPEND) :]) for n in names if n.startswith(APPEND) and n[len(APPEND) :].isdigit()), default=0)
-
-
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Rows of finished runs for the exports: text fields ('' for what is no text), expected_answer, and line_no.
 
     Blank lines are passed over, a missing path gives no rows, a line that is no JSON object stops the read.
     """
-    if not exists(spark, path):
+    files, place = lines_of(spark, path)
+    if not files:
         return spark.createDataFrame([], T.StructType([*strictjson.RECORD_TYPE.fields[:-1], T.StructField("line_no", LINE)]))
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    kept = lines.select("value", F.struct(*file_place(), F.monotonically_increasing_id().alias("line")).alias("line_no")).where(X.strip(F.col("value")) != "")
+    lines = spark.read.option("recursiveFileLookup", "true").text(files)
+    kept = lines.select("value", F.struct(*place, F.monotonically_increasing_id().alias("line")).alias("line_no")).where(X.strip(F.col("value")) != "")
     read = kept.select(strictjson.parse_record("value").alias("r"), "line_no")
     wrong = F.raise_error(F.concat(F.lit("invalid line: "), F.col("r.error")))
     first = F.when(F.col("r.error").isNotNull(), wrong).otherwise(F.col("r.task_id")).alias("task_id")
@@ -166,9 +165,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def line_counts(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, lines) of written files."""
-    out = None
-    for path in paths:
+    """(path, lines) of written files: by their manifests where they have them, else counted."""
+    known = {p: committed_rows(spark, p) for p in paths}
+    said = spark.createDataFrame([(p, n) for p, n in known.items() if n is not None], "path string, lines long")
+    rest = [p for p in paths if known[p] is None]
+    for path in rest:
         one = spark.read.option("recursiveFileLookup", "true").text(path).agg(F.count("*").alias("lines")).select(F.lit(path).alias("path"), "lines")
-        out = one if out is None else out.unionByName(one)
-    return out
+        said = said.unionByName(one)
+    return said
