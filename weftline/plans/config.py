@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tomllib
 from dataclasses import dataclass, field, fields
 
@@ -94,7 +95,7 @@ def parse(text: str, base: str = ".") -> Config:
         raise ValueError("answer_models is required")
     values["answer_models"] = [_model(m) for m in raw["answer_models"]]
     for name in PATHS:
-        if values.get(name) and "://" not in values[name]:
+        if values.get(name) and not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", values[name]):  # a path, not a file system's own name
             values[name] = os.path.join(base, values[name])
     config = Config(**values)
     for name in ("variant_count", "generation_attempts"):

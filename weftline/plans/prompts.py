@@ -70,25 +70,25 @@ def feedback_block(feedback: Column) -> Column:
     return F.coalesce(F.concat(F.lit(FEEDBACK_BEFORE), feedback, F.lit(FEEDBACK_AFTER)), F.lit(""))
 
 
-def _quoted(c: Column) -> Column:
+def quoted(c: Column) -> Column:
     """A JSON string literal."""
     inner = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)\A\{"v":(".*")\}\z', 1)
     return F.when(c.isNull(), F.lit("null")).otherwise(inner)
 
 
 def source_json(sample_id: Column, user: Column, meta: Column) -> Column:
-    return F.concat(F.lit('{\n  "meta": '), meta, F.lit(',\n  "sample_id": '), _quoted(sample_id), F.lit(',\n  "user": '), _quoted(user), F.lit("\n}"))
+    return F.concat(F.lit('{\n  "meta": '), meta, F.lit(',\n  "sample_id": '), quoted(sample_id), F.lit(',\n  "user": '), quoted(user), F.lit("\n}"))
 
 
 def accepted_json(users: Column) -> Column:
     """users: an ordered array of strings."""
-    items = F.transform(users, lambda u: F.concat(F.lit('  {\n    "user": '), _quoted(u), F.lit("\n  }")))
+    items = F.transform(users, lambda u: F.concat(F.lit('  {\n    "user": '), quoted(u), F.lit("\n  }")))
     return F.when(F.size(users) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit("\n]")))
 
 
 def candidates_json(items: Column) -> Column:
     """items: an ordered array of structs index, user, answer, meta."""
-    one = lambda i: F.concat(F.lit('  {\n    "answer": '), _quoted(i["answer"]), F.lit(',\n    "index": '), i["index"].cast("string"), F.lit(',\n    "meta": '), F.coalesce(i["meta"], F.lit("null")), F.lit(',\n    "user": '), _quoted(i["user"]), F.lit("\n  }"))
+    one = lambda i: F.concat(F.lit('  {\n    "answer": '), quoted(i["answer"]), F.lit(',\n    "index": '), i["index"].cast("string"), F.lit(',\n    "meta": '), F.coalesce(i["meta"], F.lit("null")), F.lit(',\n    "user": '), quoted(i["user"]), F.lit("\n  }"))
     return F.concat(F.lit("[\n"), F.array_join(F.transform(items, one), ",\n"), F.lit("\n]"))
 
 

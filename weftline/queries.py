@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +115,7 @@ def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", X.preview(F.col("text"), 120).alias("preview"))
 
 
+_ASKED = "trim(replace(replace(context, 'User:', 'user'), 'Assistant:', 'reply'))"
 _LEAD = "CASE WHEN logical_index % 2 = 0 THEN 'You are a very talented expert in math.  ' ELSE '' END || 'You are a very talented expert in law. ' || context"
 
 
@@ -269,37 +271,27 @@ def allocate_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.allocate(found.where("not is_duplicate"), missing).select("sample_id", "pos", "variant_index")
 
 
-@query("feedback_message", f""", reasons AS (SELECT sample_id, pos % 3 AS stage, pos, '#' || pos || ' rejected' AS reason FROM fx2 WHERE pos % 4 = 1),
+@query("feedback_message_all", f""", reasons AS (SELECT sample_id, pos % 3 AS stage, pos, '#' || pos || ' rejected' AS reason FROM fx2),
     r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY stage, pos) AS k FROM reasons)
     SELECT sample_id, '{candidates.FEEDBACK_LEAD}' || string_agg(reason, '{candidates.FEEDBACK_JOIN}' ORDER BY k) FILTER (WHERE k <= 8) AS feedback, count(*) AS rejected FROM r GROUP BY sample_id""", "fx2")
-def feedback_message(spark: SparkSession, sf_dir: str, rows: str = "pos % 4 = 1") -> DataFrame:
-    reasons = fixture(spark, sf_dir, "fx2").where(rows).select("sample_id", (F.col("pos") % 3).alias("stage"), "pos", F.concat(F.lit("#"), F.col("pos").cast("string"), F.lit(" rejected")).alias("reason"))
-    return candidates.feedback(reasons, "sample_id")
-
-
-@query("feedback_message_all", ORACLE_SQL["feedback_message"].replace(" WHERE pos % 4 = 1", ""))
 def feedback_message_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As feedback_message, with a reason for every row of fx2."""
-    return feedback_message(spark, sf_dir, "true")
+    """A reason for every row of fx2."""
+    reasons = fixture(spark, sf_dir, "fx2").select("sample_id", (F.col("pos") % 3).alias("stage"), "pos", F.concat(F.lit("#"), F.col("pos").cast("string"), F.lit(" rejected")).alias("reason"))
+    return candidates.feedback(reasons, "sample_id")
 
 
-@query("validator_permutation_check", """, v AS (SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY pos) - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n FROM fx2 WHERE pos % 10 = 0),
+@query("validator_permutation_check_all", """, v AS (SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY pos) - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS n FROM fx2),
     w AS (SELECT sample_id, n, CASE WHEN substr(sample_id, 4) IN ('1', '5') AND i = 0 THEN n WHEN substr(sample_id, 4) IN ('2', '7') AND i = 0 AND n > 1 THEN 1 ELSE i END AS i FROM v)
     SELECT sample_id, any_value(n) AS n, CASE WHEN max(i) >= any_value(n) THEN 'validator returned out-of-range item index' WHEN count(DISTINCT i) < count(*) THEN 'validator returned duplicate item index' END AS fault FROM w GROUP BY sample_id""", "fx2")
-def validator_permutation_check(spark: SparkSession, sf_dir: str, rows: str = "pos % 10 = 0") -> DataFrame:
-    at = candidates.ranked(fixture(spark, sf_dir, "fx2").where(rows), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
+def validator_permutation_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every row of fx2."""
+    at = candidates.ranked(fixture(spark, sf_dir, "fx2"), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
     sizes = at.groupBy("sample_id").agg(F.count("*").alias("n"))
     key = F.substring("sample_id", 4, 10)
     wrong = F.when(key.isin("1", "5") & (F.col("i") == 0), F.col("n")).when(key.isin("2", "7") & (F.col("i") == 0) & (F.col("n") > 1), 1).otherwise(F.col("i"))
     return candidates.verdict_faults(at.join(sizes, "sample_id").select("sample_id", wrong.alias("index")), sizes, "sample_id")
 
 
-@query("validator_permutation_check_all", ORACLE_SQL["validator_permutation_check"].replace(" WHERE pos % 10 = 0", ""))
-def validator_permutation_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As validator_permutation_check, with a verdict for every row of fx2."""
-    return validator_permutation_check(spark, sf_dir, "true")
-
-
 @query("run_summary", f"SELECT count(*) FILTER (WHERE NOT s AND c) AS success, count(*) FILTER (WHERE NOT s AND NOT c) AS failed, count(*) FILTER (WHERE s) AS skipped FROM (SELECT {sql_correct('expected', 'assistant')} AS c, l_partkey % 10 = 0 AS s FROM fx5) t", "fx5")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grading.answer_stats(grading.grade(fixture(spark, sf_dir, "fx5")), F.col("l_partkey") % 10 == 0)
@@ -341,15 +333,19 @@ def export_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.done_training(rows.select("status", "assistant", F.when(odd, F.col("user_text")).alias("user"), F.when(~odd, F.col("user_text")).alias("rewritten_user")))
 
 
-@query("export_ref_answer", r""" SELECT task_id, trim_user AS "user", ref AS assistant, 'User: ' || trim_user || chr(10) || 'Assistant: ' || ref AS text FROM (SELECT tid AS task_id, arg_max(user_text, line_no) AS u, regexp_replace(regexp_replace(u, '\A\s+', ''), '\s+\z', '') AS trim_user, arg_max(expected_answer || CASE WHEN line_no % 6 = 0 THEN 'x' ELSE '' END, line_no) AS ref FROM fx6 GROUP BY tid) t WHERE u <> '' AND regexp_full_match(ref, '[ABCD]')""", "fx6")
+_REFERENCE = r""" SELECT task_id, trim_user AS "user", ref AS assistant, 'User: ' || trim_user || chr(10) || 'Assistant: ' || ref AS text FROM (SELECT tid AS task_id, arg_max(user_text, line_no) AS u, regexp_replace(regexp_replace(u, '\A\s+', ''), '\s+\z', '') AS trim_user, arg_max(expected_answer || CASE WHEN line_no % 6 = 0 THEN 'x' ELSE '' END, line_no) AS ref FROM fx6 GROUP BY tid) t WHERE u <> '' AND regexp_full_match(ref, '[ABCD]')"""
+
+
+@query("export_ref_answer", _REFERENCE, "fx6")
 def export_ref_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = F.concat("expected_answer", F.when(F.col("line_no") % 6 == 0, "x").otherwise(""))
     return exports.reference_answers(fixture(spark, sf_dir, "fx6").select(F.col("tid").alias("task_id"), F.col("user_text").alias("user"), ref.alias("ref_answer"), "line_no"))
 
 
-@query("export_ref_sample")
+@query("export_ref_sample", f""" SELECT * FROM ({_REFERENCE}) t QUALIFY row_number() OVER (ORDER BY md5('7:' || task_id)) <= 150""", "fx6")
 def export_ref_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports.sample(export_ref_answer(spark, sf_dir), 8000, seed=7)
+    """A seeded random subset of the reference answers."""
+    return exports.sample(export_ref_answer(spark, sf_dir), 150, seed=7)
 
 
 @query("merge_output", f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_suppkey % 3 = 0 THEN {sql_trim('assistant')} WHEN l_suppkey % 3 = 1 THEN '<think>' || chr(10) || expected || chr(10) || '</think>' ELSE '<think>' || chr(10) || expected || chr(10) || '</think>' || chr(10) || chr(10) || {sql_trim('assistant')} END AS merged FROM fx5", "fx5")
@@ -367,37 +363,44 @@ def answer_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PROFILE = prompts.load_profile()
 
 
+_USERS = "list_filter([context, 'v' || sample_index, ref_answer], lambda x, i: i <= logical_index % 4)"
+_ACCEPTED = f"""CASE WHEN logical_index % 4 = 0 THEN '[]' ELSE '[' || chr(10) || array_to_string(list_transform({_USERS}, lambda x: '  {{' || chr(10) || '    "user": ' || to_json(x) || chr(10) || '  }}'), ',' || chr(10)) || chr(10) || ']' END"""
+
+
 @query("generation_prompt", f"""SELECT logical_index, replace(replace(replace(replace(replace({q(_PROFILE.generation)}, '{{{{profile_name}}}}', '{_PROFILE.name}'), '{{{{variant_count}}}}', '3'),
-    '{{{{source_sample_json}}}}', '{{' || chr(10) || '  "meta": {{}},' || chr(10) || '  "sample_id": "' || task_id || '",' || chr(10) || '  "user": "u' || sample_index || '"' || chr(10) || '}}'), '{{{{accepted_samples_json}}}}', '[]'),
+    '{{{{source_sample_json}}}}', '{{' || chr(10) || '  "meta": {{}},' || chr(10) || '  "sample_id": "' || task_id || '",' || chr(10) || '  "user": ' || to_json(context) || chr(10) || '}}'), '{{{{accepted_samples_json}}}}', {_ACCEPTED}),
     '{{{{feedback_block}}}}', CASE WHEN logical_index % 2 = 0 THEN {q(prompts.FEEDBACK_BEFORE)} || 'why' || {q(prompts.FEEDBACK_AFTER)} ELSE '' END) AS prompt FROM fx1""", "fx1")
 def generation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = prompts.source_json(F.col("task_id").cast("string"), F.concat(F.lit("u"), F.col("sample_index").cast("string")), F.lit("{}"))
+    source = prompts.source_json(F.col("task_id").cast("string"), F.col("context"), F.lit("{}"))
     why = F.when(F.col("logical_index") % 2 == 0, "why")
-    made = prompts.generation_prompt(_PROFILE, F.lit(3), source, prompts.accepted_json(F.array().cast("array<string>")), why)
+    users = F.slice(F.array("context", F.concat(F.lit("v"), F.col("sample_index").cast("string")), "ref_answer"), 1, (F.col("logical_index") % 4).cast("int"))
+    made = prompts.generation_prompt(_PROFILE, F.lit(3), source, prompts.accepted_json(users), why)
     return fixture(spark, sf_dir, "fx1").select("logical_index", made.alias("prompt"))
 
 
-_RESPONSES = """CASE pos % 4 WHEN 0 THEN 'Sure: ```json {"items":[{"user":"v' || pos || '","answer":"A"}]} ``` done' WHEN 1 THEN '{"items":[{"user":"a {brace","answer":"B","meta":{"k":1.0}}]}'
-    WHEN 2 THEN '{"items":[{"user":"v","answer":3}]}' ELSE 'no json' END"""
-
-
-@query("json_extract", """SELECT pos, CASE pos % 4 WHEN 0 THEN 'v' || pos WHEN 1 THEN 'a {brace' END AS "user", CASE pos % 4 WHEN 0 THEN 'null' WHEN 1 THEN '{"k":1.0}' END AS meta, pos % 4 > 1 AS failed FROM fx2""", "fx2")
+@query("json_extract", """SELECT pos, CASE pos % 4 WHEN 0 THEN user_text WHEN 1 THEN 'a {brace ' || user_text END AS "user", CASE pos % 4 WHEN 0 THEN 'null' WHEN 1 THEN '{"k":1.0,"t":' || to_json(sample_id) || '}' END AS meta, pos % 4 > 1 AS failed FROM fx2""", "fx2")
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = fixture(spark, sf_dir, "fx2").select("pos", strictjson.parse_items(F.expr(_RESPONSES)).alias("p"))
+    """Responses with the row's text inside a fence, as plain JSON with a brace in a string, with a number for an answer, and with no JSON."""
+    text, kind = F.col("user_text"), F.col("pos") % 4
+    said = F.when(kind == 0, F.concat(F.lit('Sure: ```json {"items":[{"user":'), prompts.quoted(text), F.lit(',"answer":"A"}]} ``` done')))
+    said = said.when(kind == 1, F.concat(F.lit('{"items":[{"user":'), prompts.quoted(F.concat(F.lit("a {brace "), text)), F.lit(',"answer":"B","meta":{"t":'), prompts.quoted(F.col("sample_id")), F.lit(',"k":1.0}}]}')))
+    said = said.when(kind == 2, F.concat(F.lit('{"items":[{"user":'), prompts.quoted(text), F.lit(',"answer":3}]}'))).otherwise(F.replace(text, F.lit("{"), F.lit("(")))
+    read = fixture(spark, sf_dir, "fx2").select("pos", strictjson.parse_items(said).alias("p"))
     first = F.try_element_at("p.items", F.lit(1))
     return read.select("pos", first["user"].alias("user"), first["meta"].alias("meta"), F.col("p.error").isNotNull().alias("failed"))
 
 
 #: What the recorded validator does with a sample's first variant; any other kind is valid.
 REFUSED, OUT_OF_RANGE, UNREADABLE = 0, 1, 2
+_KIND = "CAST(('0x' || substr(md5(sample_id), 1, 4)) AS BIGINT) % 6 AS kind"
+_SAMPLED = f", sampled AS (SELECT sample_id, {_KIND} FROM (SELECT task_id || '_' || sample_index AS sample_id FROM fx1) t)"
 
 
 def recorded_kind(sample_id: Column) -> Column:
-    return F.crc32(sample_id) % 6
+    return F.conv(F.substring(F.md5(sample_id.cast("binary")), 1, 4), 16, 10).cast("long") % 6
 
 
-@query("generate_round_replay")
-def generate_round_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _recorded_rounds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Three rounds over recorded responses and verdicts: a duplicate in the first, what is still missing in the others.
 
     The validator refuses some samples' first variant, and stops others by a faulty or an unreadable verdict.
@@ -419,35 +422,90 @@ def generate_round_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = F.concat(F.lit('{"items":['), F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), verdict), ","), F.lit("]}"))
     judged = F.when(first & (kind == UNREADABLE), "no verdict").otherwise(verdicts)
     validate = lambda requests: requests.withColumn("content", judged).withColumn("error", F.lit(None).cast("string"))
-    tasks, _ = run_rounds(sampled, missing, missing.limit(0).withColumn("user", F.lit("")), Rounds(_PROFILE, answer, validate, 3))
-    return tasks.select("sample_id", "task_id", "user", "expected_answer")
+    return run_rounds(sampled, missing, missing.limit(0).withColumn("user", F.lit("")), Rounds(_PROFILE, answer, validate, 3))
 
 
-@query("model_pick")
+@query("generate_round_replay", f"""{_SAMPLED}, users AS (SELECT sample_id, unnest(CASE WHEN kind = {REFUSED} THEN ['second'] ELSE ['first', 'second'] END) AS u, unnest(CASE WHEN kind = {REFUSED} THEN [0] ELSE [0, 1] END) AS v
+    FROM sampled WHERE kind NOT IN ({OUT_OF_RANGE}, {UNREADABLE})) SELECT sample_id, sample_id || '_q00' || v AS task_id, u || ' ' || sample_id AS "user", 'A' AS expected_answer FROM users""", "fx1")
+def generate_round_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recorded_rounds(spark, sf_dir)[0].select("sample_id", "task_id", "user", "expected_answer")
+
+
+@query("generate_round_outcomes", f"""{_SAMPLED} SELECT sample_id, CAST(2 AS BIGINT) AS wanted, CAST(CASE WHEN kind IN ({OUT_OF_RANGE}, {UNREADABLE}) THEN 0 WHEN kind = {REFUSED} THEN 1 ELSE 2 END AS BIGINT) AS got,
+    CAST(CASE WHEN kind IN ({OUT_OF_RANGE}, {UNREADABLE}) THEN 0 WHEN kind = {REFUSED} THEN 4 ELSE 1 END AS BIGINT) AS rejected,
+    CASE kind WHEN {OUT_OF_RANGE} THEN 'validator returned out-of-range item index' WHEN {UNREADABLE} THEN 'unreadable' END AS error, kind > {UNREADABLE} AS completed FROM sampled""", "fx1")
+def generate_round_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each sample: what it wanted and got, how many candidates fell, what stopped it."""
+    found = _recorded_rounds(spark, sf_dir)[1]
+    error = F.when(F.contains("error", F.lit("valid JSON")), "unreadable").otherwise(F.col("error"))
+    return found.select("sample_id", "wanted", "got", "rejected", error.alias("error"), "completed")
+
+
+_SAID = "CAST(('0x' || substr(md5(sample_id || '_q00' || v), 1, 4)) AS BIGINT) % 4"
+_COUNTED = f""", asked AS (SELECT sample_id, v, {_SAID} AS said FROM (SELECT task_id || '_' || sample_index AS sample_id, ref_answer FROM fx1 WHERE logical_index % 7 <> 3) s, unnest([0, 1]) AS u(v)),
+    sizes AS (SELECT count(DISTINCT sample_id) AS samples, count(*) AS tasks, count(*) FILTER (WHERE said = 0) AS blank, count(*) FILTER (WHERE said = 1) AS wrong, count(*) FILTER (WHERE said > 1) AS good FROM asked)"""
+
+
+@query("synthesize_counters", _COUNTED + """, runs AS (
+        SELECT 1 AS run, samples, tasks AS total_tasks, 0 AS resumed_generated, tasks AS generated_now, 0 AS answered_success, 0 AS answered_failed, 0 AS skipped_generate, tasks AS skipped_answer FROM sizes
+        UNION ALL SELECT 2, samples, tasks, tasks, 0, good, wrong, 0, blank FROM sizes
+        UNION ALL SELECT 3, samples, tasks, blank, 0, 0, 0, 0, blank FROM sizes)
+    SELECT run, counter, CAST(value AS BIGINT) AS value FROM (UNPIVOT runs ON samples, total_tasks, resumed_generated, generated_now, answered_success, answered_failed, skipped_generate, skipped_answer INTO NAME counter VALUE value) t""", "fx1")
+def synthesize_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run three times over files: generation with answers off, a resume that answers, another that has only what
+    was blank left; invalid lines between. The counters of each run."""
+    from weftline.plans import config as configuration
+    from weftline.plans.synthesize import synthesize
+
+    folder = _scratch(spark, "synthesize")
+    line = F.to_json(F.struct(F.col("task_id").cast("string").alias("task_id"), F.col("sample_index").cast("string").alias("sample_index"), "context"))
+    rows = fixture(spark, sf_dir, "fx1").orderBy("logical_index").select(F.when(F.col("logical_index") % 7 == 3, "no json").otherwise(line).alias("value"))
+    rows.write.text(f"{folder}/in")
+    model = 'endpoint = "e"\nmodel_name = "m"\napi_key = "k"\n'
+    text = f"""[input]\ndataset_path = "{folder}/in"\n[generator]\n{model}variant_count = 2\nvalidate_generated_questions = false\n[output]\njsonl_path = "{folder}/out/train.jsonl"\n[[answer_models]]\n{model}"""
+    none = F.lit(None).cast("string")
+    item = lambda n: F.concat(F.lit(f'{{"user":"{n} '), "sample_id", F.lit('","answer":"B"}'))
+    generate = lambda r: r.withColumn("content", F.concat(F.lit('{"items":['), item("one"), F.lit(","), item("two"), F.lit("]}"))).withColumn("error", none)
+    said = F.conv(F.substring(F.md5(F.col("task_id").cast("binary")), 1, 4), 16, 10).cast("long") % 4
+    content = F.when(said == 0, " ").when(said == 1, "it is A").otherwise("it is B")
+    ask = lambda r: r.withColumns({"content": content, "reasoning": none, "error": none})
+    found = []
+    for run, answers in ((1, False), (2, True), (3, True)):
+        config = configuration.parse(f"{text}\n[run]\nanswer_generated = {str(answers).lower()}\n")
+        found += [(run, name, n) for name, n in synthesize(spark, config, generate, None, ask).items()]
+    return spark.createDataFrame(found, "run int, counter string, value long")
+
+
+@query("model_pick", "SELECT tid, CAST(CAST(('0x' || substr(md5(tid), 1, 8)) AS BIGINT) % 3 AS INTEGER) AS model FROM fx4", "fx4")
 def model_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "fx4").select("tid", grading.pick_model(F.col("tid"), 3).alias("model"))
 
 
-@query("chat_bodies", """SELECT pos, CASE WHEN pos % 3 = 2 THEN NULL ELSE 'c' || pos END AS content, CASE pos % 3 WHEN 0 THEN 'r' END AS reasoning, pos % 3 = 2 AS failed FROM fx2""", "fx2")
+@query("chat_bodies", f"""SELECT pos, CASE WHEN pos % 3 = 2 THEN NULL ELSE {sql_trim("user_text || ' c'")} END AS content, CASE pos % 3 WHEN 0 THEN sample_id END AS reasoning, pos % 3 = 2 AS failed FROM fx2""", "fx2")
 def chat_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response bodies with the row's text: whole ones, event streams that part it in two, and bodies without a choice."""
     from weftline.streaming.model_calls import recorded_bodies
 
-    body = F.expr("""CASE pos % 3 WHEN 0 THEN '{"choices":[{"message":{"content":" c' || pos || ' ","reasoning":"r"}}]}'
-        WHEN 1 THEN 'data: {"choices":[{"delta":{"content":"c"}}]}' || chr(10) || 'data: {"choices":[{"delta":{"content":"' || pos || '"}}]}' || chr(10) || 'data: [DONE]' ELSE '{"choices":[]}' END""")
-    made = fixture(spark, sf_dir, "fx2").select("pos", body.alias("body"), (F.col("pos") % 3 == 1).alias("streamed"))
+    text, kind = F.concat("user_text", F.lit(" c")), F.col("pos") % 3
+    chunk = lambda c: F.concat(F.lit('data: {"choices":[{"delta":{"content":'), prompts.quoted(c), F.lit("}}]}"))
+    body = F.when(kind == 0, F.concat(F.lit('{"choices":[{"message":{"content":'), prompts.quoted(text), F.lit(',"reasoning":'), prompts.quoted(F.col("sample_id")), F.lit("}}]}")))
+    body = body.when(kind == 1, F.concat_ws("\n", chunk(F.substring(text, 1, 40)), chunk(F.expr("substring(concat(user_text, ' c'), 41)")), F.lit("data: [DONE]"), F.lit("data: after"))).otherwise(F.concat(F.lit('{"choices":[],"text":'), prompts.quoted(text), F.lit("}")))
+    made = fixture(spark, sf_dir, "fx2").select("pos", body.alias("body"), (kind == 1).alias("streamed"))
     return recorded_bodies(made).select("pos", "content", "reasoning", F.col("error").isNotNull().alias("failed"))
 
 
-@query("structured_context", """SELECT logical_index, CASE logical_index % 3 WHEN 0 THEN 'u' || logical_index WHEN 1 THEN 's' || logical_index ELSE '{"other": 1}' END AS user_text FROM fx1""", "fx1")
+@query("structured_context", f"""SELECT logical_index, CASE WHEN logical_index % 3 < 2 THEN {sql_trim(_ASKED)} ELSE {sql_trim(sql_unescape(f"""('{{"other": ' || to_json({_ASKED}) || '}}')"""))} END AS user_text FROM fx1""", "fx1")
 def structured_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users of contexts that are JSON with a prompt, with stages, or with neither."""
-    context = F.expr(r"""CASE logical_index % 3 WHEN 0 THEN '{"prompt": "User: u' || logical_index || '\\n\\nAssistant: a"}'
-        WHEN 1 THEN '{"stages": [{"prompt": "Assistant: no"}, {"x": 1}, {"prompt": "User: s' || logical_index || '\\nAssistant: a"}, {"prompt": "User: later"}]}' ELSE '{"other": 1}' END""")
+    """Users of contexts that are JSON with a prompt, with stages, or with neither; each with the row's own text."""
+    asked, kind = F.expr(_ASKED), F.col("logical_index") % 3
+    turn = prompts.quoted(F.concat(F.lit("User: "), asked, F.lit("\n\nAssistant: a")))
+    staged = F.concat(F.lit('{"stages": [{"prompt": "Assistant: no"}, {"x": 1}, {"prompt": '), turn, F.lit('}, {"prompt": "User: later"}]}'))
+    context = F.when(kind == 0, F.concat(F.lit('{"prompt": '), turn, F.lit("}"))).when(kind == 1, staged).otherwise(F.concat(F.lit('{"other": '), prompts.quoted(asked), F.lit("}")))
     rows = fixture(spark, sf_dir, "fx1").select("logical_index", context.alias("context"))
     return rows.select("logical_index", samples.extract_user(F.col("context"), strictjson.structured_prompts("context")).alias("user_text"))
 
 
-_CANDIDATES = """'[' || chr(10) || '  {' || chr(10) || '    "answer": "' || ref_answer || '",' || chr(10) || '    "index": 0,' || chr(10) || '    "meta": null,' || chr(10) || '    "user": "v' || logical_index || '"' || chr(10) || '  }' || chr(10) || ']'"""
+_CANDIDATES = """'[' || chr(10) || '  {' || chr(10) || '    "answer": "' || ref_answer || '",' || chr(10) || '    "index": 0,' || chr(10) || '    "meta": null,' || chr(10) || '    "user": ' || to_json(context) || chr(10) || '  }' || chr(10) || ']'"""
 
 
 @query("validation_prompt", f"""SELECT logical_index, replace(replace(replace({q(_PROFILE.validation)}, '{{{{profile_name}}}}', '{_PROFILE.name}'),
@@ -455,7 +513,7 @@ _CANDIDATES = """'[' || chr(10) || '  {' || chr(10) || '    "answer": "' || ref_
     '{{{{generated_candidates_json}}}}', {_CANDIDATES}) AS prompt FROM fx1""", "fx1")
 def validation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = prompts.source_json(F.col("task_id").cast("string"), F.concat(F.lit("u"), F.col("sample_index").cast("string")), F.lit("{}"))
-    item = F.struct(F.lit(0).alias("index"), F.concat(F.lit("v"), F.col("logical_index").cast("string")).alias("user"), F.col("ref_answer").alias("answer"), F.lit(None).cast("string").alias("meta"))
+    item = F.struct(F.lit(0).alias("index"), F.col("context").alias("user"), F.col("ref_answer").alias("answer"), F.lit(None).cast("string").alias("meta"))
     return fixture(spark, sf_dir, "fx1").select("logical_index", prompts.validation_prompt(_PROFILE, source, prompts.candidates_json(F.array(item))).alias("prompt"))
 
 
@@ -486,12 +544,55 @@ def read_input_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.read_rows(spark, path, start=3)[0].select("logical_index", F.col("parsed.task_id").alias("task_id"))
 
 
-@query("read_input_array", "SELECT row_number() OVER (ORDER BY sample_key) - 1 AS logical_index, CAST(sample_key AS VARCHAR) AS task_id, user_text AS context FROM fx3", "fx3")
+@query("input_samples", f"""SELECT logical_index, CASE WHEN logical_index % 4 <> 3 THEN CASE WHEN logical_index % 2 = 0 THEN task_id || '_' || sample_index ELSE 'sample_' || lpad(CAST(logical_index AS VARCHAR), 6, '0') END END AS sample_id,
+    CASE WHEN logical_index % 4 <> 3 THEN {sql_sanitize(sql_trim(sql_unescape(_ASKED)))} END AS source_user,
+    CASE WHEN logical_index % 4 <> 3 THEN CASE WHEN logical_index % 2 = 0 THEN '{{"sample_index":' || sample_index || ',"source":' || to_json(ref_answer) || ',"task_id":"' || task_id || '"}}' ELSE '{{"source":' || to_json(ref_answer) || '}}' END END AS source_meta,
+    CASE WHEN logical_index % 4 = 3 THEN 'source user content is empty' END AS reason FROM fx1""", "fx1")
+def input_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of input files whose rows have a context, a text, a blank context and a text, or neither: those are rejects."""
+    asked, kind = F.expr(_ASKED), F.col("logical_index") % 4
+    row = F.struct(
+        F.when(kind == 0, asked).when(kind == 2, " ").alias("context"),
+        F.when((kind == 1) | (kind == 2), asked).alias("text"),
+        F.when(kind % 2 == 0, F.col("task_id").cast("string")).alias("task_id"),
+        F.when(kind % 2 == 0, F.col("sample_index")).alias("sample_index"),
+        F.col("ref_answer").alias("source"),
+        F.lit("dropped").alias("other"),
+    )
+    rows = fixture(spark, sf_dir, "fx1").orderBy("logical_index").select(F.to_json(row).alias("value"))
+    rows.write.text(path := _scratch(spark, "samples"))
+    made, rejects = samples.to_samples(scans.read_rows(spark, path)[0])
+    none = lambda n: F.lit(None).cast("string").alias(n)
+    return made.select("logical_index", "sample_id", "source_user", "source_meta", none("reason")).unionByName(rejects.select("logical_index", none("sample_id"), none("source_user"), none("source_meta"), "reason"))
+
+
+@query("read_input_report", """SELECT row_number() OVER (ORDER BY logical_index) AS line_number, 'no json ' || replace(context, chr(10), ' ') AS raw FROM fx1 QUALIFY logical_index % 6 = 5""", "fx1")
+def read_input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of input files that is no JSON, by its number among the lines that are not blank."""
+    line = F.when(F.col("logical_index") % 6 == 5, F.concat(F.lit("no json "), F.replace("context", F.lit("\n"), F.lit(" ")))).otherwise(F.to_json(F.struct("context")))
+    rows = fixture(spark, sf_dir, "fx1").orderBy("logical_index").select(F.when(F.col("logical_index") % 4 == 1, F.concat(F.lit("\n \n"), line)).otherwise(line).alias("value"))
+    rows.write.text(path := _scratch(spark, "report"))
+    lines, index = scans.indexed_lines(spark, path)
+    return scans.invalid_lines(lines, index).select("line_number", "raw")
+
+
+def _as_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of a partition as one array."""
+    begun = False
+    for batch in batches:
+        if len(batch):
+            yield pd.DataFrame({"value": [("," if begun or i else " [") + v for i, v in enumerate(batch["value"])]})
+            begun = True
+    if begun:
+        yield pd.DataFrame({"value": ["] , what follows"]})
+
+
+@query("read_input_array", "SELECT logical_index, CAST(task_id AS VARCHAR) AS task_id, context FROM fx1", "fx1")
 def read_input_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file that is one JSON array."""
-    item = F.struct("sample_key", F.to_json(F.struct(F.col("sample_key").cast("string").alias("task_id"), F.col("user_text").alias("context"))).alias("j"))
-    whole = fixture(spark, sf_dir, "fx3").agg(F.array_sort(F.collect_list(item)).alias("a"))
-    whole.select(F.concat(F.lit(" [\n"), F.array_join(F.transform("a", lambda x: x["j"]), ",\n"), F.lit("\n]")).alias("value")).write.text(path := _scratch(spark, "array"))
+    """Files that are JSON arrays, read in splits and numbered in the order of files."""
+    item = F.to_json(F.struct(F.col("task_id").cast("string").alias("task_id"), "context"))
+    rows = fixture(spark, sf_dir, "fx1").select("logical_index", item.alias("value")).orderBy("logical_index").select("value")
+    rows.mapInPandas(_as_arrays, "value string").write.text(path := _scratch(spark, "array"))
     return scans.read_rows(spark, path)[0].select("logical_index", F.col("parsed.task_id").alias("task_id"), F.col("parsed.context").alias("context"))
 
 
@@ -520,16 +621,62 @@ def routed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("file_rank").agg(F.count("*").alias("n"), F.count_distinct("task_id").alias("ids"))
 
 
-@query("export_files", f""", success AS ({_export_sql("success").replace("SELECT tid AS task_id", "SELECT 0 AS s, line_no, tid AS task_id", 1)}), failed AS ({_export_sql("failed").replace("SELECT tid AS task_id", "SELECT 1 AS s, line_no, tid AS task_id", 1)})
-    SELECT row_number() OVER (ORDER BY s, line_no) - 1 AS place, task_id, source_split, md5(text) AS text_md5 FROM (SELECT * FROM success UNION ALL SELECT * FROM failed) t""", "fx6")
-def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both splits' files of finished rows to one training file, success first, as the file's lines have it."""
+def _training_files(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    """Both splits' files of finished rows to one training file; (place, task_id, source_split, text_md5) as its lines have it."""
     folder = _scratch(spark, "export")
     item = F.to_json(F.struct(F.col("expected_answer").alias("answer")))
     rows = fixture(spark, sf_dir, "fx6").select(F.struct(F.col("tid").alias("task_id"), F.col("user_text").alias("user"), "assistant", item.alias("generated_item_json")).alias("r"), "split", "line_no")
     for split in ("success", "failed"):
         rows.where(F.col("split") == split).orderBy("line_no").select("r.*").write.json(f"{folder}/{split}")
-    export.export_training(spark, f"{folder}/success", f"{folder}/failed", f"{folder}/out", f"{folder}/texts")
-    lines = spark.read.text(f"{folder}/out").select(F.col("value").alias("raw"), F.struct(*scans.file_place()).alias("place"))
-    placed = scans.ordered_lines(lines).select("logical_index", F.from_json("raw", "task_id string, source_split string, text string").alias("r"))
-    return placed.select(F.col("logical_index").alias("place"), "r.task_id", "r.source_split", F.md5(F.col("r.text").cast("binary")).alias("text_md5"))
+    if "system_text" in how:
+        spark.createDataFrame([(how.pop("system_text"),)], "value string").write.text(f"{folder}/system")
+        how["system_file"] = f"{folder}/system"
+    export.export_training(spark, f"{folder}/success", f"{folder}/failed", f"{folder}/out", f"{folder}/texts", **how)
+    return _numbered(spark, f"{folder}/out", "task_id string, source_split string, text string").select("place", "task_id", "source_split", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def _numbered(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Fields of written JSON lines and their ``place`` in the file's order."""
+    lines = spark.read.text(path).select(F.col("value").alias("raw"), F.struct(*scans.file_place()).alias("place"))
+    return scans.ordered_lines(lines).select(F.col("logical_index").alias("place"), F.from_json("raw", schema).alias("r")).select("place", "r.*")
+
+
+_SYSTEM = "Be brief.\nAnswer with a letter."
+
+
+@query("export_system_files", f""", failed AS ({_export_sql("failed").replace("SELECT tid AS task_id", "SELECT line_no, tid AS task_id", 1)}), success AS ({_export_sql("success").replace("SELECT tid AS task_id", "SELECT line_no, tid AS task_id", 1)})
+    SELECT row_number() OVER (ORDER BY s, line_no) - 1 AS place, task_id, source_split, md5('System: {_SYSTEM.replace(chr(10), "' || chr(10) || '")}' || chr(10) || chr(10) || text) AS text_md5 FROM (SELECT 0 AS s, * FROM success UNION ALL SELECT 1, * FROM failed) t""", "fx6")
+def export_system_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training export with a system prompt from a file, which is stripped."""
+    return _training_files(spark, sf_dir, system_text=f" {_SYSTEM}\n")
+
+
+@query("export_done_files", """ SELECT row_number() OVER (ORDER BY line_no) - 1 AS place, md5('User: ' || coalesce(nullif(user_text, ''), 'null') || chr(10) || 'Assistant: ' || coalesce(nullif(assistant, ''), 'null')) AS text_md5,
+    row_number() OVER (ORDER BY line_no) - 1 AS text_place FROM fx6 WHERE split = 'success'""", "fx6")
+def export_done_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished rows of a file as training rows, and their texts alone in the same order."""
+    folder, odd = _scratch(spark, "done"), F.col("line_no") % 2 == 1
+    rows = fixture(spark, sf_dir, "fx6").orderBy("line_no").select(F.col("tid").alias("task_id"), F.when(F.col("split") == "success", "done").otherwise("generated").alias("status"), F.when(odd, F.col("user_text")).alias("user"), F.when(~odd, F.col("user_text")).alias("rewritten_user"), "assistant")
+    rows.write.json(f"{folder}/in")
+    export.export_done(spark, f"{folder}/in", f"{folder}/out", f"{folder}/texts")
+    made, texts = (_numbered(spark, f"{folder}/{n}", "text string").select("place", F.md5(F.col("text").cast("binary")).alias("text_md5")) for n in ("out", "texts"))
+    again = texts.select(F.col("place").alias("text_place"), F.col("text_md5").alias("other"))
+    return made.join(again, (F.col("place") == F.col("text_place")) & (F.col("text_md5") == F.col("other"))).select("place", "text_md5", "text_place")
+
+
+@query("export_reference_files", f""", answers AS ({_REFERENCE}) SELECT task_id, md5(text) AS text_md5, row_number() OVER (ORDER BY md5('3:' || task_id)) <= 100 AS in_subset FROM answers""", "fx6")
+def export_reference_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference answers of a file's tasks, and which are in the random subset."""
+    folder = _scratch(spark, "reference")
+    ref = F.concat("expected_answer", F.when(F.col("line_no") % 6 == 0, "x").otherwise(""))
+    fixture(spark, sf_dir, "fx6").orderBy("line_no").select(F.col("tid").alias("task_id"), F.col("user_text").alias("user"), ref.alias("ref_answer")).write.json(f"{folder}/in")
+    export.export_reference_answers(spark, f"{folder}/in", f"{folder}/out", f"{folder}/subset", 100, 3)
+    made, subset = (spark.read.schema("task_id string, text string").json(f"{folder}/{n}") for n in ("out", "subset"))
+    return made.join(subset.select("task_id", F.lit(True).alias("drawn")), "task_id", "left").select("task_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.coalesce("drawn", F.lit(False)).alias("in_subset"))
+
+
+@query("export_files", f""", success AS ({_export_sql("success").replace("SELECT tid AS task_id", "SELECT 0 AS s, line_no, tid AS task_id", 1)}), failed AS ({_export_sql("failed").replace("SELECT tid AS task_id", "SELECT 1 AS s, line_no, tid AS task_id", 1)})
+    SELECT row_number() OVER (ORDER BY s, line_no) - 1 AS place, task_id, source_split, md5(text) AS text_md5 FROM (SELECT * FROM success UNION ALL SELECT * FROM failed) t""", "fx6")
+def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both splits' files of finished rows to one training file, success first, as the file's lines have it."""
+    return _training_files(spark, sf_dir)

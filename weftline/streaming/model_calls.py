@@ -13,6 +13,7 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from http.client import HTTPException
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -121,8 +122,8 @@ def with_retry(post: Callable[[], tuple[int, str | None, str]], streamed: bool,
             error = f"chat completion failed with status {status}: {body.strip()[:400]}"
             if status != 429 and status < 500:
                 break
-        except (OSError, TimeoutError) as e:
-            error = str(e)
+        except (OSError, HTTPException) as e:  # no connection, no answer in time, or one that was cut off
+            error = str(e) or type(e).__name__
         except Malformed as e:
             return None, None, str(e)
         if attempt < ATTEMPTS:
@@ -153,7 +154,7 @@ def http(requests: DataFrame, model: Model, concurrency: int, total: int, json_m
                     r = urllib.request.Request(model.endpoint, body, {"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
                     try:
                         with opener.open(r, timeout=timeout_s) as got:
-                            return got.status, got.headers.get("Content-Type"), got.read().decode()
+                            return got.status, got.headers.get("Content-Type"), got.read().decode(errors="replace")
                     except urllib.error.HTTPError as e:
                         return e.code, None, e.read().decode(errors="replace")
 
