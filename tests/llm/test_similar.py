@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+
 import corpus_pipeline as pipeline
 from weftline.llm import simhash, similar
 
@@ -67,3 +69,13 @@ def test_unlike_texts_stay_though_a_chain_of_cells_joins_them():
     root = brute(texts)
     same = lambda of: sorted(sorted(i for i in range(len(texts)) if of[i] == k) for k in set(of))
     assert same(found) == same([root[shingles(t)] for t in texts])
+
+
+def test_sets_that_share_half_their_hash_are_candidates_and_not_one(spark):
+    """Two sets of one 64-bit key: in one group whether or not a cell joins them, and told apart by their texts."""
+    nodes = spark.createDataFrame([(5, 1, 100, [1]), (5, 2, 7 << 30, [2]), (6, 1, 1 << 60, [3]), (8, 1, 3 << 50, [9]), (9, 1, 5 << 40, [9])], "key long, more long, fp long, cells array<long>")
+    assert sorted(tuple(r) for r in similar.candidate_groups(nodes).collect()) == [(5, 5), (8, 8), (9, 8)]
+    texts = ["one two three four five six", "quite another text with other words", "one two three four five six"]
+    batch = pa.RecordBatch.from_pydict({"root": [5, 5, 5], "key": [5, 5, 5], "more": [1, 2, 1], "text": texts})
+    (got,) = similar._verified(iter([batch]))
+    assert got.to_pylist() == [{"key": 5, "more": m, "component": 5, "component_more": m} for m in (1, 2)]

@@ -106,8 +106,8 @@ def connect(sets: list[np.ndarray], least: float = LEAST) -> list[int]:
 
 
 def sketches(df: DataFrame, step_bytes: int = 1_000_000) -> DataFrame:
-    """(row, id, text) to (row, id, key, fp, cells): key is a 128-bit hash of the set, fp its fingerprint; a text without words
-    is in no cell."""
+    """(row, id, text) to (row, id, key, more, fp, cells): key and more are 128 bits of the set's hash, fp its fingerprint; a text
+    without words is in no cell."""
     bound_batches(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,30 +116,35 @@ def sketches(df: DataFrame, step_bytes: int = 1_000_000) -> DataFrame:
                 keys, prints, where = [], [], []
                 for t in batch.column("text").cast(pa.large_binary()).to_pylist():
                     shingles = shingle_set(t or b"")
-                    keys.append(xxhash.xxh3_128_digest(shingles.tobytes(), SEED))
+                    keys.append(xxhash.xxh3_128_intdigest(shingles.tobytes(), SEED))
                     prints.append(fingerprint(shingles))
                     where.append(cells(signature(shingles)) if len(shingles) else [])
-                key, fp = pa.array(keys, pa.binary()), pa.array(np.array(prints, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key, fp, pa.array(where, pa.list_(pa.int64()))], names=["row", "id", "key", "fp", "cells"])
+                low = (1 << 64) - 1
+                key, more, fp = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in ([k & low for k in keys], [k >> 64 for k in keys], prints))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key, more, fp, pa.array(where, pa.list_(pa.int64()))], names=["row", "id", "key", "more", "fp", "cells"])
 
-    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.BinaryType()), T.StructField("fp", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
+    schema = T.StructType([df.schema["row"], df.schema["id"], T.StructField("key", T.LongType()), T.StructField("more", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))])
     return df.select("row", "id", "text").mapInArrow(in_worker("similar", run), schema)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A group's (root, key, text) to (key, component), the component named by one of its keys."""
-    texts: dict[bytes, np.ndarray] = {}
+    """A group's (root, key, more, text) to (key, more, component), the component named by one of its sets' hashes."""
+    texts: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
-            if key not in texts:
-                texts[key] = shingle_set(text or b"")
+        for key, more, text in zip(batch.column("key").to_pylist(), batch.column("more").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
+            if (key, more) not in texts:
+                texts[key, more] = shingle_set(text or b"")
     keys = sorted(texts)
     first = connect([texts[k] for k in keys])
-    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([keys[i] for i in first], pa.binary())], names=["key", "component"])
+    columns = [[k for k, _ in keys], [m for _, m in keys], [keys[i][0] for i in first], [keys[i][1] for i in first]]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "more", "component", "component_more"])
 
 
 def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """(key, fp, cells) to (key, root): all keys that meet another in a cell or are linked by their fingerprints, by components."""
+    """(key, fp, cells) to (key, root): all keys that meet another in a cell or are linked by their fingerprints, by components.
+
+    Keys of 64 bits are enough here, where sets only become candidates: different sets of one key are in one group.
+    """
     placed = nodes.select("key", F.explode("cells").alias("cell"))
     centre = placed.groupBy("cell").agg(F.min("key").alias("v"), F.max("key").alias("top")).where("v < top").select("cell", "v")
     stars = placed.join(centre, "cell").where("key <> v").select(F.col("key").alias("u"), "v")
@@ -148,7 +153,8 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     name = lambda a, b: prints.select(F.col("fp").alias(a), F.col("v").alias(b))
     linked = links(prints.select("fp"), BITS).withColumnsRenamed({"u": "a", "v": "b"}).join(name("a", "u"), "a").join(name("b", "v"), "b").select("u", "v")
     rooted = cut_lineage(components(stars.unionByName(same).unionByName(linked)).select(F.col("v").alias("key"), "root"))
-    return rooted.unionByName(rooted.select(F.col("root").alias("key"), "root").distinct())
+    shared = nodes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.col("key").alias("root"))
+    return rooted.unionByName(rooted.select(F.col("root").alias("key"), "root").unionByName(shared.join(rooted, "key", "left_anti")).distinct())
 
 
 def keep_one(frame: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,13 +168,13 @@ def keep_one(frame: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     row = F.struct(*[k.alias(n) for k, n in zip(row_keys(F.col(id_col), F.col(text)), ("a", "b"), strict=True)])
     drawn = cut_lineage(sketches(df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text).alias("text"))))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
-    nodes = cut_lineage(drawn.groupBy("key").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.min("cells").alias("cells")))
+    nodes = cut_lineage(drawn.groupBy("key", "more").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.min("cells").alias("cells")))
     groups = cut_lineage(candidate_groups(nodes))
-    chosen = groups.join(nodes, "key").select(F.col("best.row").alias("row"), "key", "root")
-    sent = df.select(row.alias("row"), F.col(text).alias("text")).join(chosen, "row").select("root", "key", "text")
-    checked = cut_lineage(sent.groupBy("root").applyInArrow(_verified, "key binary, component binary"))
-    named = nodes.join(checked, "key", "left").select(F.coalesce("component", "key").alias("component"), "best")
-    kept = named.groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
+    chosen = groups.join(nodes, "key").select(F.col("best.row").alias("row"), "key", "more", "root")
+    sent = df.select(row.alias("row"), F.col(text).alias("text")).join(chosen, "row").select("root", "key", "more", "text")
+    checked = cut_lineage(sent.groupBy("root").applyInArrow(_verified, "key long, more long, component long, component_more long"))
+    named = nodes.join(checked, ["key", "more"], "left").select(F.coalesce("component", "key").alias("component"), F.coalesce("component_more", "more").alias("component_more"), "best")
+    kept = named.groupBy("component", "component_more").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
     copies = drawn.groupBy(F.col("row").alias("__row")).agg(F.count("*").alias("__copies"))
     kept = cut_lineage(kept.join(copies, "__row"))
     marked = df.withColumn("__row", row)
