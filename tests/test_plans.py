@@ -107,6 +107,14 @@ def test_duplicates_of_one_crowded_norm(spark):
     assert "Window" not in plan and "partial_min" in plan
 
 
+def test_ranks_of_a_crowded_group_are_the_windows(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 == 8, None).otherwise(F.concat(F.lit("g"), F.col("id") % 100)).alias("g"), ((F.col("id") * 7919) % 5000).alias("p"))
+    want = sorted(repr(tuple(r)) for r in candidates.ranked(rows, "g", "p", "k").collect())
+    for parts in (1, 16):
+        got = candidates.ranked_wide(rows, "g", "p", "k", parts)
+        assert got.columns == ["g", "p", "k"] and sorted(repr(tuple(r)) for r in got.collect()) == want
+
+
 def test_first_of_a_crowded_id(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 5 == 0, "").when(F.col("id") % 5 < 4, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("task_id"), F.struct((F.col("id") % 7).alias("a"), F.col("id").alias("b")).alias("line_no"))
     got = exports.first_of_each_id(rows.repartition(5), "task_id", "line_no").collect()

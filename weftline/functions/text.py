@@ -121,8 +121,12 @@ def option_letter(answer: Column) -> Column:
 
 
 def option_text(user: Column, answer: Column) -> Column:
-    """Text of the answer's option: behind its first marker, up to the next marker of any option; null if blank."""
-    letter = option_letter(answer)
+    """Text of the answer's option."""
+    return option_at(user, option_letter(answer))
+
+
+def option_at(user: Column, letter: Column) -> Column:
+    """Text of an option: behind its first marker, up to the next marker of any option; null if blank."""
     found = None
     for one in "ABCD":
         pattern = rf"(?s)(?:\A|(?<=[{WHITE}:：]))[{one}{one.lower()}]\.(?=[{WHITE}])(.*?)(?=(?<=[{WHITE}:：])[A-Da-d]\.[{WHITE}]|\z)"
@@ -134,10 +138,13 @@ def option_text(user: Column, answer: Column) -> Column:
 
 def reuses_reference(source: Column, user: Column, answer: Column, reference: Column) -> Column:
     """Whether an answer repeats the reference answer's content; a blank reference never does."""
-    a, b = option_text(source, reference), option_text(user, answer)
+    return same_answer(answer, reference) & repeats_option(option_text(source, reference), option_text(user, answer), reference)
+
+
+def repeats_option(a: Column, b: Column, reference: Column) -> Column:
+    """Whether two options are alike, as far as both are there; a blank reference has none."""
     same = F.when(a.isNotNull() & b.isNotNull(), norm(a) == norm(b)).otherwise(True)
-    given = F.coalesce(trim(reference), F.lit("")) != ""
-    return given & same_answer(answer, reference) & same
+    return (F.coalesce(trim(reference), F.lit("")) != "") & same
 
 
 def merged_output(reasoning: Column, content: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
+from weftline.plans.durable import keep
 
 # The reasons that feedback and logs carry.
 REASONS = {
@@ -19,8 +20,9 @@ REASONS = {
 FEEDBACK_LEAD, FEEDBACK_JOIN, FEEDBACK_MOST = "部分候选未通过：", " | ", 8
 
 
-def reject_reason(user: Column, answer: Column, source: Column, reference: Column | None = None) -> Column:
-    """The first rule that a candidate (cleaned user, trimmed answer) breaks; null if it passes."""
+def reject_reason(user: Column, answer: Column, source: Column, reused: Column | None = None) -> Column:
+    """The first rule that a candidate (cleaned user, trimmed answer) breaks; null if it passes. ``reused``: whether its answer
+    repeats the reference's."""
     why = (
         F.when(user == "", REASONS["user_empty"])
         .when(answer == "", REASONS["answer_empty"])
@@ -28,9 +30,16 @@ def reject_reason(user: Column, answer: Column, source: Column, reference: Colum
         .when(answer.startswith("Assistant:"), REASONS["answer_role"])
         .when(X.norm(user) == X.norm(source), REASONS["identical"])
     )
-    if reference is not None:
-        why = why.when(F.coalesce(X.reuses_reference(source, user, answer, reference), F.lit(False)), REASONS["reference"])
-    return why
+    return why if reused is None else why.when(F.coalesce(reused, F.lit(False)), REASONS["reference"])
+
+
+def with_reason(rows: DataFrame, user: str = "user", answer: str = "answer", source: str = "source_user", reference: str = "ref_answer") -> DataFrame:
+    """Add ``reason``. Letters and options are columns on the way, so that no rule is written out within another."""
+    u, a, s, r = (F.col(n) for n in (user, answer, source, reference))
+    letters = rows.withColumns({"__given": X.option_letter(r), "__own": X.option_letter(a), "__same": X.same_answer(a, r)})
+    options = letters.withColumns({"__theirs": X.option_at(s, F.col("__given")), "__ours": X.option_at(u, F.col("__own"))})
+    reused = F.col("__same") & X.repeats_option(F.col("__theirs"), F.col("__ours"), r)
+    return options.withColumn("reason", reject_reason(u, a, s, reused)).drop("__given", "__own", "__same", "__theirs", "__ours")
 
 
 def norm_key(norm: Column) -> Column:
@@ -60,6 +69,22 @@ def ranked(rows: DataFrame, group: str, position: str, out: str) -> DataFrame:
     return rows.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(position)))
 
 
+def ranked_wide(rows: DataFrame, group: str, position: str, out: str, parts: int | None = None) -> DataFrame:
+    """The same ranks where a group may hold a large share of all rows: rows are dealt by ranges of group and position, ranked
+    within their range, and raised by what the group has in the ranges before. No task ranks more than a range.
+
+    The dealt rows are kept, as ranges are drawn from a sample and must be the same for rows and counts.
+    """
+    deal = rows.repartitionByRange(group, position) if parts is None else rows.repartitionByRange(parts, group, position)
+    dealt = keep(deal.withColumn("__part", F.spark_partition_id()))
+    counts = dealt.groupBy(group, "__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(group).alias("__group"), F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__part", group).orderBy(position))
+    met = dealt.withColumn(out, within).join(before, (F.col("__part") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__group")))
+    return met.withColumn(out, F.col(out) + F.col("__before")).drop("__part", "__group", "__of", "__before")
+
+
 def allocate(survivors: DataFrame, missing: DataFrame, group: str = "sample_id", position: str = "pos", index: str = "variant_index", most: int | None = None) -> DataFrame:
     """The kth survivor gets the kth missing index; those beyond are left out.
 

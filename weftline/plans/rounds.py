@@ -67,7 +67,8 @@ def run_rounds(samples: DataFrame, missing: DataFrame, accepted: DataFrame, plan
         faults = read.where("error is not null or parsed.error is not null").select("sample_id", stop.alias("stop"), F.col("parsed.error").alias("line"))
         drafts = read.where("parsed.items is not null").select("sample_id", "source_user", "source_meta", "ref_answer", F.posexplode("parsed.items").alias("pos", "item"))
         cleaned = drafts.select("*", X.sanitize(F.col("item.user")).alias("user"), X.trim(F.col("item.answer")).alias("answer"), F.col("item.meta").alias("meta"))
-        judged = cleaned.withColumn("reason", C.reject_reason(F.col("user"), F.col("answer"), F.col("source_user"), F.col("ref_answer")))
+        # Kept, so that the rules are worked out once for each candidate and not within every filter by their result.
+        judged = save(C.with_reason(cleaned))
         local = judged.where("reason is not null").select("sample_id", F.lit(0).alias("stage"), "pos", F.concat(F.lit("#"), F.col("pos").cast("string"), F.lit(" "), "reason").alias("reason"))
         passed = C.ranked(judged.where("reason is null").drop("reason"), "sample_id", "pos", "at").withColumn("at", F.col("at") - 1)
         known = taken.select("sample_id", X.norm(F.col("user")).alias("norm"))

@@ -285,7 +285,7 @@ def feedback_message_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT sample_id, any_value(n) AS n, CASE WHEN max(i) >= any_value(n) THEN 'validator returned out-of-range item index' WHEN count(DISTINCT i) < count(*) THEN 'validator returned duplicate item index' END AS fault FROM w GROUP BY sample_id""", "fx2")
 def validator_permutation_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every row of fx2."""
-    at = candidates.ranked(fixture(spark, sf_dir, "fx2"), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
+    at = candidates.ranked_wide(fixture(spark, sf_dir, "fx2").select("sample_id", "pos"), "sample_id", "pos", "i").withColumn("i", F.col("i") - 1)
     sizes = at.groupBy("sample_id").agg(F.count("*").alias("n"))
     key = F.substring("sample_id", 4, 10)
     wrong = F.when(key.isin("1", "5") & (F.col("i") == 0), F.col("n")).when(key.isin("2", "7") & (F.col("i") == 0) & (F.col("n") > 1), 1).otherwise(F.col("i"))
