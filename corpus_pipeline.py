@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import mixing, pieces, quality, repeats, similar, simhash
-from weftline.llm.common import ensure_checkpoint_dir, read_table, set_aside
+from weftline.llm.common import ensure_checkpoint_dir, hand_back, read_table, set_aside
 from weftline.llm.queries import quality_model, vocabulary_path
 
 
@@ -20,6 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null ids are scored, but never learned from. An empty table gives no rows; columns pass through, whatever their names.
     """
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
+    hand_back()  # what the fit held on the driver
     carried, restored = set_aside(docs, ["doc_id", "text"])
     return restored(quality.score(carried, model, out="__score").where(F.col("__score") >= 0.3))
 
