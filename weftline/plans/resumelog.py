@@ -21,11 +21,10 @@ def _place(paths: dict[str, str]) -> str:
     return posixpath.join(posixpath.dirname(posixpath.dirname(next(iter(paths.values())))), "resume")
 
 
-def last_snapshot(spark: SparkSession, paths: dict[str, str]) -> commits.Commit | None:
-    """The newest snapshot that still counts: none of its files was started anew since."""
+def snapshots(spark: SparkSession, paths: dict[str, str]) -> list[commits.Commit]:
+    """The snapshots that still count, oldest first: none of their files was started anew since."""
     begun = {name: _begun(spark, posixpath.dirname(p)) for name, p in paths.items()}
-    made = [c for c in commits.commits(spark, _place(paths)) or [] if all(c.since.get(n, 0) == begun[n] for n in paths)]
-    return made[-1] if made else None
+    return [c for c in commits.commits(spark, _place(paths)) or [] if all(c.since.get(n, 0) == begun[n] for n in paths)]
 
 
 def _begun(spark: SparkSession, place: str) -> int:
@@ -37,7 +36,7 @@ def _begun(spark: SparkSession, place: str) -> int:
 def read_log(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, int]:
     """(rows with file_rank and line_no, appends that were read): the snapshot, a row for each task and file, and what was
     appended since."""
-    snapshot = last_snapshot(spark, paths)
+    snapshot = next(reversed(snapshots(spark, paths)), None)
     through = {p: snapshot.through.get(name, 0) for name, p in paths.items()} if snapshot else {}
     later = sum(len(commits.folders_of(spark, p, through.get(p, 0)) or ()) for p in paths.values())
     rows = scans.read_output(spark, list(paths.values()), through)

@@ -442,18 +442,20 @@ def generate_round_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SAID = "CAST(('0x' || substr(md5(sample_id || '_q00' || v), 1, 4)) AS BIGINT) % 4"
-_COUNTED = f""", asked AS (SELECT sample_id, v, {_SAID} AS said FROM (SELECT task_id || '_' || sample_index AS sample_id, ref_answer FROM fx1 WHERE logical_index % 7 <> 3) s, unnest([0, 1]) AS u(v)),
-    sizes AS (SELECT count(DISTINCT sample_id) AS samples, count(*) AS tasks, count(*) FILTER (WHERE said = 0) AS blank, count(*) FILTER (WHERE said = 1) AS wrong, count(*) FILTER (WHERE said > 1) AS good FROM asked)"""
+_COUNTED = f""", asked AS (SELECT sample_id, v, {_SAID} AS said, {_KIND} FROM (SELECT task_id || '_' || sample_index AS sample_id FROM fx1 WHERE logical_index % 7 <> 3) s, unnest([0, 1]) AS u(v)),
+    sizes AS (SELECT count(DISTINCT sample_id) AS samples, count(*) AS tasks, count(DISTINCT sample_id) FILTER (WHERE kind = 5) AS refused, count(*) FILTER (WHERE kind <> 5) AS made,
+        count(*) FILTER (WHERE kind <> 5 AND said = 0) AS blank, count(*) FILTER (WHERE kind <> 5 AND said = 1) AS wrong, count(*) FILTER (WHERE kind <> 5 AND said > 1) AS good FROM asked)"""
 
 
 @query("synthesize_counters", _COUNTED + """, runs AS (
-        SELECT 1 AS run, samples, tasks AS total_tasks, 0 AS resumed_generated, tasks AS generated_now, 0 AS answered_success, 0 AS answered_failed, 0 AS skipped_generate, tasks AS skipped_answer FROM sizes
-        UNION ALL SELECT 2, samples, tasks, tasks, 0, good, wrong, 0, blank FROM sizes
-        UNION ALL SELECT 3, samples, tasks, blank, 0, 0, 0, 0, blank FROM sizes)
+        SELECT 1 AS run, samples, tasks AS total_tasks, 0 AS resumed_generated, made AS generated_now, 0 AS answered_success, 0 AS answered_failed, refused AS skipped_generate, made AS skipped_answer FROM sizes
+        UNION ALL SELECT 2, samples, tasks, made, 0, good, wrong, refused, blank FROM sizes
+        UNION ALL SELECT 3, samples, tasks, blank, 0, 0, 0, refused, blank FROM sizes
+        UNION ALL SELECT 4, 0, 0, 0, 0, 0, 0, 0, 0)
     SELECT run, counter, CAST(value AS BIGINT) AS value FROM (UNPIVOT runs ON samples, total_tasks, resumed_generated, generated_now, answered_success, answered_failed, skipped_generate, skipped_answer INTO NAME counter VALUE value) t""", "fx1")
 def synthesize_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run three times over files: generation with answers off, a resume that answers, another that has only what
-    was blank left; invalid lines between. The counters of each run."""
+    was blank left, a window without rows; samples whose call fails every time, invalid lines between. The counters of each run."""
     from weftline.plans import config as configuration
     from weftline.plans.synthesize import synthesize
 
@@ -465,7 +467,9 @@ def synthesize_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = f"""[input]\ndataset_path = "{folder}/in"\n[generator]\n{model}variant_count = 2\nvalidate_generated_questions = false\n[output]\njsonl_path = "{folder}/out/train.jsonl"\n[[answer_models]]\n{model}"""
     none = F.lit(None).cast("string")
     item = lambda n: F.concat(F.lit(f'{{"user":"{n} '), "sample_id", F.lit('","answer":"B"}'))
-    generate = lambda r: r.withColumn("content", F.concat(F.lit('{"items":['), item("one"), F.lit(","), item("two"), F.lit("]}"))).withColumn("error", none)
+    fails = recorded_kind(F.col("sample_id")) == 5
+    both = F.concat(F.lit('{"items":['), item("one"), F.lit(","), item("two"), F.lit("]}"))
+    generate = lambda r: r.withColumns({"content": F.when(~fails, both), "error": F.when(fails, "no call")})
     said = F.conv(F.substring(F.md5(F.col("task_id").cast("binary")), 1, 4), 16, 10).cast("long") % 4
     content = F.when(said == 0, " ").when(said == 1, "it is A").otherwise("it is B")
     ask = lambda r: r.withColumns({"content": content, "reasoning": none, "error": none})
@@ -473,6 +477,8 @@ def synthesize_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run, answers in ((1, False), (2, True), (3, True)):
         config = configuration.parse(f"{text}\n[run]\nanswer_generated = {str(answers).lower()}\n")
         found += [(run, name, n) for name, n in synthesize(spark, config, generate, None, ask).items()]
+    config.start_index = 1 << 40
+    found += [(4, name, n) for name, n in synthesize(spark, config, generate, None, ask).items()]
     return spark.createDataFrame(found, "run int, counter string, value long")
 
 
@@ -610,6 +616,23 @@ def resume_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.merge(scans.read_output(spark, list(paths.values())), ["user", "assistant"])
 
 
+@query("resume_snapshot", _MERGED + """ SELECT tid AS task_id, status, user_text AS "user", assistant FROM merged""", "fx4")
+def resume_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an earlier run, a third of them in a snapshot, a third in one that was made from that, the rest as appended since."""
+    from weftline.plans import resumelog
+
+    paths = sinks.layout(f"{_scratch(spark, 'log')}/train.jsonl")
+    blank = [F.lit("").alias(n) for n in ("answer_model", "text")]
+    rows = fixture(spark, sf_dir, "fx4").select(F.col("tid").alias("task_id"), "status", F.col("user_text").alias("user"), F.col("answer").alias("generated_item_json"), "assistant", *blank, "file_rank", "line_no")
+    low, high = rows.agg(F.expr("percentile_approx(line_no, array(0.33, 0.66))")).first()[0] or (0, 0)
+    for part in (F.col("line_no") <= low, (F.col("line_no") > low) & (F.col("line_no") <= high), F.col("line_no") > high):
+        for rank, path in enumerate(paths.values()):
+            sinks.append_rows(rows.where(part & (F.col("file_rank") == rank)).orderBy("line_no"), path)
+        if len(resumelog.snapshots(spark, paths)) < 2:
+            resumelog.compact(spark, paths)
+    return resume.merge(resumelog.read_log(spark, paths)[0], ["user", "assistant"])
+
+
 @query("routed_files", f"SELECT CASE WHEN c THEN 1 ELSE 2 END AS file_rank, count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT {sql_correct('expected', 'assistant')} AS c, l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id FROM fx5) t GROUP BY 1", "fx5")
 def routed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Graded answers, written to the files of right and wrong ones and read again."""
