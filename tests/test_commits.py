@@ -68,12 +68,15 @@ def test_a_run_that_stops_before_its_manifest_leaves_nothing(spark, tmp_path, mo
     assert commits.commits(spark, f"{tmp_path}/run/train/done")[-1].number == 10 and len(read(spark, paths)) == 5
 
 
-def test_writers_at_the_same_time(spark, tmp_path):
+def test_writers_at_the_same_time(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/run/tasks.jsonl"
     with ThreadPoolExecutor(6) as pool:
         assert list(pool.map(lambda i: sinks.append_rows(rows(spark, *[f"w{i}-{k}" for k in range(5)]), path), range(12))) == [5] * 12
     found = commits.commits(spark, f"{tmp_path}/run")
     assert len({c.number for c in found}) == 12
+    with monkeypatch.context() as m:
+        m.setattr(commits, "FEW", 3)
+        assert commits.commits(spark, f"{tmp_path}/run") == found
     assert len({r.task_id for r in scans.read_output(spark, [path]).collect()}) == 60
 
 

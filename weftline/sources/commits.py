@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 MANIFESTS = "_commits"
 #: A folder's name before what is its own.
 APPEND = "append-"
+#: Manifests that are read one by one; more are read by a job.
+FEW = 40
 
 
 @dataclass(frozen=True)
@@ -49,16 +51,30 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _text(spark: SparkSession, fs, path: str) -> str:
+    stream = fs.open(file_system(spark, path)[0])
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def commits(spark: SparkSession, place: str, whole: bool = False) -> list[Commit] | None:
     """What was committed in a folder since its last reset (``whole``: ever), in order; None where nothing ever was. Manifests
     that were not finished count for nothing."""
-    if not exists(spark, f"{place}/{MANIFESTS}"):
+    folder, fs = file_system(spark, f"{place}/{MANIFESTS}")
+    if not fs.exists(folder):
         return None
-    files = spark.read.text(f"{place}/{MANIFESTS}", wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("name"), "value")
+    names = [n for n in (s.getPath().getName() for s in fs.listStatus(folder)) if n.endswith(".json")]
+    if len(names) > FEW:
+        files = spark.read.text(f"{place}/{MANIFESTS}", wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("name"), "value")
+        said = {r["name"]: r["value"] for r in files.collect()}  # a row for each append since the folder was begun
+    else:
+        said = {n: _text(spark, fs, f"{place}/{MANIFESTS}/{n}") for n in names}
     found = []
-    for r in files.collect():  # a row for each append since the folder was begun
+    for name, value in said.items():
         try:
-            found.append(Commit(int(r["name"].removesuffix(".json")), **json.loads(r["value"])))
+            found.append(Commit(int(name.removesuffix(".json")), **json.loads(value)))
         except (ValueError, TypeError):
             continue
     found.sort(key=lambda c: c.number)
@@ -111,7 +127,7 @@ def append(rows: DataFrame, paths: Mapping[str, str], split: str) -> dict[str, i
     """
     spark = rows.sparkSession
     (place,) = {posixpath.dirname(p) for p in paths.values()}
-    if commits(spark, place) is None:
+    if not exists(spark, f"{place}/{MANIFESTS}"):
         _adopt(spark, place, list(paths.values()))
     own = uuid.uuid4().hex
     staged = f"{place}/_staged-{own}"
