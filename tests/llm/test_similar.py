@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import random
+import sys
+import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 
 import corpus_pipeline as pipeline
 from weftline.llm import simhash, similar
@@ -79,3 +83,53 @@ def test_sets_that_share_half_their_hash_are_candidates_and_not_one(spark):
     batch = pa.RecordBatch.from_pydict({"root": [5, 5, 5], "key": [5, 5, 5], "more": [1, 2, 1], "text": texts})
     (got,) = similar._verified(iter([batch]))
     assert got.to_pylist() == [{"key": 5, "more": m, "component": 5, "component_more": m} for m in (1, 2)]
+
+
+def test_large_groups_are_split_with_the_same_result(spark, odd_documents):
+    """Every group in blocks, each of a few texts, against groups in one task and all pairs."""
+    ids = lambda df: sorted(str(r.doc_id) for r in df.collect())
+    assert ids(similar.keep_one(odd_documents, most=0, block=3000)) == ids(similar.keep_one(odd_documents))
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(400)]
+    # A chain in which only neighbours are similar, unlike texts that its cells hold too, and copies of one text.
+    texts = [" ".join(base[a : a + 200]) for a in range(0, 200, 4)] + [" ".join(base[:150] + rng.sample(base, 60)) for _ in range(20)]
+    for _ in range(60):
+        words = base[100:300]
+        for _ in range(2):
+            words[rng.randrange(200)] = f"x{rng.randrange(1000)}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = brute(texts)
+    least: dict = {}
+    for i, t in enumerate(texts):
+        least.setdefault(root[shingles(t)], i)
+    assert ids(similar.keep_one(docs, most=0, block=1500)) == sorted(map(str, least.values()))
+
+
+def test_no_task_gathers_a_large_group(spark, monkeypatch, tmp_path):
+    """Three thousand near copies of one text: no task has more than two blocks of them (sets load 1,196 each)."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(3000):
+        words = list(base)
+        words[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+
+    def counting(of):
+        @functools.wraps(of)
+        def run(batches):
+            held = list(batches)
+            (tmp_path / uuid.uuid4().hex).write_text(str(sum(b.num_rows for b in held)))
+            yield from of(iter(held))
+
+        return run
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for name in ("_led", "_crossed", "_verified"):
+        monkeypatch.setattr(similar, name, counting(getattr(similar, name)))
+    kept = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), most=500_000, block=200_000)
+    assert [r.doc_id for r in kept.collect()] == [0]
+    met = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert met and max(met) <= 2 * 200_000 / 1196 * 1.3
