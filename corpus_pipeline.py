@@ -74,7 +74,7 @@ def sentencepiece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     no rows.
     """
     model = pieces.load_model(vocabulary_path("piece_bpe_32k.model"))
-    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), model), model)
+    decoded = pieces.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), model)
     whole = (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip")
     return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole)
 

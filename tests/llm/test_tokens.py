@@ -11,7 +11,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
 tokenizers = pytest.importorskip("tokenizers")
 
-from weftline.llm import fst_tokens, pieces  # noqa: E402
+from weftline.llm import fst_tokens, merges, pieces  # noqa: E402
 
 MODEL, TABLE = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -104,3 +104,48 @@ def test_transitions_carry_the_counts(strings):
             state, emitted = own.next.get((state, symbol)) or own.compile(state, symbol)
             total += emitted
             assert total == len(own.table.merge(symbols[:n])) == small.count(symbols[:n])
+
+
+def test_one_worker_a_task_encodes_and_decodes(spark, odd_documents, no_documents, tmp_path):
+    """One pass gives what the two give, and neither query keeps two Python workers, with two codecs, in one task."""
+    import corpus_pipeline
+    from weftline.llm import queries
+
+    model = pieces.load_model(MODEL)
+    one = pieces.encode_and_decode(odd_documents, model, step_bytes=3000)
+    two = pieces.decode(pieces.encode(odd_documents, model), model)
+    assert one.schema == two.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert pieces.encode_and_decode(no_documents, model).count() == 0
+    odd_documents.select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (corpus_pipeline.sentencepiece_codec(spark, docs, str(tmp_path)), queries.op5_sentencepiece(spark, str(tmp_path))):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_what_is_remembered_is_bounded_in_bytes(monkeypatch):
+    """Wide stretches with many ids: a generation ends by its bytes, long before its entries are as many as may be."""
+    monkeypatch.setattr(merges, "HELD_BYTES", 1 << 20, raising=False)
+    made = []
+    known = merges.Remembered(lambda key: made.append(key) or bytes(4 * len(key)))
+    for i in range(20_000):
+        assert known[f"{i:048d}"] == bytes(192)
+    size = sum(len(k) + len(v) for generation in (known, known.older) for k, v in generation.items())
+    assert 0 < size <= 2 << 20 and len(made) == 20_000
+    assert known[f"{19_999:048d}"] and len(made) == 20_000  # the latest is still known
+
+
+def test_a_task_leaves_nothing_it_remembered():
+    """Idle workers are dealt tasks in turn, so all of them would fill: after a task a worker has the codec alone, and it
+    gives the same ids in the next."""
+    from types import SimpleNamespace
+
+    shared, own, got = SimpleNamespace(value=("a test's model", pieces.load_model(MODEL))), [], []
+    for _ in range(2):
+        with pieces._shared_codec(shared) as codec:
+            got.append(codec.encode("uncopyrightables, zxqjvkw and hethlytionou again"))
+            assert codec.known and codec.table.pairs
+        assert not codec.known and not codec.known.older and not codec.table.pairs
+        own.append(codec)
+    pieces.kept_by_worker.clear()
+    assert own[0] is own[1] and got[0] == got[1] != b""

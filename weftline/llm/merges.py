@@ -8,6 +8,7 @@ encoders build on it: ``MergeTable.backtrack`` walks forward over longest matche
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 from collections.abc import Callable
 
@@ -15,23 +16,34 @@ import ahocorasick
 
 #: Entries a worker remembers of words, in each of two generations, and of pairs.
 MEMORY = 600_000
+#: Bytes that the keys and values of a generation may have, and those of a dictionary's slot: entries are not all short.
+HELD_BYTES, SLOT = 100 << 20, 40
 
 
 class Remembered(dict):
-    """A mapping that forgets what has not been asked for since it last was full; ``make`` fills gaps of short keys."""
+    """A mapping that forgets what has not been asked for since it last was full, by entries or by bytes; ``make`` fills gaps
+    of short keys."""
 
-    def __init__(self, make: Callable[[str], object], widest: int = 48):
-        self.make, self.widest, self.older = make, widest, {}
+    def __init__(self, make: Callable[[str], object], widest: int = 48, most_bytes: int | None = None):
+        self.make, self.widest, self.most_bytes = make, widest, most_bytes or HELD_BYTES
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.held = {}, 0
 
     def __missing__(self, key: str):
         got = self.older.get(key)
         if got is None:
             got = self.make(key)
         if len(key) <= self.widest:
-            if len(self) >= MEMORY:
+            if len(self) >= MEMORY or self.held >= self.most_bytes:
+                self.older = {}  # goes before the copy is made
                 self.older = dict(self)
                 self.clear()
+                self.held = 0
             self[key] = got
+            self.held += sys.getsizeof(key) + sys.getsizeof(got) + SLOT
         return got
 
 
@@ -56,6 +68,10 @@ class MergeTable:
                         self.shorter[way] = on_way
                     on_way = way
                 self.longest.setdefault(way, on_way)
+        self.own = {piece: piece for piece in vocabulary}
+        self.forget()
+
+    def forget(self) -> None:
         self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)
         self.n_pairs = 0
 
@@ -83,7 +99,8 @@ class MergeTable:
             self.pairs.clear()
             self.n_pairs = 0
         self.n_pairs += 1
-        known = self.pairs[left][right] = self.merge(left + right) == [left, right]
+        known = self.merge(left + right) == [left, right]
+        self.pairs[self.own.get(left, left)][self.own.get(right, right)] = known  # no copy of a piece is kept for each pair
         return known
 
     def longest_matches(self, text: str) -> list[int]:

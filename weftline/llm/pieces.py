@@ -7,6 +7,7 @@ a worker remembers what short stretches gave. Within a stretch ``MergeTable.back
 
 from __future__ import annotations
 
+import contextlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -23,6 +24,8 @@ from weftline.llm.merges import MergeTable, Remembered
 MARK = "▁"
 #: Kinds of pieces in the model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: Bytes of stretches and their ids in each of two generations; a task begins without any.
+HELD_BYTES = 48 << 20
 
 
 def load_model(path: str) -> tuple:
@@ -55,7 +58,7 @@ class Codec:
         self.cut = re.compile(rf"{MARK}*{letters}+(?=[{signs}{MARK}]|\Z)|{MARK}*[{signs}]+(?={letters}|{MARK}|\Z)|{MARK}*[^{MARK}]+|{MARK}+").findall
         self.out = [b"" if kind in (CONTROL, UNUSED) else bytes([int(piece[1:-1], 16)]) if kind == BYTE else b" \xe2\x81\x87 " if kind == UNKNOWN else piece.replace(MARK, " ").encode() for piece, _, kind in model]
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
-        self.known = Remembered(self.stretch)
+        self.known = Remembered(self.stretch, most_bytes=HELD_BYTES)
 
     def stretch(self, text: str) -> bytes:
         """Ids (int32, as bytes) of a stretch; U+2581 stands for spaces."""
@@ -73,6 +76,11 @@ class Codec:
             return b""
         return b"".join(map(self.known.__getitem__, self.cut(MARK + text.replace(" ", MARK))))
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts; what comes of the model stays."""
+        self.known.forget()
+        self.table.forget()
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: one leading space goes, bytes join to characters, malformed ones become U+FFFD."""
         out = self.out
@@ -84,12 +92,17 @@ class Codec:
         return text[1:] if text.startswith(" ") and len(ids) and int(ids[0]) not in self.byte_of else text
 
 
-def _shared_codec(broadcast) -> Codec:
-    """One codec for a worker and model, kept over tasks."""
+@contextlib.contextmanager
+def _shared_codec(broadcast) -> Iterator[Codec]:
+    """One codec for a worker and model, kept over tasks. What it remembers of texts goes when a task ends: Spark deals tasks
+    to all its idle workers in turn, and those of the stages before are more than run at a time."""
     key = broadcast.value[0]
     if kept_by_worker.get("codec of") != key:
         kept_by_worker["codec of"], kept_by_worker["codec"] = key, Codec(broadcast.value[1])
-    return kept_by_worker["codec"]
+    try:
+        yield kept_by_worker["codec"]
+    finally:
+        kept_by_worker["codec"].forget()
 
 
 def _ship(df: DataFrame, model: tuple):
@@ -97,6 +110,13 @@ def _ship(df: DataFrame, model: tuple):
     return df.sparkSession.sparkContext.broadcast((hash(model), model))  # the vocabulary file bounds its size
 
 
+def _ids_of(found: list[bytes]) -> pa.ListArray:
+    """What ``Codec.encode`` gave for each row, as a column."""
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(g) // 4 for g in found], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
 def encode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", step_bytes: int = 1_000_000) -> DataFrame:
     """Add ``ids`` (array<int>): all ids of the whole text, without begin or end ids. Null and empty texts give [].
 
@@ -106,13 +126,10 @@ def encode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", st
     shared = _ship(df, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _shared_codec(shared)
-        for whole in batches:
-            for batch in slices(whole, text, step_bytes):
-                got = [c.encode(t) for t in texts(batch.column(text))]
-                offsets = np.zeros(len(got) + 1, np.int32)
-                np.cumsum([len(g) // 4 for g in got], out=offsets[1:])
-                yield with_arrays(batch, **{ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))})
+        with _shared_codec(shared) as c:
+            for whole in batches:
+                for batch in slices(whole, text, step_bytes):
+                    yield with_arrays(batch, **{ids: _ids_of([c.encode(t) for t in texts(batch.column(text))])})
 
     return base.mapInArrow(in_worker("pieces", run), T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -123,22 +140,39 @@ def decode(df: DataFrame, model: tuple, ids: str = "ids", decoded: str = "decode
     shared = _ship(df, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _shared_codec(shared)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                column = batch.column(ids)
-                flat, out = column.flatten().to_numpy(zero_copy_only=False), []
-                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))
-                start = 0
-                for end in ends.tolist():
-                    out.append(c.decode(flat[start:end]))
-                    start = end
-                yield with_arrays(batch, **{decoded: pa.array(out, pa.string())})
+        with _shared_codec(shared) as c:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 256):
+                    batch = whole.slice(at, 256)
+                    column = batch.column(ids)
+                    flat, out = column.flatten().to_numpy(zero_copy_only=False), []
+                    ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+                    start = 0
+                    for end in ends.tolist():
+                        out.append(c.decode(flat[start:end]))
+                        start = end
+                    yield with_arrays(batch, **{decoded: pa.array(out, pa.string())})
 
     return base.mapInArrow(in_worker("pieces", run), T.StructType([*base.schema.fields, T.StructField(decoded, T.StringType())]))
 
 
+def encode_and_decode(df: DataFrame, model: tuple, text: str = "text", ids: str = "ids", decoded: str = "decoded", step_bytes: int = 1_000_000) -> DataFrame:
+    """The columns of ``encode`` and of ``decode`` in one pass: a task has one Python worker with one codec, where the two
+    one after the other have two workers, each of which comes to hold a codec and all it remembers."""
+    base = without(df, [ids, decoded])
+    shared = _ship(df, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _shared_codec(shared) as c:
+            for whole in batches:
+                for batch in slices(whole, text, step_bytes):
+                    found = [c.encode(t) for t in texts(batch.column(text))]
+                    back = pa.array([c.decode(np.frombuffer(g, np.int32)) for g in found], pa.string())
+                    yield with_arrays(batch, **{ids: _ids_of(found), decoded: back})
+
+    return base.mapInArrow(in_worker("pieces", run), T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]))
+
+
 def digests(encoded: DataFrame, keep: list[str]) -> DataFrame:
     """n_tokens, ids_sha256 and decoded_sha256 of frames that have been encoded and decoded."""
     return encoded.select(

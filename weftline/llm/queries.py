@@ -64,7 +64,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load_model(vocabulary_path("piece_bpe_32k.model"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.digests(pieces.decode(pieces.encode(docs, model).drop("text"), model), ["doc_id"])
+    return pieces.digests(pieces.encode_and_decode(docs, model), ["doc_id"])
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
